@@ -28,6 +28,11 @@ def exact_avg(total: Column, count: Column) -> Column:
     return F.try_divide(total.cast("double"), count.cast("double"))
 
 
+def money_avg(total: Column, count: Column) -> Column:
+    """Mean in cents, halves rounded up; the division is decimal, not binary."""
+    return F.try_divide(total, count.cast("decimal(20,0)")).cast(MONEY)
+
+
 def mean(value: Column) -> Column:
     """Average as one division of an exact sum: the same on every run.
 

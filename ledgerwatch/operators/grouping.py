@@ -31,16 +31,22 @@ def chunked_lists(
         .filter(F.col("__n") > chunk_rows)
         .select(*keys, F.ceil(F.col("__n") / chunk_rows).cast("int").alias("__parts"))
     )
-    same_key = [df[k].eqNullSafe(sizes[k]) for k in keys]
-    parts = F.coalesce(sizes["__parts"], F.lit(1))
+    parts = F.coalesce("__parts", F.lit(1))
     return (
-        df.join(sizes, same_key, "left")
+        join_null_safe(df.select(*keys, F.col(value).alias("__value")), sizes, keys)
         .select(
-            *[df[k] for k in keys],
-            df[value].alias("__value"),
+            *keys,
+            "__value",
             parts.alias("list_parts"),
-            F.pmod(F.xxhash64(df[value]), parts).cast("int").alias("list_part"),
+            F.pmod(F.xxhash64("__value"), parts).cast("int").alias("list_part"),
         )
         .groupBy(*keys, "list_parts", "list_part")
         .agg(F.array_sort(F.collect_list("__value")).alias(alias))
     )
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join that treats NULL keys as equal; the keys of ``left`` are kept."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
+    return left.join(renamed, same, how).drop(*[f"__right_{k}" for k in keys])

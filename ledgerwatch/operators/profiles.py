@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import ProfileConfig
 from ..functions import risk
 from ..functions.flags import is_true
-from ..functions.money import count_when, exact_avg
+from ..functions.money import count_when, exact_avg, money_avg
 from ..schemas import GOLD_CUSTOMER_DAILY_SUMMARY
 from .velocity import gap_statistics
 
@@ -217,9 +217,7 @@ def daily_summary(silver: DataFrame, alerts: DataFrame, computed_at: Column) ->
     )
     joined = activity.join(raised, ["customer_id", "summary_date"], "left").withColumns(
         {
-            "avg_transaction_amount": F.round(
-                exact_avg(F.col("total_amount_eur"), F.col("transaction_count")), 2
-            ),
+            "avg_transaction_amount": money_avg(F.col("total_amount_eur"), F.col("transaction_count")),
             "alert_count": F.coalesce("alert_count", F.lit(0)),
             "high_severity_alert_count": F.coalesce("high_severity_alert_count", F.lit(0)),
             "computed_at": computed_at,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import count_when, mean, mean_score
 from ..functions.risk import priority_label, priority_rank
-from .grouping import chunked_lists, keep_latest
+from .grouping import chunked_lists, join_null_safe, keep_latest
 
 # Output names of the six rule counters.
 RULE_COUNTERS = {
@@ -91,16 +91,8 @@ def customer_risk(alerts: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
         F.countDistinct("destination_country").alias("unique_dest_countries"),
     )
     lists = chunked_lists(alerts, keys, "transaction_id", "flagged_transaction_ids", chunk_rows)
-    same = [totals[k].eqNullSafe(lists[k]) for k in keys]
-    return (
-        totals.join(lists, same, "left")
-        .select(
-            *[totals[c] for c in totals.columns],
-            lists["flagged_transaction_ids"],
-            lists["list_part"],
-            lists["list_parts"],
-        )
-        .orderBy(F.desc("alert_count"), F.desc("total_flagged_amount"), "customer_id", "list_part")
+    return join_null_safe(totals, lists, keys).orderBy(
+        F.desc("alert_count"), F.desc("total_flagged_amount"), "customer_id", "list_part"
     )
 
 

@@ -42,15 +42,18 @@ def trailing_sums(
     parts = {n: f"__part_{i}" for i, n in enumerate(names)}
     values = {parts[n]: F.coalesce(measures[n], F.lit(0)) for n in names}
 
-    own = df.withColumns({"__pos": at, "__slice": slice_start, "__own": F.lit(True), **values})
     narrow = df.filter(F.col(ts).isNotNull()).select(
-        F.col(key), at.alias("__at"), slice_start.alias("__slice"), *[v.alias(n) for n, v in values.items()]
-    )
-    leaving = narrow.select(
-        key,
-        (F.col("__at") + F.lit(frame_us + 1)).alias("__pos"),
-        (F.col("__slice") + F.lit(frame_us)).alias("__slice"),
-        *[(-F.col(p)).alias(p) for p in parts.values()],
+        F.col(key), slice_start.alias("__slice"), *[v.alias(n) for n, v in values.items()]
+    )
+    # One pass makes both the own and the leaving entry of a row; the leaving
+    # entry carries nothing but its key, position and negated measures.
+    staying = F.col("__own")
+    own_and_leaving = df.withColumn("__own", F.explode(F.array(F.lit(True), F.lit(False)))).select(
+        *[F.col(c) if c == key else F.when(staying, F.col(c)).alias(c) for c in df.columns],
+        "__own",
+        F.when(staying, at).otherwise(at + F.lit(frame_us + 1)).alias("__pos"),
+        F.when(staying, slice_start).otherwise(slice_start + F.lit(frame_us)).alias("__slice"),
+        *[F.when(staying, v).otherwise(-v).alias(n) for n, v in values.items()],
     )
     earlier = Window.partitionBy(key).orderBy("__slice").rangeBetween(-frame_us, -1)
     before = (
@@ -68,9 +71,7 @@ def trailing_sums(
         .orderBy("__pos")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    entries = own.unionByName(leaving, allowMissingColumns=True).unionByName(
-        before, allowMissingColumns=True
-    )
+    entries = own_and_leaving.unionByName(before, allowMissingColumns=True)
     timed = F.col(ts).isNotNull()
     return (
         entries.withColumns({n: F.sum(parts[n]).over(running) for n in names})

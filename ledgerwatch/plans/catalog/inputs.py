@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...functions.money import mean
@@ -29,12 +29,17 @@ TYPES = {
 KYC = ("APPROVED", "PENDING", "REJECTED")
 
 
-def pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int") + 1)
+def pick(values: tuple[str, ...], index: str) -> str:
+    """SQL for the value at ``index``, counted round and round."""
+    items = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({items}), CAST(({index}) % {len(values)} AS INT) + 1)"
+
+
+def padded(prefix: str, number: str, width: int) -> str:
+    return f"concat('{prefix}', lpad(CAST({number} AS STRING), {width}, '0'))"
 
 
-def padded(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+_TYPE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TYPES.items()) + " END"
 
 
 class Inputs:
@@ -48,105 +53,95 @@ class Inputs:
     @cached_property
     def events(self) -> DataFrame:
         """Events with a zoned timestamp and a money amount."""
-        return self.table("events").select(
+        return self.table("events").selectExpr(
             "event_id",
-            F.col("ts").cast("timestamp").alias("ts"),
+            "CAST(ts AS TIMESTAMP) AS ts",
             "user_id",
             "event_type",
-            (F.col("value").cast("decimal(18,2)") * 100).cast("decimal(18,2)").alias("amount"),
+            "CAST(CAST(value AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2)) AS amount",
         )
 
     @cached_property
     def bronze(self) -> DataFrame:
         """Untyped transactions as they come out of the message parser."""
-        i = F.col("event_id")
-        text = F.col("amount").cast("string")
-        when = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        return self.events.select(
-            padded("TXN", i, 10).alias("transaction_id"),
-            padded("REF", i, 8).alias("transaction_ref"),
-            padded("C", F.col("user_id"), 8).alias("customer_id"),
-            padded("A", F.col("user_id") * 3 + i % 3, 9).alias("account_id"),
-            F.when(i % 97 == 0, "n/a").when(i % 89 == 0, F.concat(F.lit("-"), text)).otherwise(text).alias("amount"),
-            pick(CURRENCIES, i).alias("currency"),
-            F.when(i % 2 == 0, "DEBIT").otherwise("CREDIT").alias("transaction_type"),
-            F.when(i % 107 != 0, pick(CHANNELS, i)).alias("channel"),
-            F.when(i % 113 != 0, pick(COUNTRY_CODES, i * 7)).alias("transaction_country"),
-            F.when(i % 101 == 0, "not a time").otherwise(when).alias("transaction_timestamp"),
-            F.when(i % 5 != 0, F.date_format("ts", "yyyy-MM-dd")).alias("value_date"),
-            F.lit("CORE").alias("source_system"),
-            (F.col("ts") + F.make_interval(secs=i % 5)).alias("ingestion_timestamp"),
+        return self.events.selectExpr(
+            f"{padded('TXN', 'event_id', 10)} AS transaction_id",
+            f"{padded('REF', 'event_id', 8)} AS transaction_ref",
+            f"{padded('C', 'user_id', 8)} AS customer_id",
+            f"{padded('A', 'user_id * 3 + event_id % 3', 9)} AS account_id",
+            """CASE WHEN event_id % 97 = 0 THEN 'n/a'
+                    WHEN event_id % 89 = 0 THEN concat('-', CAST(amount AS STRING))
+                    ELSE CAST(amount AS STRING) END AS amount""",
+            f"{pick(CURRENCIES, 'event_id')} AS currency",
+            "CASE WHEN event_id % 2 = 0 THEN 'DEBIT' ELSE 'CREDIT' END AS transaction_type",
+            f"CASE WHEN event_id % 107 <> 0 THEN {pick(CHANNELS, 'event_id')} END AS channel",
+            f"CASE WHEN event_id % 113 <> 0 THEN {pick(COUNTRY_CODES, 'event_id * 7')} END AS transaction_country",
+            """CASE WHEN event_id % 101 = 0 THEN 'not a time'
+                    ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS') END AS transaction_timestamp""",
+            "CASE WHEN event_id % 5 <> 0 THEN date_format(ts, 'yyyy-MM-dd') END AS value_date",
+            "'CORE' AS source_system",
+            "ts + make_interval(0, 0, 0, 0, 0, 0, event_id % 5) AS ingestion_timestamp",
         )
 
     @cached_property
     def messages(self) -> DataFrame:
         """The bronze rows as JSON messages with broker metadata; some are cut off."""
         fields = [c for c in self.bronze.columns if c != "ingestion_timestamp"]
-        i = F.substring("transaction_id", 4, 10).cast("bigint")
-        text = F.to_json(F.struct(*fields))
-        return self.bronze.select(
-            F.col("customer_id").alias("key"),
-            F.when(i % 103 == 0, F.substring(text, 1, 40)).otherwise(text).alias("value"),
-            (i % 12).cast("int").alias("partition"),
-            i.alias("offset"),
-            F.col("ingestion_timestamp").alias("timestamp"),
+        number = "CAST(substring(transaction_id, 4, 10) AS BIGINT)"
+        return self.bronze.withColumn("text", F.to_json(F.struct(*fields))).selectExpr(
+            "customer_id AS key",
+            f"CASE WHEN {number} % 103 = 0 THEN substring(text, 1, 40) ELSE text END AS value",
+            f"CAST({number} % 12 AS INT) AS partition",
+            f"{number} AS offset",
+            "ingestion_timestamp AS timestamp",
         )
 
     @cached_property
     def raw(self) -> DataFrame:
         """Source/destination transactions."""
-        i = F.col("event_id")
-        kind = F.lit(None).cast("string")
-        for event, name in TYPES.items():
-            kind = F.when(F.col("event_type") == event, name).otherwise(kind)
-        return self.events.select(
-            padded("TXN", i, 10).alias("transaction_id"),
-            padded("C", F.col("user_id"), 8).alias("customer_id"),
-            kind.alias("transaction_type"),
+        return self.events.selectExpr(
+            f"{padded('TXN', 'event_id', 10)} AS transaction_id",
+            f"{padded('C', 'user_id', 8)} AS customer_id",
+            f"{_TYPE} AS transaction_type",
             "amount",
-            pick(CURRENCIES, i).alias("currency"),
-            pick(COUNTRY_CODES, F.col("user_id")).alias("source_country"),
-            pick(COUNTRY_CODES, i * 7).alias("destination_country"),
-            F.concat(F.lit("MCC"), (i % 20).cast("string")).alias("merchant_category"),
-            pick(CHANNELS, i).alias("channel"),
-            F.concat(F.lit("DEV"), (F.col("user_id") % 1000).cast("string")).alias("device_id"),
-            F.col("ts").alias("transaction_timestamp"),
-            F.to_date("ts").alias("transaction_date"),
-            (F.col("ts") + F.make_interval(secs=i % 5)).alias("processing_timestamp"),
-            F.to_date("ts").alias("processing_date"),
+            f"{pick(CURRENCIES, 'event_id')} AS currency",
+            f"{pick(COUNTRY_CODES, 'user_id')} AS source_country",
+            f"{pick(COUNTRY_CODES, 'event_id * 7')} AS destination_country",
+            "concat('MCC', CAST(event_id % 20 AS STRING)) AS merchant_category",
+            f"{pick(CHANNELS, 'event_id')} AS channel",
+            "concat('DEV', CAST(user_id % 1000 AS STRING)) AS device_id",
+            "ts AS transaction_timestamp",
+            "to_date(ts) AS transaction_date",
+            "ts + make_interval(0, 0, 0, 0, 0, 0, event_id % 5) AS processing_timestamp",
+            "to_date(ts) AS processing_date",
         )
 
     @cached_property
     def customers(self) -> DataFrame:
         """Customer dimension of rule pack A; every fiftieth customer is missing."""
-        k, balance = F.col("c_custkey"), F.col("c_acctbal")
-        return (
-            self.table("customer")
-            .filter(k % 50 != 49)
-            .select(
-                padded("C", k, 8).alias("customer_id"),
-                F.col("c_name").alias("customer_name"),
-                F.when(balance < 1500, "HIGH").when(balance < 4000, "MEDIUM").otherwise("LOW").alias("customer_risk_category"),
-                F.col("c_mktsegment").alias("customer_segment"),
-                F.date_add(F.lit("2010-01-01").cast("date"), (k % 3000).cast("int")).alias("customer_since_date"),
-                (k % 20 == 0).alias("is_pep"),
-                pick(COUNTRY_CODES, F.col("c_nationkey")).alias("customer_country_code"),
-            )
+        return self.table("customer").filter("c_custkey % 50 <> 49").selectExpr(
+            f"{padded('C', 'c_custkey', 8)} AS customer_id",
+            "c_name AS customer_name",
+            """CASE WHEN c_acctbal < 1500 THEN 'HIGH' WHEN c_acctbal < 4000 THEN 'MEDIUM'
+                    ELSE 'LOW' END AS customer_risk_category""",
+            "c_mktsegment AS customer_segment",
+            "date_add(DATE '2010-01-01', CAST(c_custkey % 3000 AS INT)) AS customer_since_date",
+            "c_custkey % 20 = 0 AS is_pep",
+            f"{pick(COUNTRY_CODES, 'c_nationkey')} AS customer_country_code",
         )
 
     @cached_property
     def master(self) -> DataFrame:
         """Customer master of the source/destination model."""
-        k = F.col("c_custkey")
-        return self.table("customer").select(
-            padded("C", k, 8).alias("customer_id"),
-            F.col("c_name").alias("customer_name"),
-            F.date_add(F.lit("2010-01-01").cast("date"), (k % 3000).cast("int")).alias("account_open_date"),
-            F.col("c_mktsegment").alias("customer_segment"),
-            pick(COUNTRY_CODES, F.col("c_nationkey")).alias("country_of_residence"),
-            (k % 20 == 0).alias("is_pep"),
-            pick(KYC, k).alias("kyc_status"),
-            F.when(k % 7 != 0, (k % 12) * F.lit(0.05)).alias("risk_score"),
+        return self.table("customer").selectExpr(
+            f"{padded('C', 'c_custkey', 8)} AS customer_id",
+            "c_name AS customer_name",
+            "date_add(DATE '2010-01-01', CAST(c_custkey % 3000 AS INT)) AS account_open_date",
+            "c_mktsegment AS customer_segment",
+            f"{pick(COUNTRY_CODES, 'c_nationkey')} AS country_of_residence",
+            "c_custkey % 20 = 0 AS is_pep",
+            f"{pick(KYC, 'c_custkey')} AS kyc_status",
+            "CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 12 AS DOUBLE) * 0.05D END AS risk_score",
         )
 
     @cached_property
@@ -160,15 +155,15 @@ class Inputs:
     @cached_property
     def order_transactions(self) -> DataFrame:
         """Orders as day-grain transactions over several years."""
-        k = F.col("o_orderkey")
-        return self.table("orders").select(
-            padded("ORD", k, 10).alias("transaction_id"),
-            padded("C", F.col("o_custkey"), 8).alias("customer_id"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("amount_eur"),
-            F.col("o_orderdate").cast("timestamp").alias("transaction_timestamp"),
-            F.col("o_orderdate").cast("date").alias("transaction_date"),
-            F.col("o_orderstatus").alias("status"),
+        return self.table("orders").selectExpr(
+            f"{padded('ORD', 'o_orderkey', 10)} AS transaction_id",
+            f"{padded('C', 'o_custkey', 8)} AS customer_id",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS amount",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS amount_eur",
+            "CAST(o_orderdate AS TIMESTAMP) AS transaction_timestamp",
+            "CAST(o_orderdate AS DATE) AS transaction_date",
+            "o_orderstatus AS status",
+            "o_orderkey AS order_number",
         )
 
     @cached_property
@@ -189,8 +184,6 @@ def sql_list(values: tuple[str, ...], index: str) -> str:
     return f"list_extract([{items}], CAST(({index}) % {len(values)} AS INTEGER) + 1)"
 
 
-_KIND = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TYPES.items()) + " END"
-
 EVENTS_SQL = """
 ev AS (
   SELECT event_id, ts, user_id, event_type,
@@ -269,7 +262,7 @@ vel AS (
 
 RAW_SQL = f"""{EVENTS_SQL},
 raw AS (
-  SELECT event_id, transaction_id, customer_id, {_KIND} AS transaction_type, amount,
+  SELECT event_id, transaction_id, customer_id, {_TYPE} AS transaction_type, amount,
          {sql_list(CURRENCIES, "event_id")} AS currency,
          {sql_list(COUNTRY_CODES, "user_id")} AS source_country,
          {sql_list(COUNTRY_CODES, "event_id * 7")} AS destination_country,
@@ -329,3 +322,13 @@ enriched AS (
          CASE WHEN transaction_risk_score >= 0.9 THEN 'CRITICAL' WHEN transaction_risk_score >= 0.7 THEN 'HIGH'
               WHEN transaction_risk_score >= 0.5 THEN 'MEDIUM' ELSE 'LOW' END AS alert_priority
   FROM scored)"""
+
+# Orders as day-grain transactions.
+ORDERS_SQL = """
+ord AS (
+  SELECT 'ORD' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS transaction_id,
+         'C' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS customer_id,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CAST(o_totalprice AS DECIMAL(18,2)) AS amount_eur,
+         o_orderdate AS transaction_timestamp, CAST(o_orderdate AS DATE) AS transaction_date,
+         o_orderstatus AS status, o_orderkey AS order_number
+  FROM orders)"""

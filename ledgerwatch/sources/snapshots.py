@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +16,7 @@ from pyspark.sql.observation import Observation
 
 from ..operators.grouping import keep_latest
 from ..operators.merge import upsert
+from .tables import create_if_missing
 
 _HISTORY = T.StructType(
     [
@@ -39,11 +39,7 @@ class SnapshotTable:
 
     def history(self, limit: int | None = None) -> DataFrame:
         """Committed versions, newest first."""
-        try:
-            log = self.spark.read.schema(_HISTORY).parquet(self._history_path)
-        except AnalysisException:
-            log = self.spark.createDataFrame([], _HISTORY)
-        log = log.orderBy(F.desc("version"))
+        log = create_if_missing(self.spark, self._history_path, _HISTORY).orderBy(F.desc("version"))
         return log if limit is None else log.limit(limit)
 
     def resolve(self, version: int | None = None, timestamp: datetime | None = None) -> int | None:

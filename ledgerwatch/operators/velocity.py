@@ -18,6 +18,7 @@ def trailing_sums(
     ts: str = "transaction_timestamp",
     hours: int = 24,
     slice_minutes: int = 10,
+    wanted: Column | None = None,
 ) -> DataFrame:
     """Add the sum of each measure over the trailing frame ``[t - hours, t]``.
 
@@ -30,6 +31,9 @@ def trailing_sums(
     entries: the sum of the full slices that lie before it (placed at the slice
     start), plus each own row at its time, minus each row of the slice one
     frame earlier, placed just after the instant it leaves the frame.
+
+    ``wanted`` limits the output to some rows; the others only contribute and
+    are shuffled without their payload.
     """
     slice_us = slice_minutes * _MICROS_PER_MINUTE
     frame_us = hours * 60 * _MICROS_PER_MINUTE
@@ -47,10 +51,12 @@ def trailing_sums(
     )
     # One pass makes both the own and the leaving entry of a row; the leaving
     # entry carries nothing but its key, position and negated measures.
-    staying = F.col("__own")
-    own_and_leaving = df.withColumn("__own", F.explode(F.array(F.lit(True), F.lit(False)))).select(
-        *[F.col(c) if c == key else F.when(staying, F.col(c)).alias(c) for c in df.columns],
-        "__own",
+    keep = F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))
+    staying, payload = F.col("__own"), F.col("__own") & F.col("__wanted")
+    doubled = df.withColumns({"__wanted": keep, "__own": F.explode(F.array(F.lit(True), F.lit(False)))})
+    own_and_leaving = doubled.select(
+        *[F.col(c) if c == key else F.when(payload, F.col(c)).alias(c) for c in df.columns],
+        payload.alias("__own"),
         F.when(staying, at).otherwise(at + F.lit(frame_us + 1)).alias("__pos"),
         F.when(staying, slice_start).otherwise(slice_start + F.lit(frame_us)).alias("__slice"),
         *[F.when(staying, v).otherwise(-v).alias(n) for n, v in values.items()],
@@ -82,10 +88,14 @@ def trailing_sums(
 
 
 def trailing_velocity(
-    df: DataFrame, cfg: RuleConfigA, slice_minutes: int = 10, amount: str = "amount_eur"
+    df: DataFrame,
+    cfg: RuleConfigA,
+    slice_minutes: int = 10,
+    amount: str = "amount_eur",
+    wanted: Column | None = None,
 ) -> DataFrame:
     """Trailing amount, count, average and just-below-threshold count."""
-    near = F.col(amount).between(cfg.structuring_floor_eur, cfg.structuring_ceiling_eur) & (
+    near = (F.col(amount) >= F.lit(cfg.structuring_floor_eur)) & (
         F.col(amount) < F.lit(cfg.structuring_ceiling_eur)
     )
     summed = trailing_sums(
@@ -97,6 +107,7 @@ def trailing_velocity(
         },
         hours=cfg.velocity_window_hours,
         slice_minutes=slice_minutes,
+        wanted=wanted,
     )
     return summed.withColumns(
         {

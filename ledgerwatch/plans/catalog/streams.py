@@ -1 +1,184 @@
-ENTRIES = {}
+"""Streaming queries: run to the end of the input, then read the result back.
+
+All available files form one micro-batch here; several ordered batches are
+covered by the tests.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ...config import RuleConfigA
+from ...operators import ingest as ingest_ops
+from ...session import run_dir
+from ...sources.messages import file_stream
+from ...streaming import medallion, sinks, stateful, windows
+from .. import alerting
+from . import ingest, rules
+from .base import Entry
+from .inputs import SILVER_SQL, Inputs
+from .velocity import _SLIDING_SQL
+
+RULES = RuleConfigA()
+
+_EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+
+class StreamInputs(Inputs):
+    """The same frames, with the events read as a stream."""
+
+    def table(self, name: str) -> DataFrame:
+        if name != "events":
+            return super().table(name)
+        return file_stream(self.spark, self.sf_dir, _EVENTS, file_filter="events.parquet")
+
+
+def _collected(x: Inputs, stream: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Append the stream to a table in the shared folder and read the table."""
+    base = run_dir(x.spark, label)
+    sinks.finish(sinks.append_stream(stream, f"{base}/table", f"{base}/checkpoint", partition_by))
+    return x.spark.read.schema(stream.schema).parquet(f"{base}/table")
+
+
+def _typed(x: Inputs) -> DataFrame:
+    s = StreamInputs(x.spark, x.sf_dir)
+    return alerting.typed_amounts(s.bronze, x.dimensions)
+
+
+def stream_bronze(x: Inputs) -> DataFrame:
+    messages = StreamInputs(x.spark, x.sf_dir).messages
+    parsed = ingest_ops.parse_messages(messages, ingested_at=F.lit(ingest.AS_OF))
+    columns = [
+        "transaction_id", "customer_id", "amount", "currency", "transaction_type", "channel",
+        "transaction_timestamp", "kafka_partition", "kafka_offset", "kafka_timestamp", "ingestion_date",
+    ]
+    return _collected(x, parsed.select(*columns), "bronze", ("ingestion_date",))
+
+
+def stream_silver(x: Inputs) -> DataFrame:
+    s = StreamInputs(x.spark, x.sf_dir)
+    silver = alerting.build_silver(s.bronze, x.dimensions, RULES).select(
+        "transaction_id",
+        "transaction_hour",
+        "is_unusual_time",
+        "business_day_flag",
+        "is_high_value",
+        "is_international",
+        "transaction_date",
+    )
+    return _collected(x, silver, "silver", ("transaction_date",))
+
+
+def stream_dedup(x: Inputs) -> DataFrame:
+    """Every message delivered up to three times, kept once."""
+    typed = _typed(x)
+    copies = F.explode(F.sequence(F.lit(0), (F.col("amount") % 3).cast("int")))
+    repeated = typed.withColumn("copy", copies).drop("copy")
+    unique = windows.unique_transactions(repeated).select("transaction_id", "customer_id", "amount_eur")
+    return _collected(x, unique, "dedup")
+
+
+DEDUP_SQL = f"WITH {SILVER_SQL}\nSELECT transaction_id, customer_id, amount_eur FROM sv"
+
+
+def stream_window_agg(x: Inputs) -> DataFrame:
+    """Windows whose end the watermark (newest event less two hours) has passed."""
+    closed = windows.sliding_totals(_typed(x)).select(
+        "customer_id",
+        F.col("window.start").alias("window_start"),
+        F.col("rolling_24h_amount").cast("decimal(38,2)").alias("rolling_24h_amount"),
+        "rolling_24h_count",
+    )
+    return _collected(x, closed, "windows")
+
+
+_CLOSED_SQL = f"""{_SLIDING_SQL},
+closed AS (
+  SELECT customer_id, window_start, rolling_24h_amount, rolling_24h_count FROM sliding
+  WHERE window_start + INTERVAL 24 HOURS <= (SELECT date_trunc('milliseconds', max(transaction_timestamp)) - INTERVAL 2 HOURS FROM tx))"""
+WINDOW_SQL = f"WITH {_CLOSED_SQL}\nSELECT * FROM closed"
+
+
+def stream_window_join(x: Inputs) -> DataFrame:
+    """Per transaction, the largest closed window it fell into."""
+    joined = windows.with_window_totals(_typed(x)).select(
+        "transaction_id", F.col("window.start").alias("window_start"), "rolling_24h_amount", "rolling_24h_count"
+    )
+    rows = _collected(x, joined, "window-join")
+    return rows.groupBy("transaction_id").agg(
+        F.count("*").alias("windows"),
+        F.max("rolling_24h_amount").cast("decimal(38,2)").alias("peak_24h_amount"),
+        F.max("rolling_24h_count").alias("peak_24h_count"),
+    )
+
+
+WINDOW_JOIN_SQL = f"""WITH {_CLOSED_SQL}
+SELECT t.transaction_id, count(*) AS windows, max(c.rolling_24h_amount) AS peak_24h_amount,
+       max(c.rolling_24h_count) AS peak_24h_count
+FROM sv t JOIN closed c ON c.customer_id = t.customer_id AND t.transaction_timestamp >= c.window_start
+  AND t.transaction_timestamp < c.window_start + INTERVAL 24 HOURS
+GROUP BY t.transaction_id"""
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_velocity_state(x: Inputs) -> DataFrame:
+    before = x.spark.conf.get(STATE_STORE)
+    x.spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        moving = stateful.stateful_velocity(_typed(x))
+        rows = _collected(x, moving, "velocity-state")
+    finally:
+        x.spark.conf.set(STATE_STORE, before)
+    return rows.select("transaction_id", "customer_id", "rolling_24h_amount", "rolling_24h_count")
+
+
+VELOCITY_STATE_SQL = f"""WITH {SILVER_SQL}
+SELECT transaction_id, customer_id, CAST(sum(amount_eur) OVER w AS DECIMAL(38,2)) AS rolling_24h_amount,
+       count(*) OVER w AS rolling_24h_count FROM sv
+WINDOW w AS (PARTITION BY customer_id ORDER BY transaction_timestamp
+             RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW)"""
+
+
+def stream_alerts(x: Inputs) -> DataFrame:
+    """Messages through quarantine, bronze and silver to the alert table."""
+    base = run_dir(x.spark, "medallion")
+    paths = medallion.MedallionPaths.under(base)
+    parsed = ingest_ops.parse_messages(StreamInputs(x.spark, x.sf_dir).messages, ingested_at=F.col("kafka_timestamp"))
+    handler = medallion.batch_handler(x.dimensions, RULES, paths)
+    sinks.finish(sinks.each_batch(parsed, handler, f"{base}/checkpoint"))
+    return x.spark.read.parquet(paths.alerts).select(
+        "alert_id", "transaction_id", "customer_id", "rule_id", "risk_score", "alert_severity", "transaction_amount_eur"
+    )
+
+
+# Broken messages go to quarantine before velocity is computed.
+STREAM_ALERTS_SQL = "WITH " + rules.ALERTS_SQL.replace(
+    "event_id % 101 <> 0 AND amount > 0", "event_id % 101 <> 0 AND event_id % 103 <> 0 AND amount > 0"
+) + """
+SELECT sha256(transaction_id || '|' || rule_id) AS alert_id, transaction_id, customer_id, rule_id, risk_score,
+       alert_severity, amount_eur AS transaction_amount_eur FROM alerts"""
+
+
+ENTRIES = {
+    "stream_bronze": Entry(stream_bronze, ingest.PARSE_SQL),
+    "stream_silver": Entry(stream_silver, ingest.FLAGS_SQL),
+    "stream_dedup": Entry(stream_dedup, DEDUP_SQL),
+    "stream_window_agg": Entry(stream_window_agg, WINDOW_SQL),
+    "stream_window_join": Entry(stream_window_join, WINDOW_JOIN_SQL),
+    "stream_velocity_state": Entry(stream_velocity_state, VELOCITY_STATE_SQL),
+    "stream_alerts": Entry(stream_alerts, STREAM_ALERTS_SQL),
+}

@@ -253,7 +253,7 @@ def gap_statistics(df: DataFrame, ts: str = "transaction_timestamp") -> DataFram
         F.sum(F.col("__q") + x * x).alias("__q"),
     )
     n, s, q = F.col("__n"), F.col("__s"), F.col("__q")
-    variance = F.try_divide(F.greatest(q - s * s / F.nullif(n, F.lit(0)), F.lit(0.0)), n - 1)
+    variance = F.when(n > 1, F.greatest(F.try_divide(q - s * s / n, n - 1), F.lit(0.0)))
     return totals.select(
         "customer_id",
         F.try_divide(s, n).alias("avg_hours_between_transactions"),

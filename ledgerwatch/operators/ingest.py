@@ -33,11 +33,11 @@ def parse_messages(
     ]
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
     nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-    return (
-        raw.select(F.from_json(F.col("value").cast("string"), nullable).alias("data"), *carried)
-        .select("data.*", *[c for c in ("kafka_partition", "kafka_offset", "kafka_timestamp") if carried])
-        .withColumn("ingestion_timestamp", stamp)
-        .withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
+    # ``inline`` decodes each message exactly once: with a plain field access, a
+    # later filter would be pushed below it together with copies of the decoder.
+    decoded = F.inline(F.array(F.from_json(F.col("value").cast("string"), nullable)))
+    return raw.select(decoded, *carried).withColumns(
+        {"ingestion_timestamp": stamp, "ingestion_date": F.to_date(stamp)}
     )
 
 

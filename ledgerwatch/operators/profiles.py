@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import ProfileConfig
 from ..functions import risk
-from ..functions.flags import is_true
+from ..functions.flags import account_age_days, is_true
 from ..functions.money import count_when, exact_avg, money_avg
 from ..schemas import GOLD_CUSTOMER_DAILY_SUMMARY
 from .velocity import gap_statistics
@@ -149,7 +149,7 @@ def extended_profiles(
         "customer_name",
         "customer_segment",
         "account_open_date",
-        F.datediff(F.lit(as_of), "account_open_date").alias("account_age_days"),
+        account_age_days(F.lit(as_of), F.col("account_open_date")).alias("account_age_days"),
         "country_of_residence",
         is_true(F.col("is_pep")).alias("is_pep"),
         "kyc_status",

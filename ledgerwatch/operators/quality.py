@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.observation import Observation
 
 from ..config import QualityConfig
 
@@ -272,9 +273,17 @@ def reconcile(
 
 
 def service_levels(
-    alerts: DataFrame, ingested: str, raised: str, as_of: Column, cfg: QualityConfig
+    alerts: DataFrame,
+    ingested: str,
+    raised: str,
+    as_of: Column,
+    cfg: QualityConfig,
+    quality_score: float | None = None,
 ) -> DataFrame:
-    """95th-percentile ingest-to-alert seconds, lag of the newest row, verdicts."""
+    """95th-percentile ingest-to-alert seconds, lag of the newest row, verdicts.
+
+    ``quality_score`` is the percentage of the latest quality summary.
+    """
     seconds = (F.unix_micros(raised) - F.unix_micros(ingested)) / F.lit(1e6)
     return alerts.agg(
         F.percentile_approx(seconds, 0.95, F.lit(1_000_000)).alias("p95_latency_seconds"),
@@ -283,10 +292,20 @@ def service_levels(
         {
             "latency_ok": F.col("p95_latency_seconds") < cfg.latency_p95_seconds,
             "lag_ok": F.col("lag_minutes") <= cfg.max_lag_minutes,
+            "quality_ok": F.lit(quality_score) >= F.lit(cfg.quality_floor_percent),
         }
     )
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` and its row count, taken while ``df`` is written: no extra job.
+
+    Works on batch frames; streams report theirs to ``streaming.progress``.
+    """
+    rows = Observation(name)
+    return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
+
+
 def column_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, NULLs, minimum, maximum and mean of numeric columns, one row each."""
     measured = df.agg(

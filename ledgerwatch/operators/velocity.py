@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import RuleConfigA
-from ..functions.money import exact_avg
+from ..functions.money import exact_avg, from_cents, to_cents
 
 _MICROS_PER_MINUTE = 60_000_000
+_MICROS_PER_HOUR = 3.6e9
 
 
 def trailing_sums(
@@ -101,7 +102,7 @@ def trailing_velocity(
     summed = trailing_sums(
         df,
         {
-            "rolling_24h_amount": F.col(amount),
+            "rolling_24h_amount": to_cents(F.col(amount)),
             "rolling_24h_count": F.lit(1).cast("bigint"),
             "structuring_24h_count": near.cast("int").cast("bigint"),
         },
@@ -111,8 +112,8 @@ def trailing_velocity(
     )
     return summed.withColumns(
         {
-            "rolling_24h_amount": F.col("rolling_24h_amount").cast("decimal(38,2)"),
-            "rolling_24h_avg": exact_avg(F.col("rolling_24h_amount"), F.col("rolling_24h_count")),
+            "rolling_24h_amount": from_cents(F.col("rolling_24h_amount")),
+            "rolling_24h_avg": exact_avg(from_cents(F.col("rolling_24h_amount")), F.col("rolling_24h_count")),
         }
     )
 
@@ -197,45 +198,47 @@ def attach_velocity_anomaly(df: DataFrame, activity: DataFrame, cfg: RuleConfigA
     return joined.withColumn("is_velocity_anomaly", F.coalesce("is_velocity_anomaly", F.lit(False)))
 
 
-def time_between(df: DataFrame, ts: str = "transaction_timestamp") -> DataFrame:
+def _slice(ts: str, slice_minutes: int) -> Column:
+    at = F.unix_micros(F.col(ts))
+    return at - F.pmod(at, F.lit(slice_minutes * _MICROS_PER_MINUTE))
+
+
+def time_between(
+    df: DataFrame, ts: str = "transaction_timestamp", slice_minutes: int = 60
+) -> DataFrame:
     """Hours since the customer's previous transaction, one row per transaction.
 
-    Rows are compared inside (customer, day) groups; the first of each day
-    looks up the end of the customer's last active day.
+    Rows are compared inside (customer, time slice) groups; the first of each
+    slice looks up the end of the customer's last active slice.
     """
-    day = F.to_date(F.col(ts))
-    keyed = df.withColumns({"__day": day, "__at": F.unix_micros(F.col(ts))})
-    ends = keyed.groupBy("customer_id", "__day").agg(F.max("__at").alias("__day_end"))
-    by_day = Window.partitionBy("customer_id").orderBy("__day")
+    keyed = df.withColumns({"__slice": _slice(ts, slice_minutes), "__at": F.unix_micros(F.col(ts))})
+    ends = keyed.groupBy("customer_id", "__slice").agg(F.max("__at").alias("__end"))
+    by_slice = Window.partitionBy("customer_id").orderBy("__slice")
     previous_end = ends.select(
-        "customer_id", "__day", F.lag("__day_end").over(by_day).alias("__previous_end")
+        "customer_id", "__slice", F.lag("__end").over(by_slice).alias("__previous_end")
     )
-    inside = Window.partitionBy("customer_id", "__day").orderBy("__at")
+    inside = Window.partitionBy("customer_id", "__slice").orderBy("__at")
     previous = F.coalesce(F.lag("__at").over(inside), F.col("__previous_end"))
     return (
-        keyed.join(previous_end, ["customer_id", "__day"], "left")
-        .withColumn("hours_since_previous", (F.col("__at") - previous) / F.lit(3.6e9))
-        .drop("__day", "__at", "__previous_end")
+        keyed.join(previous_end, ["customer_id", "__slice"], "left")
+        .withColumn("hours_since_previous", (F.col("__at") - previous) / F.lit(_MICROS_PER_HOUR))
+        .drop("__slice", "__at", "__previous_end")
     )
 
 
-def gap_statistics(df: DataFrame, ts: str = "transaction_timestamp") -> DataFrame:
+def gap_statistics(
+    df: DataFrame, ts: str = "transaction_timestamp", slice_minutes: int = 60
+) -> DataFrame:
     """Mean and sample deviation of the hours between a customer's transactions.
 
-    Count, sum and sum of squares are built per (customer, day), so only daily
-    summaries are brought together per customer.
+    Count, sum and sum of squares are built per (customer, time slice), so only
+    slice summaries are brought together per customer.
     """
+    inside = Window.partitionBy("customer_id", "__slice").orderBy("__at")
     gaps = (
-        df.select("customer_id", F.to_date(F.col(ts)).alias("__day"), F.unix_micros(F.col(ts)).alias("__at"))
-        .withColumn(
-            "__gap",
-            (
-                F.col("__at")
-                - F.lag("__at").over(Window.partitionBy("customer_id", "__day").orderBy("__at"))
-            )
-            / F.lit(3.6e9),
-        )
-        .groupBy("customer_id", "__day")
+        df.select("customer_id", _slice(ts, slice_minutes).alias("__slice"), F.unix_micros(F.col(ts)).alias("__at"))
+        .withColumn("__gap", (F.col("__at") - F.lag("__at").over(inside)) / F.lit(_MICROS_PER_HOUR))
+        .groupBy("customer_id", "__slice")
         .agg(
             F.count("__gap").alias("__n"),
             F.coalesce(F.sum("__gap"), F.lit(0.0)).alias("__s"),
@@ -244,8 +247,10 @@ def gap_statistics(df: DataFrame, ts: str = "transaction_timestamp") -> DataFram
             F.max("__at").alias("__end"),
         )
     )
-    by_day = Window.partitionBy("customer_id").orderBy("__day")
-    across = gaps.withColumn("__x", (F.col("__start") - F.lag("__end").over(by_day)) / F.lit(3.6e9))
+    by_slice = Window.partitionBy("customer_id").orderBy("__slice")
+    across = gaps.withColumn(
+        "__x", (F.col("__start") - F.lag("__end").over(by_slice)) / F.lit(_MICROS_PER_HOUR)
+    )
     x = F.coalesce(F.col("__x"), F.lit(0.0))
     totals = across.groupBy("customer_id").agg(
         F.sum(F.col("__n") + F.col("__x").isNotNull().cast("int")).alias("__n"),

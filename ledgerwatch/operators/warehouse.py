@@ -285,6 +285,7 @@ def fact_transaction(
         F.coalesce("dest_geography_sk", unknown).alias("dest_geography_sk"),
         date_key(F.to_date("transaction_timestamp")).alias("transaction_date_sk"),
         "transaction_timestamp",
+        "processing_timestamp",
         F.col("amount").cast("decimal(18,2)").alias("amount"),
         "currency",
         "channel",
@@ -326,6 +327,11 @@ def fact_alert(alerts: DataFrame, customers: DataFrame, statuses: DataFrame) ->
         "total_rules_triggered",
         "reviewed_by",
         "reviewed_at",
+        # Filled by the case system, not by this engine.
+        F.lit(None).cast("string").alias("resolution_notes"),
+        F.lit(None).cast("string").alias("case_id"),
+        F.lit(None).cast("boolean").alias("is_str_filed"),
+        F.lit(None).cast("timestamp").alias("str_filed_date"),
     )
 
 
@@ -376,7 +382,14 @@ def monthly_summary(facts: DataFrame) -> DataFrame:
             .alias("suspicious_volume"),
             F.countDistinct("customer_sk").alias("unique_customers"),
         )
-        .withColumn("avg_amount", exact_avg(F.col("total_volume"), F.col("transaction_count")))
+        .withColumns(
+            {
+                "avg_amount": exact_avg(F.col("total_volume"), F.col("transaction_count")),
+                "summary_sk": surrogate_key(
+                    F.col("year_month"), F.col("transaction_type_sk"), F.col("geography_sk")
+                ),
+            }
+        )
     )
 
 

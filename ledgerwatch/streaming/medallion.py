@@ -1,5 +1,8 @@
 """Messages to bronze, silver and alert tables, micro-batch by micro-batch.
 
+Bronze holds every message; those that break the contract are in its
+``quarantined=true`` partitions, with the clauses they break.
+
 Every write replaces the partitions of its own batch id, so a batch that is
 repeated after a failure leaves each table as if it had run once.
 """
@@ -22,28 +25,34 @@ from ..sources.tables import overwrite_partitions
 @dataclass(frozen=True)
 class MedallionPaths:
     bronze: str
-    quarantine: str
     silver: str
     alerts: str
 
     @classmethod
     def under(cls, base: str) -> MedallionPaths:
-        return cls(*[f"{base.rstrip('/')}/{name}" for name in ("bronze", "quarantine", "silver", "alerts")])
+        return cls(*[f"{base.rstrip('/')}/{name}" for name in ("bronze", "silver", "alerts")])
 
 
 def batch_handler(
     dims: Dimensions, cfg: RuleConfigA, paths: MedallionPaths, scale: ScaleConfig = ScaleConfig()
 ) -> Callable[[DataFrame, int], None]:
-    """Handler for ``each_batch`` over a stream of parsed messages."""
+    """Handler for ``each_batch`` over a stream of parsed messages.
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        checked = ingest.contract_violations(batch).withColumn("batch_id", F.lit(batch_id))
-        accepted, rejected = ingest.split_quarantine(checked)
-        overwrite_partitions(rejected, paths.quarantine, ("ingestion_date", "batch_id"))
-        overwrite_partitions(accepted, paths.bronze, ("ingestion_date", "batch_id"))
+    Once a batch has landed, the rest runs in the session of the dimensions:
+    the session of a stream has adaptive execution, and with it the handling of
+    skewed joins, switched off.
+    """
+    spark = dims.customers.sparkSession
 
-        bronze = spark.read.schema(accepted.schema).parquet(paths.bronze).filter(F.col("batch_id") == batch_id)
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        checked = ingest.contract_violations(batch).withColumns(
+            {"batch_id": F.lit(batch_id), "quarantined": F.size("violations") > 0}
+        )
+        overwrite_partitions(checked, paths.bronze, ("ingestion_date", "batch_id", "quarantined"))
+
+        landed = spark.read.schema(checked.schema).parquet(paths.bronze)
+        bronze = landed.filter((F.col("batch_id") == batch_id) & ~F.col("quarantined"))
+        bronze = bronze.drop("violations", "quarantined")
         silver = build_silver(bronze, dims, cfg)
         overwrite_partitions(silver, paths.silver, ("transaction_date", "batch_id"))
 

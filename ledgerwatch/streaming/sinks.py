@@ -31,6 +31,18 @@ def append_stream(
     return _trigger(writer, every).start(path)
 
 
+def publish(
+    messages: DataFrame,
+    options: dict[str, str],
+    checkpoint: str,
+    fmt: str = "kafka",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Send key/value rows, such as routed alerts, to a topic."""
+    writer = messages.writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint)
+    return _trigger(writer.outputMode("append"), every).start()
+
+
 def each_batch(
     df: DataFrame,
     handle: Callable[[DataFrame, int], None],

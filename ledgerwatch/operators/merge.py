@@ -73,7 +73,8 @@ def conditional_merge(
 
 def newest_wins(target: DataFrame, source: DataFrame, keys: list[str], time_column: str) -> DataFrame:
     """Late-data merge: a row replaces its older version, never its newer one."""
-    latest = keep_latest(source, keys, [F.col(time_column).desc_nulls_last()])
+    ties = [F.col(c).desc_nulls_last() for c in source.columns if c not in (*keys, time_column)]
+    latest = keep_latest(source, keys, [F.col(time_column).desc_nulls_last(), *ties])
     newer = F.col(f"source.{time_column}") > F.col(f"target.{time_column}")
     return conditional_merge(target, latest, keys, update_when=newer)
 

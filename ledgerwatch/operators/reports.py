@@ -31,10 +31,12 @@ def is_open(status: Column) -> Column:
 def enrich_alerts(alerts: DataFrame, transactions: DataFrame, profiles: DataFrame) -> DataFrame:
     """Alerts with device and channel details and current customer attributes.
 
-    Both sides are reduced to one row per key first, so no alert is repeated.
+    Both sides are reduced to one row per key first, so no alert is repeated;
+    transactions without an alert are dropped before they are shuffled.
     """
+    alerted = transactions.join(alerts.select("transaction_id"), "transaction_id", "left_semi")
     details = keep_latest(
-        transactions.select(
+        alerted.select(
             "transaction_id", "merchant_category", "channel", "device_id", "amount_vs_avg_ratio"
         ),
         ["transaction_id"],

@@ -14,7 +14,7 @@ from ...config import RuleConfigA
 from ...operators import ingest as ingest_ops
 from ...session import run_dir
 from ...sources.messages import file_stream
-from ...streaming import medallion, sinks, stateful, windows
+from ...streaming import medallion, sinks, windows
 from .. import alerting
 from . import ingest, rules
 from .base import Entry
@@ -131,22 +131,19 @@ FROM sv t JOIN closed c ON c.customer_id = t.customer_id AND t.transaction_times
 GROUP BY t.transaction_id"""
 
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def stream_velocity_state(x: Inputs) -> DataFrame:
-    before = x.spark.conf.get(STATE_STORE)
-    x.spark.conf.set(STATE_STORE, ROCKSDB)
-    try:
-        moving = stateful.stateful_velocity(_typed(x))
-        rows = _collected(x, moving, "velocity-state")
-    finally:
-        x.spark.conf.set(STATE_STORE, before)
+def stream_velocity(x: Inputs) -> DataFrame:
+    """Trailing frame of every transaction, batch by batch over a stored state."""
+    base = run_dir(x.spark, "velocity")
+    narrow = _typed(x).select(
+        "transaction_id", "customer_id", "transaction_timestamp", "transaction_date", "amount_eur"
+    )
+    handler = medallion.velocity_handler(x.spark, f"{base}/state", f"{base}/table", RULES)
+    sinks.finish(sinks.each_batch(narrow, handler, f"{base}/checkpoint"))
+    rows = x.spark.read.parquet(f"{base}/table")
     return rows.select("transaction_id", "customer_id", "rolling_24h_amount", "rolling_24h_count")
 
 
-VELOCITY_STATE_SQL = f"""WITH {SILVER_SQL}
+STREAM_VELOCITY_SQL = f"""WITH {SILVER_SQL}
 SELECT transaction_id, customer_id, CAST(sum(amount_eur) OVER w AS DECIMAL(38,2)) AS rolling_24h_amount,
        count(*) OVER w AS rolling_24h_count FROM sv
 WINDOW w AS (PARTITION BY customer_id ORDER BY transaction_timestamp
@@ -179,6 +176,6 @@ ENTRIES = {
     "stream_dedup": Entry(stream_dedup, DEDUP_SQL),
     "stream_window_agg": Entry(stream_window_agg, WINDOW_SQL),
     "stream_window_join": Entry(stream_window_join, WINDOW_JOIN_SQL),
-    "stream_velocity_state": Entry(stream_velocity_state, VELOCITY_STATE_SQL),
+    "stream_velocity": Entry(stream_velocity, STREAM_VELOCITY_SQL),
     "stream_alerts": Entry(stream_alerts, STREAM_ALERTS_SQL),
 }

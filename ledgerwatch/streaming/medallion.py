@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RuleConfigA, ScaleConfig
@@ -64,25 +64,51 @@ def batch_handler(
     return handle
 
 
-def batch_alerts(
-    silver: DataFrame, batch_id: int, cfg: RuleConfigA, scale: ScaleConfig = ScaleConfig()
+def batch_velocity(
+    stored: DataFrame, batch_id: int, cfg: RuleConfigA, scale: ScaleConfig = ScaleConfig()
 ) -> DataFrame | None:
-    """Alerts of one batch, with velocity over everything stored up to it.
+    """The transactions of one batch with their trailing frame over all stored ones.
 
-    Only the partitions within one frame of the batch are read. None for a
-    batch without transactions.
+    The table is the state: only its partitions within one frame of the batch
+    are read, and the sums are spread over time slices, so a customer with most
+    of the rows is no bottleneck. None for a batch without transactions.
     """
     own = F.col("batch_id") == batch_id
-    first, last = silver.filter(own).agg(F.min("transaction_timestamp"), F.max("transaction_timestamp")).first()
+    first, last = stored.filter(own).agg(F.min("transaction_timestamp"), F.max("transaction_timestamp")).first()
     if first is None:
         return None
     start = first - timedelta(hours=cfg.velocity_window_hours)
-    nearby = silver.filter(
+    nearby = stored.filter(
         F.col("transaction_date").between(F.lit(start.date()), F.lit(last.date()))
         & F.col("transaction_timestamp").between(F.lit(start), F.lit(last))
         & (F.col("batch_id") <= batch_id)
     )
-    moving = velocity.trailing_velocity(nearby, cfg, scale.velocity_slice_minutes, wanted=own)
-    raised_at = F.col("ingestion_timestamp")
-    alerts = rules.raise_alerts(moving, cfg, raised_at)
+    return velocity.trailing_velocity(nearby, cfg, scale.velocity_slice_minutes, wanted=own)
+
+
+def batch_alerts(
+    silver: DataFrame, batch_id: int, cfg: RuleConfigA, scale: ScaleConfig = ScaleConfig()
+) -> DataFrame | None:
+    """Alerts of one batch, raised when its messages came in."""
+    moving = batch_velocity(silver, batch_id, cfg, scale)
+    if moving is None:
+        return None
+    alerts = rules.raise_alerts(moving, cfg, F.col("ingestion_timestamp"))
     return rules.alert_columns(alerts).withColumn("batch_id", F.lit(batch_id))
+
+
+def velocity_handler(
+    spark: SparkSession, state: str, output: str, cfg: RuleConfigA, scale: ScaleConfig = ScaleConfig()
+) -> Callable[[DataFrame, int], None]:
+    """Handler that stores typed transactions and their trailing velocity."""
+    placed = ("transaction_date", "batch_id")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        marked = batch.withColumn("batch_id", F.lit(batch_id))
+        overwrite_partitions(marked, state, placed)
+        stored = spark.read.schema(marked.schema).parquet(state)
+        moving = batch_velocity(stored, batch_id, cfg, scale)
+        if moving is not None:
+            overwrite_partitions(moving, output, placed)
+
+    return handle

@@ -2,8 +2,12 @@
 
 The state of a customer is kept per time slice: small totals for every slice of
 the frame, and the single rows of a slice, which are only fetched for the slices
-at the two edges of a frame. One call handles the rows one trigger brought for
-one customer, which the source's rate limit bounds.
+at the two edges of a frame.
+
+One call handles what one trigger brought for one customer, so the source must
+be rate-limited (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``). To catch up
+on a large backlog use ``medallion.velocity_handler``, which spreads a busy
+customer over many tasks.
 """
 
 from __future__ import annotations
@@ -22,6 +26,10 @@ OUTPUT = (
 )
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _processor(hours: int, slice_minutes: int) -> StatefulProcessor:
     slice_us = slice_minutes * 60_000_000
     frame_us = hours * 3_600_000_000
@@ -118,7 +126,7 @@ def stateful_velocity(
 ) -> DataFrame:
     """Each transaction with its trailing amount and count, as soon as it arrives.
 
-    Needs the RocksDB state store. A row counts what was seen up to its batch;
+    Needs the RocksDB state store (set ``STATE_STORE`` to ``ROCKSDB``). A row counts what was seen up to its batch;
     rows later than the lateness bound belong in ``merge.newest_wins`` instead.
     """
     ts = "transaction_timestamp"

@@ -39,11 +39,9 @@ def amount_ratio(amount: Column, average: Column) -> Column:
 
 def null_share_score(columns: list[str]) -> Column:
     """Share of the named columns that are filled, as DECIMAL(3,2)."""
-    nulls = F.lit(0)
-    for name in columns:
-        nulls = nulls + F.col(name).isNull().cast("int")
+    nulls = " + ".join(f"CAST(`{name}` IS NULL AS INT)" for name in columns)
     n = len(columns)
-    return ((F.lit(n) - nulls) / F.lit(n)).cast("decimal(3,2)")
+    return F.expr(f"CAST(({n} - ({nulls})) / {n} AS DECIMAL(3,2))")
 
 
 def account_age_days(as_of: Column, opened: Column) -> Column:

@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import ProfileConfig, RuleConfigA, RuleConfigB
-from .flags import is_true
 
 
 @dataclass(frozen=True)
@@ -37,20 +36,18 @@ RULE_CATALOGUE = (
 PRIORITY_RANK = {"CRITICAL": 1, "HIGH": 2, "MEDIUM": 3, "LOW": 4}
 
 
-def lookup(key: Column, mapping: dict[str, str]) -> Column:
-    """Constant lookup as a CASE expression, so it stays inside codegen."""
-    result = F.lit(None).cast("string")
-    for name, value in reversed(list(mapping.items())):
-        result = F.when(key == name, F.lit(value)).otherwise(result)
-    return result
+def lookup(column: str, mapping: dict[str, str]) -> Column:
+    """Constant look-up as one CASE expression, so it stays inside codegen."""
+    cases = " ".join(f"WHEN '{key}' THEN '{value}'" for key, value in mapping.items())
+    return F.expr(f"CASE {column} {cases} END")
 
 
-def alert_name(rule_id: Column) -> Column:
-    return lookup(rule_id, {r.rule_id: r.alert_name for r in RULE_CATALOGUE})
+def alert_name(column: str) -> Column:
+    return lookup(column, {r.rule_id: r.alert_name for r in RULE_CATALOGUE})
 
 
-def rule_category(rule_id: Column) -> Column:
-    return lookup(rule_id, {r.rule_id: r.rule_category for r in RULE_CATALOGUE})
+def rule_category(column: str) -> Column:
+    return lookup(column, {r.rule_id: r.rule_category for r in RULE_CATALOGUE})
 
 
 @dataclass(frozen=True)
@@ -85,12 +82,11 @@ def pack_a(cfg: RuleConfigA) -> tuple[FlagRule, ...]:
 
 
 def points_score(cfg: RuleConfigA) -> Column:
-    total = F.lit(cfg.base_score)
-    for rule in pack_a(cfg):
-        total = total + F.when(F.col(rule.flag), F.lit(getattr(cfg, rule.points_field))).otherwise(0)
+    points = [f"IF({r.flag}, {getattr(cfg, r.points_field)}, 0)" for r in pack_a(cfg)]
+    total = " + ".join([str(cfg.base_score), *points])
     if cfg.score_cap is not None:
-        total = F.least(total, F.lit(cfg.score_cap))
-    return total.cast("decimal(5,2)")
+        total = f"least({total}, {cfg.score_cap})"
+    return F.expr(f"CAST({total} AS DECIMAL(5,2))")
 
 
 def severity(score: Column, cfg: RuleConfigA) -> Column:
@@ -105,19 +101,18 @@ def severity(score: Column, cfg: RuleConfigA) -> Column:
 def primary_rule(cfg: RuleConfigA) -> Column:
     """Id of the first raised rule in precedence order."""
     *named, last = pack_a(cfg)
-    return F.coalesce(*[F.when(F.col(r.flag), F.lit(r.rule_id)) for r in named], F.lit(last.rule_id))
+    cases = " ".join(f"WHEN {r.flag} THEN '{r.rule_id}'" for r in named)
+    return F.expr(f"CASE {cases} ELSE '{last.rule_id}' END")
 
 
 def raised_rules(cfg: RuleConfigA) -> Column:
     """Ids of every raised rule."""
-    return F.array_compact(F.array(*[F.when(F.col(r.flag), F.lit(r.rule_id)) for r in pack_a(cfg)]))
+    ids = ", ".join(f"IF({r.flag}, '{r.rule_id}', NULL)" for r in pack_a(cfg))
+    return F.expr(f"array_compact(array({ids}))")
 
 
 def rules_raised(flags: list[str]) -> Column:
-    total = F.lit(0)
-    for flag in flags:
-        total = total + is_true(F.col(flag)).cast("int")
-    return total
+    return F.expr(" + ".join(f"CAST(coalesce({flag}, FALSE) AS INT)" for flag in flags))
 
 
 def unit_score(n_rules: Column, base_risk: Column, cfg: RuleConfigB) -> Column:

@@ -52,12 +52,11 @@ def name_alerts(df: DataFrame, cfg: RuleConfigA, per_rule: bool = False) -> Data
         df = df.withColumn("rule_id", F.explode(risk.raised_rules(cfg)))
     else:
         df = df.withColumn("rule_id", risk.primary_rule(cfg))
-    rule_id = F.col("rule_id")
     return df.withColumns(
         {
-            "rule_name": risk.alert_name(rule_id),
-            "rule_category": risk.rule_category(rule_id),
-            "alert_id": keys.alert_id(F.col("transaction_id"), rule_id),
+            "rule_name": risk.alert_name("rule_id"),
+            "rule_category": risk.rule_category("rule_id"),
+            "alert_id": keys.alert_id(F.col("transaction_id"), F.col("rule_id")),
         }
     )
 
@@ -138,6 +137,14 @@ def full_alert_columns(alerts: DataFrame, profiles: DataFrame, cfg: RuleConfigA)
     return wide.select(*[F.col(f.name).cast(f.dataType) for f in S.GOLD_ALERTS.fields])
 
 
+def read_details(alerts: DataFrame, cfg: RuleConfigA) -> DataFrame:
+    """Unpack ``rule_evaluation_details`` into one column per flag and measure."""
+    fields = [f"{r.flag} boolean" for r in risk.pack_a(cfg)]
+    schema = ", ".join([*fields, "rolling_24h_amount decimal(38,2)", "rolling_24h_count bigint"])
+    details = F.inline(F.array(F.from_json("rule_evaluation_details", schema)))
+    return alerts.select("alert_id", "rule_id", details)
+
+
 def route_alerts(alerts: DataFrame, severities: tuple[str, ...]) -> DataFrame:
     """Key/value messages of the alerts with one of the given severities."""
     return alerts.filter(F.col("alert_severity").isin(*severities)).select(

@@ -42,25 +42,24 @@ def trailing_sums(
         raise ValueError("the slice width must divide the frame")
 
     at = F.unix_micros(F.col(ts))
-    slice_start = at - F.pmod(at, F.lit(slice_us))
     names = list(measures)
     parts = {n: f"__part_{i}" for i, n in enumerate(names)}
     values = {parts[n]: F.coalesce(measures[n], F.lit(0)) for n in names}
+    placed = {"__at": at, "__slice": at - F.pmod(at, F.lit(slice_us)), **values}
 
-    narrow = df.filter(F.col(ts).isNotNull()).select(
-        F.col(key), slice_start.alias("__slice"), *[v.alias(n) for n, v in values.items()]
-    )
+    narrow = df.filter(F.col(ts).isNotNull()).withColumns(placed).select(key, "__slice", *values)
     # One pass makes both the own and the leaving entry of a row; the leaving
     # entry carries nothing but its key, position and negated measures.
     keep = F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))
-    staying, payload = F.col("__own"), F.col("__own") & F.col("__wanted")
-    doubled = df.withColumns({"__wanted": keep, "__own": F.explode(F.array(F.lit(True), F.lit(False)))})
-    own_and_leaving = doubled.select(
-        *[F.col(c) if c == key else F.when(payload, F.col(c)).alias(c) for c in df.columns],
-        payload.alias("__own"),
-        F.when(staying, at).otherwise(at + F.lit(frame_us + 1)).alias("__pos"),
-        F.when(staying, slice_start).otherwise(slice_start + F.lit(frame_us)).alias("__slice"),
-        *[F.when(staying, v).otherwise(-v).alias(n) for n, v in values.items()],
+    doubled = df.withColumns({**placed, "__wanted": keep}).withColumn(
+        "__own", F.explode(F.array(F.lit(True), F.lit(False)))
+    )
+    own_and_leaving = doubled.selectExpr(
+        *[c if c == key else f"IF(__own AND __wanted, `{c}`, NULL) AS `{c}`" for c in df.columns],
+        "__own AND __wanted AS __own",
+        f"IF(__own, __at, __at + {frame_us + 1}) AS __pos",
+        f"IF(__own, __slice, __slice + {frame_us}) AS __slice",
+        *[f"IF(__own, {p}, -{p}) AS {p}" for p in values],
     )
     earlier = Window.partitionBy(key).orderBy("__slice").rangeBetween(-frame_us, -1)
     before = (

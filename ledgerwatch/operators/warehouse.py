@@ -96,9 +96,8 @@ def countries(spark: SparkSession) -> DataFrame:
 
 
 def listed_countries(spark: SparkSession) -> DataFrame:
-    return countries(spark).filter(F.col("country_code").isin(*LISTED_COUNTRIES)).select(
-        "country_code", "country_name", F.lit("HIGH").alias("risk_level"), F.lit(True).alias("fatf_listed")
-    )
+    listed = [(c[0], c[1], "HIGH", True) for c in COUNTRIES if c[0] in LISTED_COUNTRIES]
+    return _constant(spark, listed, ["country_code", "country_name", "risk_level", "fatf_listed"])
 
 
 # --- dimensions ---------------------------------------------------------------------

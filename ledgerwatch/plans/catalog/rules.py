@@ -131,6 +131,18 @@ SELECT sha256(transaction_id || '|' || rule_id) AS alert_id, TIMESTAMP '2024-01-
 FROM alerts JOIN names USING (rule_id) LEFT JOIN context USING (customer_id)"""
 
 
+def alert_details_json(x: Inputs) -> DataFrame:
+    """The JSON details of each alert, read back into columns."""
+    silver = alerting.build_silver(x.bronze, x.dimensions, PACK_A)
+    context = profiles.customer_profiles(silver, AS_OF.date(), ProfileConfig())
+    return rules.read_details(rules.full_alert_columns(alerts(x), context, PACK_A), PACK_A)
+
+
+DETAILS_JSON_SQL = f"""WITH {ALERTS_SQL}
+SELECT sha256(transaction_id || '|' || rule_id) AS alert_id, rule_id, {", ".join(FLAGS_A)},
+       rolling_24h_amount, rolling_24h_count FROM alerts"""
+
+
 def alerts_extended(x: Inputs) -> DataFrame:
     """One row per raised rule, with structuring and velocity anomaly evaluated too."""
     return alerts(x, SENSITIVE_A, per_rule=True).select(
@@ -228,6 +240,7 @@ ENTRIES = {
     "score_a": Entry(score_a, SCORE_A_SQL),
     "alerts_gold": Entry(alerts_gold, GOLD_SQL),
     "alerts_gold_full": Entry(alerts_gold_full, GOLD_FULL_SQL),
+    "alert_details_json": Entry(alert_details_json, DETAILS_JSON_SQL),
     "alerts_extended": Entry(alerts_extended, EXTENDED_SQL),
     "alert_routing": Entry(alert_routing, ROUTING_SQL),
     "rules_b": Entry(rules_b, RULES_B_SQL),

@@ -85,7 +85,7 @@ def stream_dedup(x: Inputs) -> DataFrame:
     typed = _typed(x)
     copies = F.explode(F.sequence(F.lit(0), (F.col("amount") % 3).cast("int")))
     repeated = typed.withColumn("copy", copies).drop("copy")
-    unique = windows.unique_transactions(repeated).select("transaction_id", "customer_id", "amount_eur")
+    unique = windows.unique_transactions(repeated, spread=16).select("transaction_id", "customer_id", "amount_eur")
     return _collected(x, unique, "dedup")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.grouping import keep_latest
-from ..operators.merge import upsert
+from ..operators.merge import newest_wins, upsert
 from ..operators.quality import counted
 from .tables import create_if_missing
 
@@ -85,10 +85,18 @@ class SnapshotTable:
 
 
 def upsert_partitions(
-    spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition: str
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: list[str],
+    partition: str,
+    newer_by: str | None = None,
 ) -> None:
     """Upsert into a date-partitioned table, rewriting only the touched partitions.
 
+    With ``newer_by``, a stored row gives way only to a newer one: the way to
+    bring in rows that arrived too late for a stream.
+
     The partition value must be fixed by the key (a transaction keeps its date).
     Untouched partitions are neither read (partition pruning on the join) nor
     written (dynamic overwrite stages the new files before swapping them in).
@@ -96,7 +104,11 @@ def upsert_partitions(
     target = spark.read.parquet(path)
     touched = source.select(partition).distinct()
     affected = target.join(touched, partition, "left_semi")
-    merged = upsert(affected, source, keys).select(*target.columns)
+    if newer_by is None:
+        merged = upsert(affected, source, keys)
+    else:
+        merged = newest_wins(affected, source, keys, newer_by)
+    merged = merged.select(*target.columns)
     (
         merged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

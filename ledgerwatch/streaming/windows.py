@@ -8,9 +8,24 @@ from pyspark.sql import functions as F
 LATENESS = "2 hours"
 
 
-def unique_transactions(df: DataFrame, lateness: str = LATENESS, ts: str = "transaction_timestamp") -> DataFrame:
-    """Drop repeated transaction ids that arrive within the lateness bound."""
-    return df.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(["transaction_id"])
+def unique_transactions(
+    df: DataFrame, lateness: str = LATENESS, ts: str = "transaction_timestamp", spread: int = 0
+) -> DataFrame:
+    """Drop repeated transaction ids that arrive within the lateness bound.
+
+    With ``spread``, copies are first reduced within that many groups of input
+    partitions, so an id with very many copies is not sent to one task. It
+    doubles the state, so it is for sources that repeat themselves heavily.
+    """
+    marked = df.withWatermark(ts, lateness)
+    if spread:
+        group = F.pmod(F.spark_partition_id(), F.lit(spread))
+        marked = (
+            marked.withColumn("__group", group)
+            .dropDuplicatesWithinWatermark(["transaction_id", "__group"])
+            .drop("__group")
+        )
+    return marked.dropDuplicatesWithinWatermark(["transaction_id"])
 
 
 def sliding_totals(
@@ -31,17 +46,29 @@ def sliding_totals(
 
 
 def with_window_totals(
-    df: DataFrame, lateness: str = LATENESS, ts: str = "transaction_timestamp", amount: str = "amount_eur"
+    df: DataFrame,
+    lateness: str = LATENESS,
+    ts: str = "transaction_timestamp",
+    amount: str = "amount_eur",
+    salts: int = 8,
 ) -> DataFrame:
     """Each transaction joined to the totals of every window it falls into.
 
-    The join is on customer and window, which Spark can bound by the watermark.
-    It repeats a transaction per window; ``velocity.trailing_sums`` does not.
+    The join is on customer and window, which Spark can bound by the watermark,
+    and on a salt that spreads the rows of a busy customer: only the totals are
+    repeated per salt. It repeats a transaction per window, which
+    ``velocity.trailing_sums`` does not.
     """
     marked = df.withWatermark(ts, lateness)
     totals = (
         marked.groupBy(F.window(ts, "24 hours", "1 hour").alias("window"), "customer_id")
         .agg(F.sum(amount).alias("rolling_24h_amount"), F.count("*").alias("rolling_24h_count"))
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+    rows = marked.withColumns(
+        {
+            "window": F.window(ts, "24 hours", "1 hour"),
+            "__salt": F.pmod(F.xxhash64("transaction_id"), F.lit(salts)).cast("int"),
+        }
     )
-    rows = marked.withColumn("window", F.window(ts, "24 hours", "1 hour"))
-    return rows.join(totals, ["customer_id", "window"], "inner")
+    return rows.join(totals, ["customer_id", "window", "__salt"], "inner").drop("__salt")

@@ -68,6 +68,16 @@ def test_partition_upsert_leaves_other_partitions_alone(spark, tmp_path):
     assert untouched == {f.name: f.stat().st_mtime_ns for f in (tmp_path / "t" / "p=x").iterdir()}
 
 
+def test_late_rows_replace_only_older_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "id string, v int, seen int, p string"
+    tables.append_table(spark.createDataFrame([("a", 1, 5, "x"), ("b", 1, 5, "x")], schema), path, ("p",))
+    late = spark.createDataFrame([("a", 2, 4, "x"), ("b", 2, 6, "x"), ("c", 2, 1, "x")], schema)
+    upsert_partitions(spark, path, late, ["id"], "p", newer_by="seen")
+    rows = sorted(map(tuple, spark.read.parquet(path).select("id", "v", "seen").collect()))
+    assert rows == [("a", 1, 5), ("b", 2, 6), ("c", 2, 1)]
+
+
 def test_compaction_keeps_rows_and_reduces_files(spark, small, tmp_path):
     path = str(tmp_path / "t")
     orders = spark.read.parquet(f"{small}/orders.parquet").withColumn("year", F.year("o_orderdate"))

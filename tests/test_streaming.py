@@ -65,13 +65,14 @@ def test_stored_state_carries_over_batches(spark, typed_files, tmp_path):
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, batch.select(columns).collect()))
 
 
-def test_repeated_messages_across_batches_are_dropped(spark, tmp_path):
+@pytest.mark.parametrize("spread", [0, 4])
+def test_repeated_messages_across_batches_are_dropped(spark, tmp_path, spread):
     schema = "transaction_id string, transaction_timestamp timestamp"
     start = datetime(2024, 1, 1, 12)
     for rows in ([("a", start), ("b", start)], [("a", start), ("c", start + timedelta(minutes=5))]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = messages.file_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, max_files_per_trigger=1)
-    out = table_of(spark, windows.unique_transactions(stream), tmp_path)
+    out = table_of(spark, windows.unique_transactions(stream, spread=spread), tmp_path)
     assert sorted(r["transaction_id"] for r in out.collect()) == ["a", "b", "c"]
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import RuleConfigA
 from ..functions.money import exact_avg, from_cents, to_cents
+from .grouping import join_null_safe
 
 _MICROS_PER_MINUTE = 60_000_000
 _MICROS_PER_HOUR = 3.6e9
@@ -24,67 +25,67 @@ def trailing_sums(
     """Add the sum of each measure over the trailing frame ``[t - hours, t]``.
 
     Same result as ``SUM(..) OVER (PARTITION BY key ORDER BY ts RANGE BETWEEN
-    hours PRECEDING AND CURRENT ROW)``, but partitioned by (key, time slice):
-    a key with a third of all rows is spread over its slices instead of
-    landing in one task, and each row costs O(1) instead of a frame rescan.
-
-    Within a slice the trailing sum is one running total over three kinds of
-    entries: the sum of the full slices that lie before it (placed at the slice
-    start), plus each own row at its time, minus each row of the slice one
-    frame earlier, placed just after the instant it leaves the frame.
-
-    ``wanted`` limits the output to some rows; the others only contribute and
-    are shuffled without their payload.
+    hours PRECEDING AND CURRENT ROW)``, without ever gathering a key:
+
+    1. Rows of one key and instant are summed first, before any shuffle, so
+       copies and ties collapse to one entry.
+    2. The entries are partitioned by (key, time slice). Within a slice the
+       trailing sum is one running total over three kinds of entries: the sum of
+       the full slices before it (placed at the slice start), plus each entry of
+       the slice at its time, minus each entry of the slice one frame earlier,
+       placed just after the instant it leaves the frame. A slice holds at most
+       one entry per microsecond, and each entry costs O(1).
+    3. The rows look their instant up, a plain equi-join that adaptive execution
+       splits where it is skewed.
+
+    ``wanted`` limits the output to some rows; the others only contribute.
     """
     slice_us = slice_minutes * _MICROS_PER_MINUTE
     frame_us = hours * 60 * _MICROS_PER_MINUTE
     if frame_us % slice_us:
         raise ValueError("the slice width must divide the frame")
 
-    at = F.unix_micros(F.col(ts))
     names = list(measures)
-    parts = {n: f"__part_{i}" for i, n in enumerate(names)}
-    values = {parts[n]: F.coalesce(measures[n], F.lit(0)) for n in names}
-    placed = {"__at": at, "__slice": at - F.pmod(at, F.lit(slice_us)), **values}
-
-    narrow = df.filter(F.col(ts).isNotNull()).withColumns(placed).select(key, "__slice", *values)
-    # One pass makes both the own and the leaving entry of a row; the leaving
-    # entry carries nothing but its key, position and negated measures.
-    keep = F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))
-    doubled = df.withColumns({**placed, "__wanted": keep}).withColumn(
-        "__own", F.explode(F.array(F.lit(True), F.lit(False)))
+    at = F.unix_micros(F.col(ts)).alias("__at")
+    instants = (
+        df.filter(F.col(ts).isNotNull())
+        .select(key, at, *[measures[n].alias(n) for n in names])
+        .groupBy(key, "__at")
+        .agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+        .withColumn("__slice", F.expr(f"__at - pmod(__at, {slice_us})"))
     )
-    own_and_leaving = doubled.selectExpr(
-        *[c if c == key else f"IF(__own AND __wanted, `{c}`, NULL) AS `{c}`" for c in df.columns],
-        "__own AND __wanted AS __own",
-        f"IF(__own, __at, __at + {frame_us + 1}) AS __pos",
+    own_and_leaving = instants.withColumn("__own", F.explode(F.array(F.lit(True), F.lit(False)))).selectExpr(
+        key,
+        "__own",
+        f"IF(__own, __at, __at + {frame_us + 1}) AS __at",
         f"IF(__own, __slice, __slice + {frame_us}) AS __slice",
-        *[f"IF(__own, {p}, -{p}) AS {p}" for p in values],
+        *[f"IF(__own, {n}, -{n}) AS {n}" for n in names],
     )
     earlier = Window.partitionBy(key).orderBy("__slice").rangeBetween(-frame_us, -1)
     before = (
-        narrow.groupBy(key, "__slice")
-        .agg(*[F.sum(p).alias(p) for p in parts.values()])
+        instants.groupBy(key, "__slice")
+        .agg(*[F.sum(n).alias(n) for n in names])
         .select(
             key,
-            F.col("__slice").alias("__pos"),
+            F.lit(False).alias("__own"),
+            F.col("__slice").alias("__at"),
             "__slice",
-            *[F.coalesce(F.sum(p).over(earlier), F.lit(0)).alias(p) for p in parts.values()],
+            *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in names],
         )
     )
     running = (
         Window.partitionBy(key, "__slice")
-        .orderBy("__pos")
+        .orderBy("__at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    entries = own_and_leaving.unionByName(before, allowMissingColumns=True)
-    timed = F.col(ts).isNotNull()
-    return (
-        entries.withColumns({n: F.sum(parts[n]).over(running) for n in names})
+    moving = (
+        own_and_leaving.unionByName(before)
+        .select(key, "__own", "__at", *[F.sum(n).over(running).alias(n) for n in names])
         .filter("__own")
-        .withColumns({n: F.when(timed, F.col(n)) for n in names})
-        .drop("__pos", "__slice", "__own", *parts.values())
+        .drop("__own")
     )
+    rows = df if wanted is None else df.filter(wanted)
+    return join_null_safe(rows.withColumn("__at", at), moving, [key, "__at"]).drop("__at")
 
 
 def trailing_velocity(

@@ -74,10 +74,19 @@ def test_wanted_rows_see_the_others(spark):
     assert all(r["amount_eur"] is not None for r in some)
 
 
-def test_hot_customer_is_spread_over_slices(spark):
+def test_no_shuffle_gathers_a_customer(spark):
+    """Rows and entries are spread by instant or slice; by customer go only slice sums."""
     plan = velocity.trailing_velocity(spark.createDataFrame(rows(6), SCHEMA), RuleConfigA())
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(customer_id" in text and "__slice" in text
+    alone = [line for line in text.splitlines() if "Exchange hashpartitioning(customer_id" in line and "__" not in line]
+    assert len(alone) == 1
+
+
+def test_copies_of_one_instant_collapse(spark):
+    data = [(f"T{i}", "HOT", START, Decimal("0.01")) for i in range(300)] + rows(7, 20)
+    df = spark.createDataFrame(data, SCHEMA)
+    got = {r["transaction_id"]: (r["rolling_24h_amount"], r["rolling_24h_count"]) for r in velocity.trailing_velocity(df, RuleConfigA()).collect()}
+    assert got == brute_force(data)
 
 
 def test_structuring_counts_only_just_below_the_limit(spark):

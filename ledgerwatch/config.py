@@ -122,7 +122,6 @@ class QualityConfig:
     volume_max: int = 10_000_000
     latency_p95_seconds: float = 3.0
     max_lag_minutes: float = 5.0
-    completeness_target: float = 0.999
     quality_floor_percent: float = 99.0
 
 

@@ -1 +1 @@
-"""DataFrame -> DataFrame operators; none of them triggers a job."""
+"""DataFrame -> DataFrame operators; only the gates in ``quality`` trigger a job."""

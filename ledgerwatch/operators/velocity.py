@@ -198,9 +198,26 @@ def attach_velocity_anomaly(df: DataFrame, activity: DataFrame, cfg: RuleConfigA
     return joined.withColumn("is_velocity_anomaly", F.coalesce("is_velocity_anomaly", F.lit(False)))
 
 
-def _slice(ts: str, slice_minutes: int) -> Column:
-    at = F.unix_micros(F.col(ts))
-    return at - F.pmod(at, F.lit(slice_minutes * _MICROS_PER_MINUTE))
+def _previous_instants(instants: DataFrame, slice_minutes: int) -> DataFrame:
+    """Add ``__gap``: hours since the customer's previous instant.
+
+    ``instants`` has one row per customer and ``__at``. They are compared inside
+    (customer, time slice) groups; the first of a slice looks at the end of the
+    customer's last active slice.
+    """
+    sliced = instants.withColumn("__slice", F.expr(f"__at - pmod(__at, {slice_minutes * _MICROS_PER_MINUTE})"))
+    by_slice = Window.partitionBy("customer_id").orderBy("__slice")
+    ends = (
+        sliced.groupBy("customer_id", "__slice")
+        .agg(F.max("__at").alias("__end"))
+        .select("customer_id", "__slice", F.lag("__end").over(by_slice).alias("__previous_end"))
+    )
+    inside = Window.partitionBy("customer_id", "__slice").orderBy("__at")
+    previous = F.coalesce(F.lag("__at").over(inside), F.col("__previous_end"))
+    joined = join_null_safe(sliced, ends, ["customer_id", "__slice"])
+    return joined.withColumn("__gap", (F.col("__at") - previous) / F.lit(_MICROS_PER_HOUR)).drop(
+        "__slice", "__previous_end"
+    )
 
 
 def time_between(
@@ -208,22 +225,15 @@ def time_between(
 ) -> DataFrame:
     """Hours since the customer's previous transaction, one row per transaction.
 
-    Rows are compared inside (customer, time slice) groups; the first of each
-    slice looks up the end of the customer's last active slice.
+    Among transactions of one instant the lowest id comes first; the others
+    follow it by 0 hours. Transaction ids are expected to be unique.
     """
-    keyed = df.withColumns({"__slice": _slice(ts, slice_minutes), "__at": F.unix_micros(F.col(ts))})
-    ends = keyed.groupBy("customer_id", "__slice").agg(F.max("__at").alias("__end"))
-    by_slice = Window.partitionBy("customer_id").orderBy("__slice")
-    previous_end = ends.select(
-        "customer_id", "__slice", F.lag("__end").over(by_slice).alias("__previous_end")
-    )
-    inside = Window.partitionBy("customer_id", "__slice").orderBy("__at")
-    previous = F.coalesce(F.lag("__at").over(inside), F.col("__previous_end"))
-    return (
-        keyed.join(previous_end, ["customer_id", "__slice"], "left")
-        .withColumn("hours_since_previous", (F.col("__at") - previous) / F.lit(_MICROS_PER_HOUR))
-        .drop("__slice", "__at", "__previous_end")
-    )
+    keyed = df.withColumn("__at", F.unix_micros(F.col(ts)))
+    instants = keyed.groupBy("customer_id", "__at").agg(F.min("transaction_id").alias("__first"))
+    gaps = _previous_instants(instants, slice_minutes)
+    joined = join_null_safe(keyed, gaps, ["customer_id", "__at"])
+    own = F.when(F.col("transaction_id") == F.col("__first"), F.col("__gap")).otherwise(F.lit(0.0))
+    return joined.withColumn("hours_since_previous", own).drop("__at", "__first", "__gap")
 
 
 def gap_statistics(
@@ -231,32 +241,22 @@ def gap_statistics(
 ) -> DataFrame:
     """Mean and sample deviation of the hours between a customer's transactions.
 
-    Count, sum and sum of squares are built per (customer, time slice), so only
-    slice summaries are brought together per customer.
+    Transactions of one instant are counted first; all but one of them add a
+    gap of 0 hours.
     """
-    inside = Window.partitionBy("customer_id", "__slice").orderBy("__at")
-    gaps = (
-        df.select("customer_id", _slice(ts, slice_minutes).alias("__slice"), F.unix_micros(F.col(ts)).alias("__at"))
-        .withColumn("__gap", (F.col("__at") - F.lag("__at").over(inside)) / F.lit(_MICROS_PER_HOUR))
-        .groupBy("customer_id", "__slice")
+    instants = df.groupBy("customer_id", F.unix_micros(F.col(ts)).alias("__at")).agg(
+        F.count("*").alias("__rows")
+    )
+    gap = F.coalesce(F.col("__gap"), F.lit(0.0))
+    totals = (
+        _previous_instants(instants, slice_minutes)
+        .groupBy("customer_id")
         .agg(
-            F.count("__gap").alias("__n"),
-            F.coalesce(F.sum("__gap"), F.lit(0.0)).alias("__s"),
-            F.coalesce(F.sum(F.col("__gap") * F.col("__gap")), F.lit(0.0)).alias("__q"),
-            F.min("__at").alias("__start"),
-            F.max("__at").alias("__end"),
+            (F.sum("__rows") - 1).alias("__n"),
+            F.sum(gap).alias("__s"),
+            F.sum(gap * gap).alias("__q"),
         )
     )
-    by_slice = Window.partitionBy("customer_id").orderBy("__slice")
-    across = gaps.withColumn(
-        "__x", (F.col("__start") - F.lag("__end").over(by_slice)) / F.lit(_MICROS_PER_HOUR)
-    )
-    x = F.coalesce(F.col("__x"), F.lit(0.0))
-    totals = across.groupBy("customer_id").agg(
-        F.sum(F.col("__n") + F.col("__x").isNotNull().cast("int")).alias("__n"),
-        F.sum(F.col("__s") + x).alias("__s"),
-        F.sum(F.col("__q") + x * x).alias("__q"),
-    )
     n, s, q = F.col("__n"), F.col("__s"), F.col("__q")
     variance = F.when(n > 1, F.greatest(F.try_divide(q - s * s / n, n - 1), F.lit(0.0)))
     return totals.select(

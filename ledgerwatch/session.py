@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Result-relevant and skew-relevant runtime settings. They can be applied to a
 # session somebody else created because all of them are runtime-settable.
@@ -64,13 +64,3 @@ def run_dir(spark: SparkSession, label: str) -> str:
     """A new sub-folder of the shared folder for one run."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
-
-def through_table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and continue from the files.
-
-    Cuts the lineage: a lost executor costs a re-read, not a recomputation.
-    """
-    spark = df.sparkSession
-    path = run_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

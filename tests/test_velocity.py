@@ -128,3 +128,9 @@ def test_gap_statistics_of_a_single_transaction(spark):
     row = velocity.gap_statistics(df).first()
     assert row["avg_hours_between_transactions"] is None
     assert row["stddev_hours_between_transactions"] is None
+
+
+def test_time_between_counts_ties_once(spark):
+    data = [("T2", "A", START, Decimal("1")), ("T1", "A", START, Decimal("1")), ("T3", "A", START + timedelta(hours=3), Decimal("1"))]
+    out = {r["transaction_id"]: r["hours_since_previous"] for r in velocity.time_between(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert out == {"T1": None, "T2": 0.0, "T3": 3.0}

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -43,21 +41,13 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, which a cluster names.
 
-    Only a ``local[...]`` session may fall back to a temporary folder.
+    Where it is unset, as in a test, a folder under the session's warehouse,
+    which the driver and all executors share by definition.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dir(spark.sparkContext.applicationId)
-
-
-@lru_cache(maxsize=None)
-def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"ledgerwatch-{application_id}-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    return named.rstrip("/")
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

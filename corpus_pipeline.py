@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.llm import language
+from ledgerwatch.llm import language, quality
 from ledgerwatch.llm.base import read, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,8 +17,14 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_identified(docs, language.learn(docs))
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the classifier does not find good."""
+    return quality.keep_good(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language", identify),
+    ("quality", keep_quality),
 ]
 
 # Learned models and pseudorandom draws have no SQL form.

@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language
+from . import language, quality
 from .base import is_held_out, read
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    judged = quality.score(docs.select("doc_id", "text"), quality.fit(docs, read(spark, sf_dir, "labels")))
+    return judged.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     judged = language.predict(docs.select("doc_id", "text"), language.learn(docs))
@@ -18,5 +24,6 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op3_quality": (op3_quality, None),
     "op9_language": (op9_language, None),
 }

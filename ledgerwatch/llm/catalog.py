@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, quality
+from . import jaccard, language, quality
 from .base import is_held_out, read
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents")).drop("set_hash")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     judged = quality.score(docs.select("doc_id", "text"), quality.fit(docs, read(spark, sf_dir, "labels")))
@@ -24,6 +28,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op2_jaccard": (op2_jaccard, None),
     "op3_quality": (op3_quality, None),
     "op9_language": (op9_language, None),
 }

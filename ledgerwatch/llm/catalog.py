@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, quality
+from . import jaccard, language, mixing, quality
 from .base import is_held_out, read
 
 
@@ -21,6 +21,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.taken(read(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     judged = language.predict(docs.select("doc_id", "text"), language.learn(docs))
@@ -30,5 +35,6 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_jaccard": (op2_jaccard, None),
     "op3_quality": (op3_quality, None),
+    "op5_mixing": (op5_mixing, None),
     "op9_language": (op9_language, None),
 }

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import may_learn, segment_sums, slices, with_columns
+from .base import may_learn, segment_sums, slices, stored, with_columns
 
 UNKNOWN = "und"
 BUCKET_BITS = 16
@@ -114,13 +114,14 @@ def learn(docs: DataFrame, smoothing: float = 1.0) -> LanguageModel:
     partial = labelled.select("lang", "text").mapInArrow(count, "lang string, bucket int, n long")
     totals = partial.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # At most MAX_LANGUAGES x (buckets + 1) rows reach the driver, whatever the input.
+    totals = stored(totals, "language-counts")
     languages = sorted(r.lang for r in totals.where("bucket = -1").select("lang").limit(MAX_LANGUAGES + 1).collect())
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    gathered = totals.toArrow()
     place = {lang: i for i, lang in enumerate(languages)}
     counts = np.zeros((len(languages), 1 << BUCKET_BITS))
     documents = np.zeros(len(languages))
-    gathered = totals.toArrow()
     which = np.array([place[x] for x in gathered.column("lang").to_pylist()], np.int64)
     bucket, n = gathered.column("bucket").to_numpy(), gathered.column("n").to_numpy()
     documents[which[bucket < 0]] = n[bucket < 0]

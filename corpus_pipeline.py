@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.llm import language, quality
+from ledgerwatch.llm import jaccard, language, mixing, pieces, quality, vocabulary
 from ledgerwatch.llm.base import read, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,9 +22,27 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: those whose sets of five words' shingles overlap by 0.8."""
+    return jaccard.keep_one(docs, jaccard.JaccardConfig(words=5, share=80, over=100))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mix takes of each document, once for each round."""
+    return mixing.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what was mixed: doc_id, piece_ids, n_pieces, round_trip."""
+    return pieces.encode_and_check(docs, vocabulary.load())
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language", identify),
     ("quality", keep_quality),
+    ("jaccard", keep_one_of_each),
+    ("mixing", mix),
+    ("pieces", encode),
 ]
 
 # Learned models and pseudorandom draws have no SQL form.

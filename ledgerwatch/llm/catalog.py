@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, mixing, quality
+from . import counts, jaccard, language, mixing, pieces, quality, vocabulary
 from .base import is_held_out, read
 
 
@@ -26,6 +26,15 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_and_check(read(spark, sf_dir, "documents"), vocabulary.load())
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return counts.count_tokens(docs, vocabulary.load()).drop("text")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     judged = language.predict(docs.select("doc_id", "text"), language.learn(docs))
@@ -36,5 +45,7 @@ ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_jaccard": (op2_jaccard, None),
     "op3_quality": (op3_quality, None),
     "op5_mixing": (op5_mixing, None),
+    "op6_pieces": (op6_pieces, None),
+    "op7_token_counts": (op7_token_counts, None),
     "op9_language": (op9_language, None),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, jaccard, language, mixing, pieces, quality, vocabulary
+from . import counts, fingerprints, jaccard, language, mixing, pieces, quality, vocabulary
 from .base import is_held_out, read
 
 
@@ -41,6 +41,20 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_pairs(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.encode("edited_text", "UTF-8"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        fingerprints.distinct_shingles(F.col("sketch")).alias("distinct_shingles"),
+        fingerprints.containment(F.col("sketch"), F.col("edited_sketch")).alias("kept"),
+    )
+
+
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_jaccard": (op2_jaccard, None),
     "op3_quality": (op3_quality, None),
@@ -48,4 +62,5 @@ ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op6_pieces": (op6_pieces, None),
     "op7_token_counts": (op7_token_counts, None),
     "op9_language": (op9_language, None),
+    "op10_fingerprints": (op10_fingerprints, None),
 }

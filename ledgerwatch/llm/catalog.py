@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, fingerprints, jaccard, language, mixing, pieces, quality, vocabulary
+from . import counts, fingerprints, jaccard, language, mixing, pieces, quality, urls, vocabulary
 from .base import is_held_out, read
 
 
@@ -35,6 +35,43 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(docs, vocabulary.load()).drop("text")
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+OP8_SQL = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path
+  FROM cut
+), rules(rule, verdict, rule_host, rule_path) AS (
+  VALUES ('net/', 'block', 'net', '/'), ('example.net/en/', 'allow', 'example.net', '/en/'),
+         ('example.com/de/', 'block', 'example.com', '/de/'), ('org/fr/', 'allow', 'org', '/fr/')
+), fits AS (
+  SELECT page_id, host, path,
+    (SELECT max_by({'rule': r.rule, 'verdict': r.verdict}, length(r.rule)) FROM rules r
+     WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS base,
+    translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS place
+  FROM parts
+), patterns(name, pattern, priority) AS (
+  SELECT '*' || w || '*', '(^|[^a-z0-9])' || w || '([^a-z0-9]|$)', length(w)
+  FROM (SELECT unnest(['casino', 'porn', 'xxx', 'adserver', 'doubleclick', 'phishing', 'malware', 'torrent', 'gambling', 'betting']) AS w)
+  UNION ALL SELECT 'free-download', '(^|[^a-z0-9])free[-_]downloads?([^a-z0-9]|$)', 13
+  UNION ALL SELECT 'wp-login.php', '/wp-login\.php$', 12
+), judged AS (
+  SELECT *, CASE WHEN base IS NULL THEN
+    (SELECT max({'priority': priority, 'name': name}) FROM patterns WHERE regexp_matches(place, pattern)) END AS own
+  FROM fits
+)
+SELECT page_id, host, path, base.rule AS rule,
+  coalesce(base.verdict, CASE WHEN own IS NULL THEN 'allow' ELSE 'block' END) AS verdict, own.name AS pattern_rule
+FROM judged
+"""
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     judged = language.predict(docs.select("doc_id", "text"), language.learn(docs))
@@ -61,6 +98,7 @@ ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_mixing": (op5_mixing, None),
     "op6_pieces": (op6_pieces, None),
     "op7_token_counts": (op7_token_counts, None),
+    "op8_urls": (op8_urls, OP8_SQL),
     "op9_language": (op9_language, None),
     "op10_fingerprints": (op10_fingerprints, None),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, fingerprints, jaccard, language, mixing, pieces, quality, urls, vocabulary
+from . import counts, fingerprints, jaccard, language, licenses, mixing, pieces, quality, urls, vocabulary
 from .base import is_held_out, read
 
 
@@ -21,6 +21,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.taken(read(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -95,6 +99,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_jaccard": (op2_jaccard, None),
     "op3_quality": (op3_quality, None),
+    "op4_licenses": (op4_licenses, None),
     "op5_mixing": (op5_mixing, None),
     "op6_pieces": (op6_pieces, None),
     "op7_token_counts": (op7_token_counts, None),

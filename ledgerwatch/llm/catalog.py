@@ -7,10 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, fingerprints, jaccard, language, licenses, mixing, pieces, quality, urls, vocabulary
+from . import counts, fingerprints, jaccard, language, licenses, mixing, pieces, quality, topk, urls, vocabulary
 from .base import is_held_out, read
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, v.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read(spark, sf_dir, "documents")).drop("set_hash")
 
@@ -97,6 +116,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_topk": (op1_topk, OP1_SQL),
     "op2_jaccard": (op2_jaccard, None),
     "op3_quality": (op3_quality, None),
     "op4_licenses": (op4_licenses, None),

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import bitfilter
 from .base import SPACE_WORD, stored, with_columns
 from .graph import components
 
@@ -212,6 +213,8 @@ def _roots(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def _tile(config: JaccardConfig):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
+        nodes = table.column("node").to_numpy()
+        table = table.filter(pa.array(np.concatenate([[True], nodes[1:] != nodes[:-1]])))
         found = table.column("found").combine_chunks()
         values, cuts = found.values.to_numpy().view(np.uint64), found.offsets.to_numpy()
         sets = [values[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -274,34 +277,33 @@ def linked_classes(docs: DataFrame, keyed: DataFrame, config: JaccardConfig) ->
         "jaccard-classes",
     )
     keys = classes.select("node", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("parent"), F.count("*").alias("n")).where("n > 1").drop("n")
-    near = keys.join(shared, "key").where("node > parent").select(F.col("node").alias("child"), "parent")
+    shared = stored(keys.groupBy("key").agg(F.min("node").alias("parent"), F.count("*").alias("n")).where("n > 1").drop("n"), "jaccard-shared")
+    near = bitfilter.kept(keys, "key", bitfilter.build(shared, "key")).join(shared, "key").where("node > parent").select(F.col("node").alias("child"), "parent")
     near = components(near, "jaccard-candidates")
     placed = near.select(F.col("child").alias("node"), F.col("parent").alias("component")).unionByName(
         near.select(F.col("parent").alias("node"), F.col("parent").alias("component")).distinct()
     )
     members = stored(classes.drop("keys").join(placed, "node"), "jaccard-members")
 
+    wanted = docs.sparkSession.sparkContext.broadcast(bitfilter.build(members, "first_doc"))
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(bitfilter.passes(wanted.value, batch.column("first_doc").to_numpy())))
             found = [shingle_set(t, config.words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("node"),
-                    batch.column("copies"),
+                    batch.column("first_doc"),
                     pa.array(map(_set_hash, found), pa.binary()),
-                    batch.column("set_hash"),
                     pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
                 ],
-                names=["node", "copies", "own_hash", "set_hash", "found"],
+                names=["first_doc", "set_hash", "found"],
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("first_doc"), "text").join(members.select("node", "copies", "set_hash", "first_doc"), "first_doc")
-    found = texts.select("node", "copies", "set_hash", "text").mapInArrow(
-        sets, "node long, copies long, own_hash binary, set_hash binary, found array<long>"
-    )
-    # Other texts under the same id are other classes; repeated rows count once.
-    found = stored(found.where("own_hash = set_hash").dropDuplicates(["node"]).drop("own_hash", "set_hash"), "jaccard-found")
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("first_doc"), "text")
+    found = texts.mapInArrow(sets, "first_doc long, set_hash binary, found array<long>")
+    # Other texts under the same id are other classes; a repeated row is dropped in its tile.
+    found = stored(found.join(members.select("first_doc", "set_hash", "node", "copies"), ["first_doc", "set_hash"]).drop("first_doc", "set_hash"), "jaccard-found")
     tiled = _tiles(members).join(found, "node")
     linked = stored(tiled.groupBy("component", "tile").applyInArrow(_tile(config), "node long, root long, links long"), "jaccard-links")
     roots = components(linked.where("node > root").select(F.col("node").alias("child"), F.col("root").alias("parent")), "jaccard-components")

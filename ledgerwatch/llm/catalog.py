@@ -31,7 +31,7 @@ FROM scored QUALIFY rank <= 5
 
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(read(spark, sf_dir, "documents")).drop("set_hash")
+    return jaccard.join(read(spark, sf_dir, "documents")).drop("set_hash", "root")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bitfilter
-from .base import SPACE_WORD, stored, with_columns
+from .base import SPACE_WORD, stored
 from .graph import components
 
 SPARE_PARTS = 2  # parts beyond the pigeonhole's, so that up to this many may be empty
@@ -121,19 +121,6 @@ def _set_hash(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
-def with_set_hash(docs: DataFrame, config: JaccardConfig, hash_col: str, size_col: str) -> DataFrame:
-    """The rows with the hash and the size of each text's set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, config.words) for t in batch.column("text").to_pylist()]
-            yield with_columns(
-                batch, {hash_col: pa.array(map(_set_hash, sets), pa.binary()), size_col: pa.array([len(s) for s in sets], pa.int64())}
-            )
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(hash_col, T.BinaryType()), T.StructField(size_col, T.LongType())]))
-
-
 def keyed_sets(docs: DataFrame, config: JaccardConfig) -> DataFrame:
     """doc_id, n_shingles, set_hash and candidate keys of each text, stored."""
 
@@ -315,15 +302,19 @@ def linked_classes(docs: DataFrame, keyed: DataFrame, config: JaccardConfig) ->
     )
     # A component's id is its smallest doc_id; nodes are hashes of sets.
     smallest = links.join(members.select("node", "first_doc"), "node").groupBy("parent").agg(F.min("first_doc").alias("component_id"))
-    return classes.drop("keys"), links.join(smallest, "parent").drop("parent")
+    return classes.drop("keys"), links.join(smallest, "parent").withColumnRenamed("parent", "root")
 
 
 def join(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFrame:
-    """doc_id, n_shingles, set_hash, component_id and n_links of every row of docs (doc_id, text)."""
+    """doc_id, n_shingles, set_hash, root, component_id and n_links of every row of docs (doc_id, text).
+
+    ``root`` tells components apart even where ids repeat; null for rows without a set.
+    """
     keyed = keyed_sets(docs, config)
     classes, linked = linked_classes(docs, keyed, config)
     per_class = classes.join(linked, "node", "left").select(
         "set_hash",
+        F.coalesce("root", "node").alias("root"),
         F.coalesce("component_id", "first_doc").alias("component_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
@@ -335,6 +326,7 @@ def join(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFrame:
             "doc_id",
             "n_shingles",
             "set_hash",
+            F.when(takes_part, F.col("root")).alias("root"),
             F.when(takes_part, F.coalesce("component_id", "doc_id")).alias("component_id"),
             F.when(takes_part, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
         )
@@ -342,12 +334,27 @@ def join(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFrame:
-    """The rows, unchanged, of one document per component, that of the smallest id; rows without an id stay."""
-    first = join(docs, config).where("doc_id = component_id").groupBy("doc_id").agg(F.min("set_hash").alias("kept_hash"))
-    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "text")
-    hashed = with_set_hash(named, config, "own_hash", "own_size").drop("text", "own_size")
-    kept = hashed.join(first, (hashed["doc_id"].cast("long") == first["doc_id"]) & (hashed["own_hash"] == first["kept_hash"])).select(
-        "row", hashed["doc_id"].alias("id")
-    )
-    # Repeated rows of the kept document are its copies.
-    return kept.dropDuplicates(["id"]).unionByName(hashed.where("doc_id IS NULL").select("row", F.col("doc_id").alias("id"))).select("row.*")
+    """The rows, unchanged, of one document per component, that of the smallest id; rows without an id stay.
+
+    Rows that repeat an id and a set are one document.
+    """
+    joined = stored(join(docs, config).select("doc_id", "set_hash", "root"), "jaccard-joined")
+    first = joined.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "set_hash")).alias("kept")).select("kept.*")
+    alone = joined.where("root IS NULL AND doc_id IS NOT NULL").select("doc_id", "set_hash").distinct()
+    kept_ids = stored(first.unionByName(alone).select(F.col("doc_id").alias("kept_id"), F.col("set_hash").alias("kept_hash")), "jaccard-kept")
+
+    # Most rows that go are told by their id alone, before any text is shuffled.
+    wanted = docs.sparkSession.sparkContext.broadcast(bitfilter.build(kept_ids, "kept_id"))
+    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("id"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id")
+            passing = bitfilter.passes(wanted.value, ids.fill_null(0).to_numpy()) | ids.is_null().to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(passing))
+            hashes = [_set_hash(shingle_set(t, config.words)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(hashes, pa.binary())], names=["row", "id", "own_hash"])
+
+    hashed = named.mapInArrow(run, T.StructType([named.schema["row"], named.schema["id"], T.StructField("own_hash", T.BinaryType())]))
+    kept = hashed.join(kept_ids, (F.col("id") == F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash"))).drop("kept_id", "kept_hash")
+    return kept.dropDuplicates(["id", "own_hash"]).unionByName(hashed.where("id IS NULL")).select("row.*")

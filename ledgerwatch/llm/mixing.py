@@ -203,7 +203,8 @@ def pieces(placed: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
 
 def _joined(pieces_: DataFrame, drawn: DataFrame) -> DataFrame:
     other = drawn.select(F.col("source").alias("drawn_source"), F.col("block").alias("drawn_block"), *(c for c in drawn.columns if c not in ("source", "block")))
-    return pieces_.join(other, F.col("source").eqNullSafe(F.col("drawn_source")) & (F.col("block") == F.col("drawn_block"))).drop("drawn_source", "drawn_block")
+    # Spark takes the draws to be as small as the list of sources they are made from; they grow with the corpus.
+    return pieces_.hint("merge").join(other.hint("merge"), F.col("source").eqNullSafe(F.col("drawn_source")) & (F.col("block") == F.col("drawn_block"))).drop("drawn_source", "drawn_block")
 
 
 def narrow(docs: DataFrame) -> DataFrame:
@@ -219,8 +220,8 @@ def taken(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     got = _joined(pieces(placed, config), times).groupBy("source", "start").agg(F.sum((F.col("high") - F.col("low")) * F.col("times")).alias("taken"))
     got = got.select(F.col("source").alias("got_source"), F.col("start").alias("got_start"), "taken")
     # Rows without words may share a start with the next row.
-    with_taken = placed.join(
-        got, F.col("source").eqNullSafe(F.col("got_source")) & (F.col("start") == F.col("got_start")) & (F.col("size") > 0), "left"
+    with_taken = placed.hint("merge").join(
+        got.hint("merge"), F.col("source").eqNullSafe(F.col("got_source")) & (F.col("start") == F.col("got_start")) & (F.col("size") > 0), "left"
     )
     share = shares.select(F.col("source").alias("own"), "source_size", "target")
     return with_taken.join(share, F.col("source").eqNullSafe(F.col("own"))).select(
@@ -249,7 +250,7 @@ def mixed(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     # A list of one document's pieces, so bounded by its text.
     spans = cut.groupBy("source", "start", "round").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"))
     spans = spans.select(F.col("source").alias("got_source"), F.col("start").alias("got_start"), "spans", "round")
-    joined = placed.join(spans, F.col("source").eqNullSafe(F.col("got_source")) & (F.col("start") == F.col("got_start")))
+    joined = placed.hint("merge").join(spans.hint("merge"), F.col("source").eqNullSafe(F.col("got_source")) & (F.col("start") == F.col("got_start")))
     covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["high"] - s["low"])
     words = F.regexp_extract_all(F.col("row.text"), F.lit(WORD), F.lit(0))
     picked = F.transform(

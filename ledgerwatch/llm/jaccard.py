@@ -2,13 +2,13 @@
 
 1. Each text becomes its set of word shingles (64-bit hashes, sorted). Equal sets
    are one class; a class of any number of copies is one row from here on.
-2. Candidates. A set is cut by hash ranges into as many parts as a linked pair may
-   differ in, and three more, so that a linked pair agrees in at least three parts
-   (pigeonhole). A part's key holds the size band, the part's number and a hash of
-   its content; sets that share a key are joined to the smallest of them. Empty
-   parts say nothing and are left out, except for sets with three or more of them,
-   the only ones that could agree in empty parts alone. Components of these
-   candidates bound what has to be compared.
+2. Candidates. A linked set may miss at most ``miss`` of its shingles in the other.
+   A fixed share of all possible hashes is counted over the classes; a set with more
+   than ``miss`` counted shingles of its own alone links with nothing. The others
+   are ordered by one global order, counted shingles first, the rarest first; two
+   linked sets share one of their first ``miss + 1``. Sets that share such a shingle,
+   in a band of sizes that can link, are joined to the smallest of them.
+   Components of these candidates bound what has to be compared.
 3. Tiles. A component's sets are dealt to blocks by size band; a tile is a pair of
    blocks whose sizes can link. In a tile every pair is bounded from above by the
    bit counts of hashed bitmap signatures; the rest intersect their sorted arrays.
@@ -31,15 +31,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from . import bitfilter
 from .base import SPACE_WORD, stored
 from .graph import components
 
-SPARE_PARTS = 2  # parts beyond the pigeonhole's, so that up to this many may be empty
 BLOCK_SETS, BLOCK_HASHES = 512, 1 << 19
 _MIX_A, _MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -52,6 +52,14 @@ class JaccardConfig:
     share: int = 90
     over: int = 100
 
+    @property
+    def counted_below(self) -> int:
+        """Hashes from 0 to this, of 2**64, are counted: 1.75 times the share that a linked set may miss."""
+        return int(min(0.5, 1.75 * (self.over - self.share) / self.over) * (1 << 64))
+
+    def miss(self, size):
+        return size * (self.over - self.share) // self.over
+
 
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(30))) * _MIX_B
@@ -73,39 +81,10 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(value)
 
 
-def size_bands(config: JaccardConfig, largest: int) -> np.ndarray:
-    """Smallest size of each band, up to beyond ``largest``; sizes of a band differ by less than half."""
-    edges = [1]
-    while edges[-1] <= largest:
-        edges.append(max(edges[-1] + 1, -(-edges[-1] * 10 // 7)))
-    return np.array(edges, np.int64)
-
-
-def candidate_keys(found: np.ndarray, config: JaccardConfig) -> np.ndarray:
-    """Keys of which a set shares at least one with every other set that it links to."""
-    size = len(found)
-    out = []
-    if size:
-        largest = size * config.over // config.share  # of a partner
-        bands = size_bands(config, largest)
-        first, last = np.searchsorted(bands, [size, largest], side="right") - 1
-        content = np.concatenate([[np.uint64(0)], np.cumsum(_mixed(found ^ _MIX_A))])
-        top = found >> np.uint64(32)
-        for band in range(first, last + 1):
-            upper = int(bands[band + 1]) - 1
-            differ = 2 * upper * (config.over - config.share) // (config.over + config.share)
-            if not differ:
-                continue  # only equal sets link, and they are one class
-            parts = differ + 1 + SPARE_PARTS
-            cuts = np.searchsorted((top * np.uint64(parts)) >> np.uint64(32), np.arange(parts + 1))
-            counts = np.diff(cuts)
-            keep = counts > 0
-            if parts - keep.sum() > SPARE_PARTS:
-                keep[:] = True
-            place = np.arange(parts, dtype=np.uint64) + np.uint64(band << 32)
-            keys = _mixed(_mixed(content[cuts[1:]] - content[cuts[:-1]]) + _mixed(place) + counts.astype(np.uint64))
-            out.append(keys[keep])
-    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+def counted_and_first(found: np.ndarray, config: JaccardConfig) -> np.ndarray:
+    """The hashes of a set that are counted, and as many more in order as its first miss + 1 may need."""
+    counted = int(np.searchsorted(found, np.uint64(config.counted_below)))
+    return found[: max(counted, config.miss(len(found)) + 1)].view(np.int64)
 
 
 SETS = T.StructType(
@@ -122,7 +101,7 @@ def _set_hash(found: np.ndarray) -> bytes:
 
 
 def keyed_sets(docs: DataFrame, config: JaccardConfig) -> DataFrame:
-    """doc_id, n_shingles, set_hash and candidate keys of each text, stored."""
+    """doc_id, n_shingles, set_hash and the hashes that candidates are found by, of each text; stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,13 +113,13 @@ def keyed_sets(docs: DataFrame, config: JaccardConfig) -> DataFrame:
                         batch.column("doc_id").slice(start, 256),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(map(_set_hash, sets), pa.binary()),
-                        pa.array([candidate_keys(s, config) for s in sets], pa.list_(pa.int64())),
+                        pa.array([counted_and_first(s, config) for s in sets], pa.list_(pa.int64())),
                     ],
-                    names=[*SETS.names, "keys"],
+                    names=[*SETS.names, "hashes"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(run, T.StructType([*SETS.fields, T.StructField("keys", T.ArrayType(T.LongType()))])), "jaccard-sets")
+    return stored(rows.mapInArrow(run, T.StructType([*SETS.fields, T.StructField("hashes", T.ArrayType(T.LongType()))])), "jaccard-sets")
 
 
 def _signatures(ids: np.ndarray, owner: np.ndarray, count: int, longest: int) -> np.ndarray:
@@ -241,7 +220,7 @@ def _tiles(members: DataFrame) -> DataFrame:
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     )
 
-    def to(count: str, tile, side) -> F.Column:
+    def to(count: str, tile, side) -> Column:
         numbers = F.when(F.col(count) > 0, F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
         return F.coalesce(F.transform(numbers, lambda o: F.struct(tile(o).alias("tile"), side(o).cast("int").alias("side"))), F.array())
 
@@ -252,25 +231,52 @@ def _tiles(members: DataFrame) -> DataFrame:
     return dealt.select("component", "node", F.explode(F.concat(own, up, down)).alias("at")).select("component", "node", "at.tile", "at.side")
 
 
+def _candidates(classes: DataFrame, config: JaccardConfig) -> DataFrame:
+    """``child`` > ``parent``: edges that connect every two classes that may link."""
+    counted = (F.col("hash") >= 0) & (F.col("hash") < config.counted_below)
+    miss = F.floor(F.col("n_shingles") * (config.over - config.share) / config.over)
+    seen = classes.select("node", F.explode("hashes").alias("hash")).where(counted)
+    per_hash = seen.groupBy("hash").agg(F.count("*").alias("sets"), F.min("node").alias("node"))
+    # One row for each hash of several sets, and one for each set with hashes of its own alone.
+    tally = stored(
+        per_hash.groupBy(F.when(F.col("sets") > 1, F.col("hash")).alias("hash"), F.when(F.col("sets") == 1, F.col("node")).alias("node")).agg(
+            F.count("*").alias("alone"), F.max("sets").alias("sets")
+        ),
+        "jaccard-tally",
+    )
+    alone = tally.where("node IS NOT NULL").select("node", "alone")
+    left = classes.join(alone, "node", "left").withColumn("wanted", miss + 1 - F.coalesce("alone", F.lit(0))).where("wanted > 0")
+    each = left.select("node", "n_shingles", "wanted", F.explode("hashes").alias("hash"))
+    shared = tally.where("hash IS NOT NULL").select("hash", "sets")
+    # Hashes of the set alone are in none other; they only count. Uncounted ones come last.
+    ordered = each.where(counted).join(shared, "hash").unionByName(each.where(~counted).withColumn("sets", F.lit(None).cast("long")))
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.col("sets").asc_nulls_last(), F.col("hash")))
+
+    def band(size: Column) -> Column:
+        return F.floor(F.log(size.cast("double")) / F.lit(float(-np.log(0.7))))
+
+    bands = F.sequence(band(F.col("n_shingles")), band(F.floor(F.col("n_shingles") * config.over / config.share)))
+    keys = stored(ordered.withColumn("place", place).where("place <= wanted").select("node", "hash", F.explode(bands).alias("band")), "jaccard-keys")
+    least = keys.groupBy("hash", "band").agg(F.min("node").alias("parent"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
+    return keys.join(least, ["hash", "band"]).where("node > parent").select(F.col("node").alias("child"), "parent")
+
+
 def linked_classes(docs: DataFrame, keyed: DataFrame, config: JaccardConfig) -> tuple[DataFrame, DataFrame]:
     """Classes (node, set_hash, first_doc, copies), and per linked class its component_id and links to other classes."""
     sized = keyed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(
         sized.groupBy("set_hash")
         .agg(
-            F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")
+            F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("hashes").alias("hashes")
         )
         .withColumn("node", F.xxhash64("set_hash")),
         "jaccard-classes",
     )
-    keys = classes.select("node", F.explode("keys").alias("key"))
-    shared = stored(keys.groupBy("key").agg(F.min("node").alias("parent"), F.count("*").alias("n")).where("n > 1").drop("n"), "jaccard-shared")
-    near = bitfilter.kept(keys, "key", bitfilter.build(shared, "key")).join(shared, "key").where("node > parent").select(F.col("node").alias("child"), "parent")
-    near = components(near, "jaccard-candidates")
+    near = components(_candidates(classes, config), "jaccard-candidates")
     placed = near.select(F.col("child").alias("node"), F.col("parent").alias("component")).unionByName(
         near.select(F.col("parent").alias("node"), F.col("parent").alias("component")).distinct()
     )
-    members = stored(classes.drop("keys").join(placed, "node"), "jaccard-members")
+    members = stored(classes.drop("hashes").join(placed, "node"), "jaccard-members")
 
     wanted = docs.sparkSession.sparkContext.broadcast(bitfilter.build(members, "first_doc"))
 
@@ -302,7 +308,7 @@ def linked_classes(docs: DataFrame, keyed: DataFrame, config: JaccardConfig) ->
     )
     # A component's id is its smallest doc_id; nodes are hashes of sets.
     smallest = links.join(members.select("node", "first_doc"), "node").groupBy("parent").agg(F.min("first_doc").alias("component_id"))
-    return classes.drop("keys"), links.join(smallest, "parent").withColumnRenamed("parent", "root")
+    return classes.drop("hashes"), links.join(smallest, "parent").withColumnRenamed("parent", "root")
 
 
 def join(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFrame:
@@ -320,7 +326,7 @@ def join(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFrame:
     )
     takes_part = F.col("doc_id").isNotNull()
     return (
-        keyed.drop("keys")
+        keyed.drop("hashes")
         .join(per_class, "set_hash", "left")
         .select(
             "doc_id",

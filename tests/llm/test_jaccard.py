@@ -62,18 +62,34 @@ def test_one_document_of_each_group_stays(spark):
     assert left == sorted([1, 4, 5, 6, 7, 9, 10, 11, 12, 13, 14, 15, 15, None], key=str)
 
 
-def test_keys_meet_for_every_linked_pair():
-    rng = np.random.default_rng(1)
-    config = jaccard.JaccardConfig()
-    for size in [*range(1, 60), 200, 777]:
-        a = np.unique(rng.integers(0, 1 << 63, size, np.uint64) * np.uint64(2))
-        for _ in range(20):
-            drop = rng.integers(0, max(1, size // 9) + 1)
-            add = rng.integers(0, max(1, size // 9) + 1)
-            b = np.unique(np.concatenate([a[drop:], rng.integers(0, 1 << 63, add, np.uint64)]))
-            both = len(np.intersect1d(a, b))
-            if len(b) and 100 * both >= 90 * (len(a) + len(b) - both) and not np.array_equal(a, b):
-                assert set(jaccard.candidate_keys(a, config)) & set(jaccard.candidate_keys(b, config))
+def test_candidates_connect_every_linked_pair(spark):
+    random.seed(8)
+    rows = []
+    for family in range(40):
+        size = random.choice([9, 10, 11, 19, 20, 50, 120])
+        text = [f"f{family}w{i}" for i in range(size)]
+        if family % 2:
+            text[: size // 2] = [f"shared{i}" for i in range(size // 2)]
+        rows.append(text)
+        rows += [text[: -random.randrange(1, 1 + max(1, size // 10))] for _ in range(2)]
+        edited = list(text)
+        edited[random.randrange(size)] = "x"
+        rows.append(edited)
+    config = jaccard.JaccardConfig(words=1)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(rows)], "doc_id long, text string")
+    classes = jaccard.keyed_sets(docs, config).groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("hashes").alias("hashes"))
+    joined = {r.child: r.parent for r in components(jaccard._candidates(classes, config), "test").collect()}
+    nodes = {r.node for r in classes.collect()}
+    sets = {i: frozenset(t) for i, t in enumerate(rows)}
+    linked = 0
+    for a in nodes:
+        for b in nodes:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+                linked += 1
+                assert joined.get(a, a) == joined.get(b, b)
+    assert linked > 40
+    # Families are not chained together by the words that half of them share.
+    assert max(np.bincount([v for v in joined.values()])) < 30
 
 
 def test_bit_counts_never_lose_a_pair():

@@ -18,8 +18,6 @@ class ScaleConfig:
     # Trailing windows are split into (customer, time slice) groups of this
     # width, so one very busy customer is spread over many tasks.
     velocity_slice_minutes: int = 10
-    # A customer's flagged-transaction list is cut into arrays of about this size.
-    list_chunk_rows: int = 10_000
 
 
 @dataclass(frozen=True)

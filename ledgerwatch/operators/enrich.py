@@ -7,8 +7,6 @@ adaptive execution splits the hot keys.
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,26 +55,25 @@ def attach_dated_rate(df: DataFrame, rates: DataFrame) -> DataFrame:
     return _convert(df.join(rates, ["currency", "transaction_date"], "left"))
 
 
-def attach_rate_as_of(df: DataFrame, rates: DataFrame, until: date) -> DataFrame:
+def attach_rate_as_of(df: DataFrame, rates: DataFrame) -> DataFrame:
     """Latest rate on or before the transaction date.
 
-    The sparse rate table is filled to one row per currency and day, so the
-    as-of look-up is a plain two-key equi-join. Dates after ``until`` use the
-    rate of ``until``.
+    The sparse rate table is filled to one row per currency and day up to the
+    newest rate, so the look-up is a plain two-key equi-join; transactions after
+    that day use that day's rates.
     """
-    last_day = F.lit(until)
+    newest = F.lit(rates.agg(F.max("date")).first()[0])
     following = F.lead("date").over(Window.partitionBy("currency").orderBy("date"))
     daily = (
-        rates.filter(F.col("date") <= last_day)
-        .withColumn("__to", F.coalesce(F.date_sub(following, 1), last_day))
+        rates.withColumn("__to", F.coalesce(F.date_sub(following, 1), newest))
         .select(
             "currency",
             F.explode(F.sequence("date", "__to")).alias("__rate_date"),
             F.col("rate_to_eur").cast("decimal(10,6)").alias("exchange_rate"),
         )
     )
-    keyed = df.withColumn("__rate_date", F.least("transaction_date", last_day))
-    return _convert(keyed.join(daily, ["currency", "__rate_date"], "left").drop("__rate_date"))
+    dated = df.withColumn("__rate_date", F.least("transaction_date", newest))
+    return _convert(dated.join(daily, ["currency", "__rate_date"], "left").drop("__rate_date"))
 
 
 def _convert(df: DataFrame) -> DataFrame:
@@ -138,8 +135,10 @@ def add_flags(df: DataFrame, cfg: RuleConfigA) -> DataFrame:
                 F.col("transaction_hour"), cfg.unusual_from_hour, cfg.unusual_until_hour
             ),
             "business_day_flag": flags.business_day(F.col("transaction_timestamp")),
+            # A missing country, which stands as UNKNOWN, says nothing about abroad.
             "is_international": flags.is_true(
-                F.col("transaction_country_code") != F.col("customer_country_code")
+                (F.col("transaction_country_code") != F.col("customer_country_code"))
+                & (F.col("transaction_country_code") != UNKNOWN)
             ),
         }
     )

@@ -16,35 +16,6 @@ def keep_latest(df: DataFrame, keys: list[str], newest_first: list[Column]) -> D
     return df.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
 
 
-def chunked_lists(
-    df: DataFrame, keys: list[str], value: str, alias: str, chunk_rows: int
-) -> DataFrame:
-    """All values per key as sorted arrays of about ``chunk_rows`` elements.
-
-    Keys with at most ``chunk_rows`` values get exactly one row (part 0 of 1).
-    Busier keys get several rows, so no task and no row ever holds the whole of
-    an unbounded group, and no value is dropped.
-    """
-    sizes = (
-        df.groupBy(*keys)
-        .agg(F.count(value).alias("__n"))
-        .filter(F.col("__n") > chunk_rows)
-        .select(*keys, F.ceil(F.col("__n") / chunk_rows).cast("int").alias("__parts"))
-    )
-    parts = F.coalesce("__parts", F.lit(1))
-    return (
-        join_null_safe(df.select(*keys, F.col(value).alias("__value")), sizes, keys)
-        .select(
-            *keys,
-            "__value",
-            parts.alias("list_parts"),
-            F.pmod(F.xxhash64("__value"), parts).cast("int").alias("list_part"),
-        )
-        .groupBy(*keys, "list_parts", "list_part")
-        .agg(F.array_sort(F.collect_list("__value")).alias(alias))
-    )
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join that treats NULL keys as equal; the keys of ``left`` are kept."""
     renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})

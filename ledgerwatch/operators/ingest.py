@@ -114,6 +114,15 @@ def recent_only(df: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
     return df.filter(F.col("transaction_timestamp") >= oldest)
 
 
+def first_copies(df: DataFrame, key: str = "transaction_id", order_by: str = "ingestion_timestamp") -> DataFrame:
+    """Keep the first delivered copy of each transaction; rows without an id are kept as they are."""
+    tie_break = [F.col(c).asc_nulls_last() for c in sorted(df.columns) if c not in (key, order_by)]
+    # Rows without an id are told apart by all they hold.
+    own = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns]))
+    marked = df.withColumn("__own", own)
+    return keep_latest(marked, [key, "__own"], [F.col(order_by).asc_nulls_last(), *tie_break]).drop("__own")
+
+
 def deduplicate(df: DataFrame, key: str = "transaction_id", order_by: str = "ingestion_timestamp") -> DataFrame:
     """Keep the newest copy of each transaction."""
     tie_break = [F.col(c).desc_nulls_last() for c in sorted(df.columns) if c not in (key, order_by)]

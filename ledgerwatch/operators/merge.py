@@ -17,8 +17,16 @@ from .grouping import keep_latest
 FAR_FUTURE = date(9999, 12, 31)
 
 
+def unique_on(source: DataFrame, keys: list[str], newer_by: str | None = None) -> DataFrame:
+    """One row per key: the newest by ``newer_by``, ties and rows without it by their other columns."""
+    rest = [f.name for f in source.schema.fields if f.name not in (*keys, newer_by) and f.dataType.typeName() not in ("map", "variant")]
+    first = [F.col(newer_by).desc_nulls_last()] if newer_by else []
+    return keep_latest(source, keys, [*first, *[F.col(c).desc_nulls_last() for c in rest], F.lit(0)])
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Matched rows are replaced, new rows added; ``source`` is unique on ``keys``."""
+    """Matched rows are replaced, new rows added; repeated keys of ``source`` count once."""
+    source = unique_on(source, keys)
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
 
@@ -44,8 +52,10 @@ def conditional_merge(
     """Merge with a condition and explicit column assignments.
 
     Expressions refer to ``target.<column>`` and ``source.<column>``. Without
-    ``update`` / ``insert`` all columns of the source are taken.
+    ``update`` / ``insert`` all columns of the source are taken. Repeated keys of
+    ``source`` count once (see ``unique_on``).
     """
+    source = unique_on(source, keys)
     columns = target.columns
     shared = [c for c in columns if c in source.columns]
     update = update if update is not None else {c: F.col(f"source.{c}") for c in shared}
@@ -73,8 +83,7 @@ def conditional_merge(
 
 def newest_wins(target: DataFrame, source: DataFrame, keys: list[str], time_column: str) -> DataFrame:
     """Late-data merge: a row replaces its older version, never its newer one."""
-    ties = [F.col(c).desc_nulls_last() for c in source.columns if c not in (*keys, time_column)]
-    latest = keep_latest(source, keys, [F.col(time_column).desc_nulls_last(), *ties])
+    latest = unique_on(source, keys, time_column)
     newer = F.col(f"source.{time_column}") > F.col(f"target.{time_column}")
     return conditional_merge(target, latest, keys, update_when=newer)
 
@@ -94,7 +103,9 @@ def scd2_apply(
     The current version of a key is closed and a new one opened only when a
     tracked column differs (NULL-safe). History and unchanged rows pass through,
     so applying the same source twice changes nothing. One join, no collect.
+    Repeated keys of ``source`` count once (see ``unique_on``).
     """
+    source = unique_on(source, keys)
     open_end = F.lit(None) if open_end is None else open_end
     expired_end = effective if expired_end is None else expired_end
     types = {f.name: f.dataType for f in dimension.schema.fields}

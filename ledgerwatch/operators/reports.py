@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import count_when, mean, mean_score
 from ..functions.risk import priority_label, priority_rank
-from .grouping import chunked_lists, join_null_safe, keep_latest
+from .grouping import keep_latest
 
 # Output names of the six rule counters.
 RULE_COUNTERS = {
@@ -78,26 +78,29 @@ def rule_breakdown(alerts: DataFrame) -> DataFrame:
     return alerts.agg(*[count_when(F.col(flag)).alias(name) for flag, name in RULE_COUNTERS.items()])
 
 
-def customer_risk(alerts: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
-    """Per customer: flagged volume, scores and the flagged transaction ids.
+def customer_risk(alerts: DataFrame) -> DataFrame:
+    """Per customer: flagged volume and scores, one row whatever its size.
 
-    A customer with more than ``chunk_rows`` ids gets one row per list part;
-    the other columns repeat.
+    The ids are in ``customer_flagged_transactions``.
     """
-    keys = ["customer_id", "customer_name", "risk_category"]
-    totals = alerts.groupBy(*keys).agg(
-        F.count("transaction_id").alias("alert_count"),
-        F.sum("amount").alias("total_flagged_amount"),
-        mean_score(F.col("transaction_risk_score")).alias("avg_risk_score"),
-        priority_label(F.min(priority_rank(F.col("alert_priority")))).alias("highest_priority"),
-        F.countDistinct("destination_country").alias("unique_dest_countries"),
-    )
-    lists = chunked_lists(alerts, keys, "transaction_id", "flagged_transaction_ids", chunk_rows)
-    return join_null_safe(totals, lists, keys).orderBy(
-        F.desc("alert_count"), F.desc("total_flagged_amount"), "customer_id", "list_part"
+    return (
+        alerts.groupBy("customer_id", "customer_name", "risk_category")
+        .agg(
+            F.count("transaction_id").alias("alert_count"),
+            F.sum("amount").alias("total_flagged_amount"),
+            mean_score(F.col("transaction_risk_score")).alias("avg_risk_score"),
+            priority_label(F.min(priority_rank(F.col("alert_priority")))).alias("highest_priority"),
+            F.countDistinct("destination_country").alias("unique_dest_countries"),
+        )
+        .orderBy(F.desc("alert_count"), F.desc("total_flagged_amount"), "customer_id")
     )
 
 
+def customer_flagged_transactions(alerts: DataFrame) -> DataFrame:
+    """The flagged transaction ids of every customer, one row each."""
+    return alerts.select("customer_id", "transaction_id").where("transaction_id IS NOT NULL").distinct()
+
+
 def geographic(alerts: DataFrame) -> DataFrame:
     return (
         alerts.groupBy("destination_country")

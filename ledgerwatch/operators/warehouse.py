@@ -397,7 +397,8 @@ def customer_risk_history(
 ) -> DataFrame:
     """Risk and 30-day activity per customer version, as of the snapshot date.
 
-    ``profiles`` has one row per ``customer_sk`` with risk_score and risk_category.
+    ``profiles`` has one row per ``customer_sk`` with risk_score, risk_category and
+    is_current. Current versions without activity have a row of zeros.
     """
     first = snapshot_date - timedelta(days=days)
     day = F.col("transaction_date_sk")
@@ -408,8 +409,11 @@ def customer_risk_history(
         count_when(F.col("is_suspicious")).alias("suspicious_count_30d"),
         count_when(F.col("is_high_risk_country")).alias("high_risk_country_count_30d"),
     )
+    known = profiles.select("customer_sk", "risk_score", "risk_category", "is_current")
+    joined = activity.join(known, "customer_sk", "full_outer").where(F.col("total_transactions_30d").isNotNull() | F.col("is_current"))
+    counts = [c for c in activity.columns if c != "customer_sk"]
     return (
-        activity.join(profiles.select("customer_sk", "risk_score", "risk_category"), "customer_sk", "left")
+        joined.select("customer_sk", *[F.coalesce(c, F.lit(0).cast(activity.schema[c].dataType)).alias(c) for c in counts], "risk_score", "risk_category")
         .withColumn("snapshot_date", F.lit(snapshot_date))
         .withColumn("risk_history_sk", surrogate_key(F.col("customer_sk"), F.col("snapshot_date")))
     )
@@ -439,12 +443,18 @@ def high_risk_customers(customers: DataFrame) -> DataFrame:
 
 
 def open_alerts(alerts: DataFrame, customers: DataFrame, statuses: DataFrame, as_of: Column) -> DataFrame:
-    """Open alerts of current customers with their age, most urgent first."""
+    """Open alerts with their age and the customer as known today, most urgent first.
+
+    An alert keeps the customer version it was raised for; the name comes from the
+    current one. Alerts of unknown customers stay, without a name.
+    """
     open_keys = statuses.filter("is_open").select("alert_status_sk")
-    current = customers.filter("is_current").select("customer_sk", "customer_id", "customer_name")
+    versions = customers.select("customer_sk", "customer_id")
+    current = customers.filter("is_current").select("customer_id", "customer_name")
     return (
         alerts.join(open_keys, "alert_status_sk", "left_semi")
-        .join(current, "customer_sk")
+        .join(versions, "customer_sk", "left")
+        .join(current, "customer_id", "left")
         .select(
             "alert_id",
             "customer_id",

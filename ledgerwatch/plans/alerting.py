@@ -22,8 +22,14 @@ class Dimensions:
 
 
 def typed_amounts(bronze: DataFrame, dims: Dimensions) -> DataFrame:
-    """Typed, positive, EUR-converted and dated; no large join yet."""
+    """Typed, positive, EUR-converted and dated; no large join yet.
+
+    A batch counts each transaction once, as first delivered. On a stream, where
+    "first" needs a watermark, ``windows.unique_transactions`` is the caller's choice.
+    """
     typed = enrich.add_calendar(ingest.type_and_reject(bronze))
+    if not typed.isStreaming:
+        typed = ingest.first_copies(typed)
     return enrich.attach_rate(typed, dims.rates)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -206,7 +206,7 @@ FROM tx LEFT JOIN dated ON dated.currency = tx.currency AND dated.date = tx.tran
 
 def fx_as_of(x: Inputs) -> DataFrame:
     typed = enrich.add_calendar(ops.type_and_reject(x.bronze))
-    return enrich.attach_rate_as_of(typed, _dated_rates(x), date(2024, 1, 31)).select(
+    return enrich.attach_rate_as_of(typed, _dated_rates(x)).select(
         "transaction_id", "exchange_rate", "amount_eur", "fx_missing"
     )
 

@@ -244,7 +244,7 @@ sv AS (
          CAST(round(coalesce(t.amount * r.rate, t.amount), 2) AS DECIMAL(18,2)) >= 10000 AS is_high_value,
          hour(t.transaction_timestamp) >= 22 OR hour(t.transaction_timestamp) < 6 AS is_unusual_time,
          isodow(t.transaction_timestamp) <= 5 AS business_day_flag,
-         coalesce(coalesce(t.transaction_country, 'UNKNOWN') <> c.customer_country_code, FALSE) AS is_international
+         coalesce(t.transaction_country <> c.customer_country_code, FALSE) AS is_international
   FROM tx t
   LEFT JOIN rates r USING (currency)
   LEFT JOIN customers c USING (customer_id)

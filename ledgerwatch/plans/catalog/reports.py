@@ -102,8 +102,11 @@ BREAKDOWN_SQL = f"WITH {_DAILY_SQL}\nSELECT " + ", ".join(
 
 
 def customer_risk(x: Inputs) -> DataFrame:
-    report = ops.customer_risk(daily_alerts(x))
-    return report.withColumn("flagged_transaction_ids", F.array_join("flagged_transaction_ids", ","))
+    return ops.customer_risk(daily_alerts(x))
+
+
+def customer_flagged_transactions(x: Inputs) -> DataFrame:
+    return ops.customer_flagged_transactions(daily_alerts(x))
 
 
 _SCORE_MEAN = "CAST(sum(CAST(transaction_risk_score AS DECIMAL(5,4))) AS DOUBLE) / CAST(count(*) AS DOUBLE)"
@@ -113,11 +116,12 @@ SELECT customer_id, customer_name, risk_category, count(transaction_id) AS alert
        sum(amount) AS total_flagged_amount, {_SCORE_MEAN} AS avg_risk_score,
        CASE min(CASE alert_priority WHEN 'CRITICAL' THEN 1 WHEN 'HIGH' THEN 2 WHEN 'MEDIUM' THEN 3 ELSE 4 END)
             WHEN 1 THEN 'CRITICAL' WHEN 2 THEN 'HIGH' WHEN 3 THEN 'MEDIUM' ELSE 'LOW' END AS highest_priority,
-       count(DISTINCT destination_country) AS unique_dest_countries,
-       string_agg(transaction_id, ',' ORDER BY transaction_id) AS flagged_transaction_ids,
-       CAST(0 AS INTEGER) AS list_part, CAST(1 AS INTEGER) AS list_parts
+       count(DISTINCT destination_country) AS unique_dest_countries
 FROM al GROUP BY customer_id, customer_name, risk_category"""
 
+FLAGGED_SQL = f"""WITH {_DAILY_SQL}
+SELECT DISTINCT customer_id, transaction_id FROM al WHERE transaction_id IS NOT NULL"""
+
 
 def geo_report(x: Inputs) -> DataFrame:
     return ops.geographic(daily_alerts(x))
@@ -228,6 +232,7 @@ ENTRIES = {
     "alert_summary": Entry(alert_summary, SUMMARY_SQL),
     "rule_breakdown": Entry(rule_breakdown, BREAKDOWN_SQL),
     "customer_risk": Entry(customer_risk, CUSTOMER_RISK_SQL),
+    "customer_flagged_transactions": Entry(customer_flagged_transactions, FLAGGED_SQL),
     "geo_report": Entry(geo_report, GEO_SQL),
     "compliance_kpis": Entry(compliance_kpis, KPI_SQL),
     "weekly_summary": Entry(weekly_summary, WEEKLY_SQL),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,6 +103,19 @@ SELECT sha256(transaction_id || '|' || rule_id) AS alert_id, TIMESTAMP '2024-01-
 FROM alerts JOIN names USING (rule_id)"""
 
 
+class Redelivered(Inputs):
+    """The same transactions, every third delivered again an hour later."""
+
+    @cached_property
+    def bronze(self) -> DataFrame:
+        again = super().bronze.filter("CAST(substring(transaction_id, 4, 10) AS BIGINT) % 3 = 0")
+        return super().bronze.unionByName(again.withColumn("ingestion_timestamp", F.expr("ingestion_timestamp + INTERVAL 1 HOUR")))
+
+
+def batch_redelivery(x: Inputs) -> DataFrame:
+    return alerts_gold(Redelivered(x.spark, x.sf_dir))
+
+
 def alerts_gold_full(x: Inputs) -> DataFrame:
     silver = alerting.build_silver(x.bronze, x.dimensions, PACK_A)
     context = profiles.customer_profiles(silver, AS_OF.date(), ProfileConfig())
@@ -239,6 +253,7 @@ ENTRIES = {
     "rules_a": Entry(rules_a, RULES_A_SQL),
     "score_a": Entry(score_a, SCORE_A_SQL),
     "alerts_gold": Entry(alerts_gold, GOLD_SQL),
+    "batch_redelivery": Entry(batch_redelivery, GOLD_SQL),
     "alerts_gold_full": Entry(alerts_gold_full, GOLD_FULL_SQL),
     "alert_details_json": Entry(alert_details_json, DETAILS_JSON_SQL),
     "alerts_extended": Entry(alerts_extended, EXTENDED_SQL),

@@ -162,6 +162,19 @@ def stream_alerts(x: Inputs) -> DataFrame:
     )
 
 
+def stream_redelivery(x: Inputs) -> DataFrame:
+    """Every third message comes again in a later batch, and once more in the same."""
+    paths = medallion.MedallionPaths.under(run_dir(x.spark, "redelivery"))
+    handler = medallion.batch_handler(x.dimensions, RULES, paths)
+    parsed = ingest_ops.parse_messages(x.messages, ingested_at=F.col("kafka_timestamp"))
+    again = parsed.filter("kafka_offset % 3 = 0")
+    handler(parsed.unionByName(again), 0)
+    handler(again, 1)
+    return x.spark.read.parquet(paths.alerts).select(
+        "alert_id", "transaction_id", "customer_id", "rule_id", "risk_score", "alert_severity", "transaction_amount_eur"
+    )
+
+
 # Broken messages go to quarantine before velocity is computed.
 STREAM_ALERTS_SQL = "WITH " + rules.ALERTS_SQL.replace(
     "event_id % 101 <> 0 AND amount > 0", "event_id % 101 <> 0 AND event_id % 103 <> 0 AND amount > 0"
@@ -178,4 +191,5 @@ ENTRIES = {
     "stream_window_join": Entry(stream_window_join, WINDOW_JOIN_SQL),
     "stream_velocity": Entry(stream_velocity, STREAM_VELOCITY_SQL),
     "stream_alerts": Entry(stream_alerts, STREAM_ALERTS_SQL),
+    "stream_redelivery": Entry(stream_redelivery, STREAM_ALERTS_SQL),
 }

@@ -242,9 +242,13 @@ activity AS (
          count(*) FILTER (WHERE is_suspicious) AS suspicious_count_30d,
          count(*) FILTER (WHERE is_high_risk_country) AS high_risk_country_count_30d
   FROM facts WHERE transaction_date_sk BETWEEN 20231231 AND 20240130 GROUP BY 1)
-SELECT a.*, risk_score, risk_category, DATE '2024-01-30' AS snapshot_date,
-       {key_sql("CAST(a.customer_sk AS VARCHAR) || '|2024-01-30'")} AS risk_history_sk
-FROM activity a LEFT JOIN dim_customer c ON c.customer_sk = a.customer_sk"""
+SELECT coalesce(a.customer_sk, c.customer_sk) AS customer_sk, coalesce(total_transactions_30d, 0) AS total_transactions_30d,
+       CAST(coalesce(total_volume_30d, 0) AS DECIMAL(38,2)) AS total_volume_30d,
+       coalesce(suspicious_count_30d, 0) AS suspicious_count_30d, coalesce(high_risk_country_count_30d, 0) AS high_risk_country_count_30d,
+       risk_score, risk_category, DATE '2024-01-30' AS snapshot_date,
+       {key_sql("CAST(coalesce(a.customer_sk, c.customer_sk) AS VARCHAR) || '|2024-01-30'")} AS risk_history_sk
+FROM activity a FULL OUTER JOIN dim_customer c ON c.customer_sk = a.customer_sk
+WHERE a.customer_sk IS NOT NULL OR c.is_current"""
 
 
 # --- views --------------------------------------------------------------------------
@@ -264,10 +268,11 @@ def open_alerts(x: Inputs) -> DataFrame:
 
 
 OPEN_SQL = f"""WITH {_ALERT_FACT_SQL}
-SELECT alert_id, c.customer_id, c.customer_name, alert_priority, transaction_risk_score, alert_generated_at,
+SELECT alert_id, v.customer_id, c.customer_name, alert_priority, transaction_risk_score, alert_generated_at,
        CAST(10 AS INTEGER) AS days_open, total_rules_triggered
-FROM alert_facts a JOIN dim_customer c ON c.customer_sk = a.customer_sk
-WHERE status_code IN ('NEW', 'OPEN', 'UNDER_REVIEW', 'ESCALATED') AND c.is_current"""
+FROM alert_facts a LEFT JOIN dim_customer v ON v.customer_sk = a.customer_sk
+LEFT JOIN dim_customer c ON c.customer_id = v.customer_id AND c.is_current
+WHERE status_code IN ('NEW', 'OPEN', 'UNDER_REVIEW', 'ESCALATED')"""
 
 
 def volume_by_country(x: Inputs) -> DataFrame:

@@ -87,7 +87,8 @@ def daily_report(spark: SparkSession, job: JobConfig, customers: DataFrame) -> d
     frames = {
         "summary": reports.alert_summary(stored),
         "rule_breakdown": reports.rule_breakdown(stored),
-        "customer_risk": reports.customer_risk(stored, job.scale.list_chunk_rows),
+        "customer_risk": reports.customer_risk(stored),
+        "customer_flagged_transactions": reports.customer_flagged_transactions(stored),
         "geographic_analysis": reports.geographic(stored),
         "compliance_metrics": reports.compliance_kpis(stored, job.run_date, F.lit(job.as_of)),
     }

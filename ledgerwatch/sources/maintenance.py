@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def cluster(df: DataFrame, columns: list[str], files: int, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -17,20 +18,24 @@ def compact(
     columns: list[str],
     files: int,
     partition_by: tuple[str, ...] = (),
-    where: Column | None = None,
+    only: dict[str, list] | None = None,
     target: str | None = None,
 ) -> str:
-    """Rewrite (the selected partitions of) a table into few, clustered files.
+    """Rewrite a table, or its partitions with the values in ``only``, into few, clustered files.
 
     In place for partitioned tables: dynamic overwrite swaps whole partitions
-    after the new files exist, so ``where`` must select whole partitions.
-    Otherwise the result goes to ``target``. Rows are unchanged.
+    after the new files exist. ``only`` maps partition columns to values, so that
+    it cannot select part of a partition. Otherwise the result goes to ``target``.
+    Rows are unchanged.
     """
+    outside = set(only or {}) - set(partition_by)
+    if outside:
+        raise ValueError(f"{sorted(outside)} are no partition columns")
     if target is None and not partition_by:
         raise ValueError("an unpartitioned table needs a target path")
     df = spark.read.parquet(path)
-    if where is not None:
-        df = df.filter(where)
+    for column, values in (only or {}).items():
+        df = df.filter(F.col(column).isin(list(values)))
     destination = target or path
     (
         cluster(df, columns, files, partition_by)

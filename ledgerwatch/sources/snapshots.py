@@ -1,8 +1,9 @@
 """Tables with numbered snapshots: read any version, list the history, upsert.
 
 A snapshot is one ``snapshot_version=N`` folder. It becomes visible when its
-line is added to the small history table next to it, so a failed write leaves
-no trace and can simply be repeated.
+line is added to the small history table next to it. Two writers of the same
+version cannot both succeed: the folder is created once. One that is left behind by
+a failed write has to be removed before that version can be written again.
 """
 
 from __future__ import annotations
@@ -70,7 +71,8 @@ class SnapshotTable:
         latest = self.resolve()
         version = 0 if latest is None else latest + 1
         observed, rows = counted(df, f"snapshot-{version}")
-        observed.write.mode("overwrite").partitionBy(*partition_by).parquet(self._folder(version))
+        # A second writer of the same version fails here; so does a repeat after a failed write, until its folder is gone.
+        observed.write.mode("errorifexists").partitionBy(*partition_by).parquet(self._folder(version))
         line = [(version, at, operation, rows.get["rows"])]
         self.spark.createDataFrame(line, _HISTORY).coalesce(1).write.mode("append").parquet(self._history_path)
         return version

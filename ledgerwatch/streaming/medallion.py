@@ -3,6 +3,10 @@
 Bronze holds every message; those that break the contract are in its
 ``quarantined=true`` partitions, with the clauses they break.
 
+A transaction that an earlier batch has stored is not stored or counted again. A
+late row is counted in its own frame; alerts of later rows that are already stored
+are not evaluated again.
+
 Every write replaces the partitions of its own batch id, so a batch that is
 repeated after a failure leaves each table as if it had run once.
 """
@@ -19,7 +23,7 @@ from pyspark.sql import functions as F
 from ..config import RuleConfigA, ScaleConfig
 from ..operators import ingest, rules, velocity
 from ..plans.alerting import Dimensions, build_silver
-from ..sources.tables import overwrite_partitions
+from ..sources.tables import create_if_missing, overwrite_partitions
 
 
 @dataclass(frozen=True)
@@ -54,7 +58,13 @@ def batch_handler(
         bronze = landed.filter((F.col("batch_id") == batch_id) & ~F.col("quarantined"))
         bronze = bronze.drop("violations", "quarantined")
         silver = build_silver(bronze, dims, cfg)
-        overwrite_partitions(silver, paths.silver, ("transaction_date", "batch_id"))
+        placed = ("transaction_date", "batch_id")
+        before = create_if_missing(spark, paths.silver, silver.schema, placed).filter(F.col("batch_id") < batch_id)
+        # Messages delivered again: their first copy is stored under the same date.
+        days = silver.select("transaction_date").distinct()
+        known = before.join(days, "transaction_date", "left_semi").select("transaction_id")
+        silver = silver.join(known, "transaction_id", "left_anti").select(*silver.columns)
+        overwrite_partitions(silver, paths.silver, placed)
 
         stored = spark.read.schema(silver.schema).parquet(paths.silver)
         alerts = batch_alerts(stored, batch_id, cfg, scale)
@@ -69,7 +79,7 @@ def batch_velocity(
 ) -> DataFrame | None:
     """The transactions of one batch with their trailing frame over all stored ones.
 
-    The table is the state: only its partitions within one frame of the batch
+    The table is the state: only its partitions within one frame of the batch's days
     are read, and the sums are spread over time slices, so a customer with most
     of the rows is no bottleneck. None for a batch without transactions.
     """
@@ -78,11 +88,15 @@ def batch_velocity(
     if first is None:
         return None
     start = first - timedelta(hours=cfg.velocity_window_hours)
+    # Days with rows of the batch and those its frames reach back to; a late row reads its own.
+    back = -(-cfg.velocity_window_hours // 24)
+    reach = F.explode(F.sequence(F.date_sub("transaction_date", back), "transaction_date"))
+    days = stored.filter(own).select("transaction_date").distinct().select(reach.alias("transaction_date")).distinct()
     nearby = stored.filter(
         F.col("transaction_date").between(F.lit(start.date()), F.lit(last.date()))
         & F.col("transaction_timestamp").between(F.lit(start), F.lit(last))
         & (F.col("batch_id") <= batch_id)
-    )
+    ).join(days, "transaction_date", "left_semi")
     return velocity.trailing_velocity(nearby, cfg, scale.velocity_slice_minutes, wanted=own)
 
 

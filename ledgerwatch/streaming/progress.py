@@ -18,10 +18,9 @@ _PROGRESS = T.StructType(
 
 
 class ProgressLog(StreamingQueryListener):
-    """Remembers the latest ``keep`` progress reports."""
+    """Collects progress reports until the job appends them to a table."""
 
-    def __init__(self, keep: int = 1000):
-        self.keep = keep
+    def __init__(self):
         self.reports: list[tuple] = []
 
     def onQueryStarted(self, event) -> None:
@@ -31,7 +30,6 @@ class ProgressLog(StreamingQueryListener):
         p = event.progress
         duration = int(p.durationMs.get("triggerExecution", 0))
         self.reports.append((p.name, p.batchId, p.numInputRows, p.processedRowsPerSecond, duration))
-        del self.reports[: -self.keep]
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -39,5 +37,12 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         pass
 
+    def append_to(self, spark: SparkSession, path: str) -> None:
+        """Append the reports so far to a table; call it as often as memory on the driver demands."""
+        taken = list(self.reports)
+        if taken:
+            spark.createDataFrame(taken, _PROGRESS).coalesce(1).write.mode("append").parquet(path)
+            del self.reports[: len(taken)]
+
     def to_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.reports, _PROGRESS)

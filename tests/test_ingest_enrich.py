@@ -78,15 +78,6 @@ def test_keep_latest_limits_copies_before_the_shuffle(spark):
     assert out.filter("k = 0").first()["v"] == 999
 
 
-def test_long_lists_are_cut_but_complete(spark):
-    df = spark.range(300).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 50) END AS k", "CAST(id AS STRING) AS v")
-    out = grouping.chunked_lists(df, ["k"], "v", "vs", chunk_rows=10).collect()
-    hot = [r for r in out if r["k"] == "hot"]
-    assert {r["list_parts"] for r in hot} == {10} and len(hot) > 1
-    assert sorted(v for r in out for v in r["vs"]) == sorted(str(i) for i in range(300))
-    assert all(r["list_parts"] == 1 for r in out if r["k"] != "hot")
-
-
 def test_missing_rate_is_flagged_and_kept(spark):
     df = spark.createDataFrame([("EUR", Decimal("3.00")), ("XXX", Decimal("3.00"))], "currency string, amount decimal(18,2)")
     rates = spark.createDataFrame([("EUR", Decimal("2.000000"))], "currency string, rate_to_eur decimal(10,6)")
@@ -107,7 +98,7 @@ def test_as_of_rate(spark):
     )
     days = [date(2024, 1, d) for d in (2, 3, 5, 6, 30)]
     df = spark.createDataFrame([("USD", d, Decimal("1.00")) for d in days], "currency string, transaction_date date, amount decimal(18,2)")
-    out = enrich.attach_rate_as_of(df, rates, date(2024, 1, 10)).orderBy("transaction_date").collect()
+    out = enrich.attach_rate_as_of(df, rates).orderBy("transaction_date").collect()
     assert [None if r["exchange_rate"] is None else int(r["exchange_rate"]) for r in out] == [None, 1, 1, 2, 2]
 
 
@@ -136,3 +127,16 @@ def test_schema_registry_and_comparison(spark):
     ok, problems = schemas.compare_schema(df.schema, schemas.get_schema("dim_exchange_rates"))
     assert not ok
     assert problems == ["missing columns: date, rate_to_eur", "extra columns: extra", "currency: expected string, found int"]
+
+
+def test_as_of_rate_after_the_newest_rate(spark):
+    rates = spark.createDataFrame([("USD", date(2024, 1, 3), Decimal("1")), ("USD", date(2024, 2, 20), Decimal("0.5"))], "currency string, date date, rate_to_eur decimal(10,6)")
+    df = spark.createDataFrame([("USD", date(2024, 3, 1), Decimal("1.00"))], "currency string, transaction_date date, amount decimal(18,2)")
+    row = enrich.attach_rate_as_of(df, rates).first()
+    assert (row["amount_eur"], row["fx_missing"]) == (Decimal("0.50"), False)
+
+
+def test_first_copies_keep_rows_without_an_id(spark):
+    rows = [("a", 2, "x"), ("a", 1, "y"), (None, 1, "p"), (None, 1, "q")]
+    got = ingest.first_copies(spark.createDataFrame(rows, "transaction_id string, ingestion_timestamp int, v string"))
+    assert sorted((str(r.transaction_id), r.v) for r in got.collect()) == [("None", "p"), ("None", "q"), ("a", "y")]

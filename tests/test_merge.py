@@ -114,3 +114,15 @@ def test_change_feed(spark):
     after = spark.createDataFrame([("a", 1, 0), ("b", 2, 0), ("d", 1, 0)], ROW)
     feed = sorted((r["_change_type"], r["id"]) for r in merge.change_feed(before, after, ["id"]).collect())
     assert feed == [("delete", "c"), ("insert", "d"), ("update_postimage", "b"), ("update_preimage", "b")]
+
+
+def test_repeated_source_keys_count_once(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    source = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (3, "z")], "k int, v string")
+    for merged in (merge.upsert(target, source, ["k"]), merge.conditional_merge(target, source, ["k"])):
+        assert sorted(map(tuple, merged.collect())) == [(1, "y"), (2, "b"), (3, "z")]
+    dimension = merge.scd2_start(target, F.lit(datetime(2024, 1, 1)))
+    changed = merge.scd2_apply(dimension, source, ["k"], ["v"], F.lit(datetime(2024, 2, 1)))
+    current = sorted((r.k, r.v) for r in merge.current_rows(changed).collect())
+    assert current == [(1, "y"), (2, "b"), (3, "z")]
+    assert changed.count() == 4

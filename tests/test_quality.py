@@ -81,3 +81,10 @@ def test_reconcile_reports_one_sided_keys(spark):
     right = spark.createDataFrame([("a", 1), ("c", 5)], "k string, amount int")
     out = {r["k"]: (r["row_difference"], int(r["amount_difference"]), r["reconciled"]) for r in quality.reconcile(left, right, ["k"], "amount").collect()}
     assert out == {"a": (0, 0, True), "b": (1, 2, False), "c": (-1, -5, False)}
+
+
+def test_reconcile_matches_null_keys(spark):
+    left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, amount int")
+    right = spark.createDataFrame([(None, 1), ("a", 3)], "k string, amount int")
+    rows = {r.k: r.reconciled for r in quality.reconcile(left, right, ["k"], "amount").collect()}
+    assert rows == {None: True, "a": False}

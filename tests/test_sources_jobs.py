@@ -84,7 +84,7 @@ def test_compaction_keeps_rows_and_reduces_files(spark, small, tmp_path):
     orders.repartition(12).write.partitionBy("year").parquet(path)
     before = sorted(map(str, spark.read.parquet(path).collect()))
     files = len(list((tmp_path / "t").rglob("*.parquet")))
-    maintenance.compact(spark, path, ["o_custkey", "o_orderdate"], 2, ("year",), where=F.col("year") >= 1998)
+    maintenance.compact(spark, path, ["o_custkey", "o_orderdate"], 2, ("year",), only={"year": [1998]})
     assert sorted(map(str, spark.read.parquet(path).collect())) == before
     assert len(list((tmp_path / "t").rglob("*.parquet"))) < files
 
@@ -144,10 +144,10 @@ def current_customers(x):
     )
 
 
-def test_daily_report_writes_six_frames(spark, job):
+def test_daily_report_writes_its_frames(spark, job):
     cfg, x = job
     paths = jobs.daily_report(spark, cfg, current_customers(x))
-    assert len(paths) == 6 and all("report_date=2024-01-31" in p for p in paths.values())
+    assert len(paths) == 7 and all("report_date=2024-01-31" in p for p in paths.values())
     details = spark.read.parquet(paths["alert_details"])
     kpis = spark.read.parquet(paths["compliance_metrics"]).first()
     assert kpis["total_alerts"] == details.count() > 0
@@ -183,3 +183,12 @@ def test_fact_load_is_repeatable(spark, job):
     jobs.load_fact_alerts(spark, next_day)
     assert facts.read().count() == loaded > 0
     assert facts.read().agg(F.min(F.to_date("alert_generated_at"))).first()[0] == date(2024, 1, 31)
+
+
+def test_compact_refuses_row_conditions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).selectExpr("id", "id % 2 AS part").write.partitionBy("part").parquet(path)
+    with pytest.raises(ValueError):
+        maintenance.compact(spark, path, ["id"], 1, ("part",), only={"id": [6]})
+    maintenance.compact(spark, path, ["id"], 1, ("part",), only={"part": [1]})
+    assert spark.read.parquet(path).count() == 10

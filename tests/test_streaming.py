@@ -135,3 +135,14 @@ def test_progress_log(spark, typed_files, tmp_path):
 def test_topic_options():
     options = messages.topic_options("broker:9092", "transactions")
     assert options["startingOffsets"] == "latest" and options["maxOffsetsPerTrigger"] == "10000"
+
+
+def test_progress_is_appended_and_kept(spark, tmp_path):
+    log = ProgressLog()
+    for batch in range(2500):
+        log.reports.append(("q", batch, 1, 1.0, 5))
+        if batch % 900 == 0:
+            log.append_to(spark, str(tmp_path / "progress"))
+    log.append_to(spark, str(tmp_path / "progress"))
+    log.append_to(spark, str(tmp_path / "progress"))
+    assert spark.read.parquet(str(tmp_path / "progress")).count() == 2500 and not log.reports

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import ingest, merge, profiles, quality, reports, rules, streams, velocity, warehouse
+from . import ingest, merge, profiles, quality, reports, rules, storage, streams, velocity, warehouse
 from .base import Entry
 
-_MODULES = (ingest, velocity, rules, profiles, reports, merge, warehouse, quality, streams)
+_MODULES = (ingest, velocity, rules, profiles, reports, merge, warehouse, quality, streams, storage)
 
 
 def entries() -> dict[str, Entry]:

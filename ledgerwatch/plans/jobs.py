@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
-from ..operators import merge, profiles, quality, reports
-from ..sources.snapshots import SnapshotTable
-from ..sources.tables import dated_path, overwrite_partitions, read_table, write_reports
+from ..operators import ingest, merge, profiles, quality, reports, rules
+from ..sources.snapshots import SnapshotTable, upsert_partitions
+from ..sources.tables import create_if_missing, dated_path, overwrite_partitions, read_table, write_reports
+from ..streaming import medallion, sinks
+from ..streaming.progress import ProgressLog
+from . import alerting
 
 SILVER = ("silver", "transactions")
 PROFILES = ("gold", "customer_profiles")
@@ -126,9 +130,66 @@ def weekly_analytics(spark: SparkSession, job: JobConfig) -> dict[str, str]:
     return paths
 
 
-def load_fact_alerts(spark: SparkSession, job: JobConfig) -> int:
-    """Merge the previous day's alerts into the alert fact; returns its version."""
+def load_fact_alerts(spark: SparkSession, job: JobConfig) -> None:
+    """Merge the previous day's alerts into the alert fact; only that day's partition is rewritten.
+
+    The fact is partitioned by ``alert_day``, which an alert keeps, so the daily
+    cost is that of a day, not of the table.
+    """
     yesterday = job.run_date - timedelta(days=1)
-    staged = on_day(_read(spark, job, ALERTS), "alert_generated_at", yesterday)
-    return SnapshotTable(spark, job.path(*FACT_ALERTS)).upsert(staged, ["transaction_id"], job.as_of)
+    staged = on_day(_read(spark, job, ALERTS), "alert_generated_at", yesterday).withColumn("alert_day", F.lit(yesterday))
+    path = job.path(*FACT_ALERTS)
+    create_if_missing(spark, path, staged.schema, ("alert_day",))
+    upsert_partitions(spark, path, staged, ["transaction_id"], "alert_day", schema=staged.schema)
+
+
+def run_monitoring(
+    messages: DataFrame,
+    dims: Callable[[], alerting.Dimensions],
+    job: JobConfig,
+    every: str | None = None,
+    routed: tuple[str, ...] = ("CRITICAL", "HIGH"),
+    publish_format: str = "kafka",
+    publish_options: dict[str, str] | None = None,
+) -> None:
+    """The streaming job: raw messages (broker columns) to bronze, silver and routed alerts.
+
+    Three queries run at once over the same source, each with its own checkpoint: the
+    bronze and silver tables by append, alerts by micro-batch (``every`` names the
+    trigger interval; without it all that is there is processed once). Alerts of the
+    ``routed`` severities are published as key and JSON in the batch that stores
+    them, at least once. Progress of all queries goes to a table.
+    """
+    spark = messages.sparkSession
+    parsed = ingest.parse_messages(messages, ingested_at=F.col("kafka_timestamp"))
+    base = job.path("stream")
+    publish_options = publish_options or {}
+
+    def publish(alerts: DataFrame, batch_id: int) -> None:
+        writer = rules.route_alerts(alerts, routed).write.format(publish_format).options(**publish_options)
+        if publish_format == "kafka":
+            writer.save()
+        else:  # a folder for each batch, so that a repeated batch replaces its own
+            writer.mode("overwrite").save(f"{base}/published/batch={batch_id}")
+
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    accepted = ingest.split_quarantine(ingest.contract_violations(parsed))[0]
+    silver = alerting.build_silver(accepted, dims(), job.rules_a)
+    handler = medallion.batch_handler(dims, job.rules_a, medallion.MedallionPaths.under(base), job.scale, publish)
+    queries = [
+        sinks.append_stream(parsed, f"{base}/raw", f"{base}/checkpoints/raw", ("ingestion_date",), every=every, name="raw"),
+        sinks.append_stream(silver, f"{base}/enriched", f"{base}/checkpoints/enriched", ("transaction_date",), every=every, name="enriched"),
+        sinks.each_batch(parsed, handler, f"{base}/checkpoints/alerts", every=every, name="alerts"),
+    ]
+    try:
+        if every is None:
+            for query in queries:
+                sinks.finish(query)
+        else:
+            sinks.run_until_stopped(spark, queries)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(log)
+        log.append_to(spark, f"{base}/progress")
 

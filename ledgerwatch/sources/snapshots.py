@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..operators.grouping import keep_latest
 from ..operators.merge import newest_wins, upsert
 from ..operators.quality import counted
-from .tables import create_if_missing
+from .tables import create_if_missing, read_table
 
 _HISTORY = T.StructType(
     [
@@ -93,6 +93,7 @@ def upsert_partitions(
     keys: list[str],
     partition: str,
     newer_by: str | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
     """Upsert into a date-partitioned table, rewriting only the touched partitions.
 
@@ -102,8 +103,9 @@ def upsert_partitions(
     The partition value must be fixed by the key (a transaction keeps its date).
     Untouched partitions are neither read (partition pruning on the join) nor
     written (dynamic overwrite stages the new files before swapping them in).
+    ``schema`` is needed while the table has no files yet.
     """
-    target = spark.read.parquet(path)
+    target = read_table(spark, path, schema=schema)
     touched = source.select(partition).distinct()
     affected = target.join(touched, partition, "left_semi")
     if newer_by is None:

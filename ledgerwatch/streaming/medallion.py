@@ -38,17 +38,25 @@ class MedallionPaths:
 
 
 def batch_handler(
-    dims: Dimensions, cfg: RuleConfigA, paths: MedallionPaths, scale: ScaleConfig = ScaleConfig()
+    dims: Dimensions | Callable[[], Dimensions],
+    cfg: RuleConfigA,
+    paths: MedallionPaths,
+    scale: ScaleConfig = ScaleConfig(),
+    publish: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Handler for ``each_batch`` over a stream of parsed messages.
 
+    ``dims`` as a function is asked anew in every batch, so that a long run sees
+    refreshed customers and rates. ``publish`` gets the stored alerts of a batch.
+
     Once a batch has landed, the rest runs in the session of the dimensions:
     the session of a stream has adaptive execution, and with it the handling of
     skewed joins, switched off.
     """
-    spark = dims.customers.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        now = dims() if callable(dims) else dims
+        spark = now.customers.sparkSession
         checked = ingest.contract_violations(batch).withColumns(
             {"batch_id": F.lit(batch_id), "quarantined": F.size("violations") > 0}
         )
@@ -57,7 +65,7 @@ def batch_handler(
         landed = spark.read.schema(checked.schema).parquet(paths.bronze)
         bronze = landed.filter((F.col("batch_id") == batch_id) & ~F.col("quarantined"))
         bronze = bronze.drop("violations", "quarantined")
-        silver = build_silver(bronze, dims, cfg)
+        silver = build_silver(bronze, now, cfg)
         placed = ("transaction_date", "batch_id")
         before = create_if_missing(spark, paths.silver, silver.schema, placed).filter(F.col("batch_id") < batch_id)
         # Messages delivered again: their first copy is stored under the same date.
@@ -70,6 +78,9 @@ def batch_handler(
         alerts = batch_alerts(stored, batch_id, cfg, scale)
         if alerts is not None:
             overwrite_partitions(alerts, paths.alerts, ("alert_date", "batch_id"))
+            if publish is not None:
+                written = spark.read.schema(alerts.schema).parquet(paths.alerts)
+                publish(written.filter(F.col("batch_id") == batch_id), batch_id)
 
     return handle
 

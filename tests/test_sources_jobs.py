@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,15 +175,19 @@ def test_weekly_analytics(spark, job):
     assert spark.read.parquet(paths["customer_trends"]).count() > 0
 
 
-def test_fact_load_is_repeatable(spark, job):
+def test_fact_load_is_repeatable_and_rewrites_one_day(spark, job):
     cfg, _ = job
-    next_day = JobConfig(cfg.base_path, datetime(2024, 2, 1))
-    jobs.load_fact_alerts(spark, next_day)
-    facts = SnapshotTable(spark, cfg.path(*jobs.FACT_ALERTS))
-    loaded = facts.read().count()
-    jobs.load_fact_alerts(spark, next_day)
-    assert facts.read().count() == loaded > 0
-    assert facts.read().agg(F.min(F.to_date("alert_generated_at"))).first()[0] == date(2024, 1, 31)
+    path = cfg.path(*jobs.FACT_ALERTS)
+    jobs.load_fact_alerts(spark, JobConfig(cfg.base_path, datetime(2024, 2, 1)))
+    loaded = spark.read.parquet(path)
+    rows = loaded.count()
+    assert rows > 0 and loaded.agg(F.min(F.to_date("alert_generated_at"))).first()[0] == date(2024, 1, 31)
+    day = Path(path) / "alert_day=2024-01-31"
+    before = {f.name: f.stat().st_mtime_ns for f in day.iterdir()}
+    jobs.load_fact_alerts(spark, JobConfig(cfg.base_path, datetime(2024, 1, 20)))  # a day without alerts
+    assert {f.name: f.stat().st_mtime_ns for f in day.iterdir()} == before
+    jobs.load_fact_alerts(spark, JobConfig(cfg.base_path, datetime(2024, 2, 1)))
+    assert spark.read.parquet(path).count() == rows
 
 
 def test_compact_refuses_row_conditions(spark, tmp_path):

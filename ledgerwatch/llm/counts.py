@@ -13,6 +13,7 @@ one. Equal texts count alike; texts of any length are counted whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -24,7 +25,6 @@ from .base import segment_sums, slices, with_columns
 from .vocabulary import Lattice, Vocabulary, chunked, lay_out, relax, unknown_edges
 
 SLICE_CHARS = 3 << 20
-_RUN_CHARS = 1 << 16
 _BUILT: dict = {}
 
 
@@ -42,18 +42,8 @@ def automaton_of(vocabulary: Vocabulary) -> ahocorasick.Automaton:
 
 def matches(lattice: Lattice, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Last character and piece of every match; no piece holds the NUL between chunks."""
-    automaton = automaton_of(vocabulary)
-    last, piece = [], []
-    nodes, at = len(lattice.text), 0
-    while at < nodes:
-        # Whole chunks, some characters at a time: a bounded list of matches.
-        cut = int(np.searchsorted(lattice.ends, min(at + _RUN_CHARS, nodes - 1)))
-        stop = int(lattice.ends[min(cut, len(lattice.ends) - 1)]) + 1
-        found = np.array(list(automaton.iter(lattice.text, at, stop)), np.int64).reshape(-1, 2)
-        last.append(found[:, 0].astype(np.int32))
-        piece.append(found[:, 1].astype(np.int32))
-        at = stop
-    return np.concatenate(last).astype(np.int64), np.concatenate(piece)
+    found = np.fromiter(chain.from_iterable(automaton_of(vocabulary).iter(lattice.text)), np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
 
 
 def count_slice(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:

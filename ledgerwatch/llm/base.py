@@ -32,6 +32,25 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+class Workspace:
+    """Stored tables of one computation, all dropped once its result is stored elsewhere."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.base = run_dir(spark, label)
+        self.tables = 0
+
+    def stored(self, frame: DataFrame, label: str) -> DataFrame:
+        self.tables += 1
+        path = f"{self.base}/{self.tables:03d}-{label}"
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def drop(self) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def is_held_out(doc_id: Column) -> Column:
     """True where crc32 of the id as text leaves 2 modulo 4; false for a null id."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))

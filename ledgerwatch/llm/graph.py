@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import stored
+from .base import Workspace
 
 
 def _nearest(edges: DataFrame) -> DataFrame:
@@ -30,21 +30,21 @@ def _gather(edges: DataFrame) -> DataFrame:
     )
 
 
-def components(edges: DataFrame, label: str, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, work: Workspace, most_rounds: int = 60) -> DataFrame:
     """``child`` and ``parent``: each node but the smallest of its component, and that smallest.
 
     ``edges`` holds ``child`` > ``parent`` as longs. Both steps keep the
     components and only ever move edges towards smaller nodes; the number of
     rounds grows with the logarithm of a component's diameter. Each round is
-    stored in the shared folder. The largest group of any step is only ever
+    stored in the workspace, as is the result. The largest group of any step is only ever
     aggregated to its minimum, and joined by Spark's skew-splitting join.
     """
-    edges = stored(edges.distinct(), label)
+    edges = work.stored(edges.distinct(), "edges")
     for _ in range(most_rounds):
         # Done when every edge leads from a node with one parent to a node with none.
         many = edges.groupBy("child").count().where("count > 1").select(F.lit(1).alias("open")).limit(1)
         deep = edges.join(edges.select(F.col("parent").alias("child")).distinct(), "child", "left_semi").select(F.lit(1).alias("open")).limit(1)
         if many.isEmpty() and deep.isEmpty():
             return edges
-        edges = stored(_gather(_nearest(edges)), label)
+        edges = work.stored(_gather(_nearest(edges)), "edges")
     raise RuntimeError("components did not settle")

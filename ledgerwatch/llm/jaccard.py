@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import bitfilter
-from .base import SPACE_WORD, stored
+from .base import SPACE_WORD, Workspace, stored
 from .graph import components
 
 BLOCK_SETS, BLOCK_HASHES = 512, 1 << 19
@@ -101,7 +101,7 @@ def _set_hash(found: np.ndarray) -> bytes:
 
 
 def keyed_sets(docs: DataFrame, config: JaccardConfig) -> DataFrame:
-    """doc_id, n_shingles, set_hash and the hashes that candidates are found by, of each text; stored."""
+    """doc_id, n_shingles, set_hash and the hashes that candidates are found by, of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,7 +119,7 @@ def keyed_sets(docs: DataFrame, config: JaccardConfig) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(run, T.StructType([*SETS.fields, T.StructField("hashes", T.ArrayType(T.LongType()))])), "jaccard-sets")
+    return rows.mapInArrow(run, T.StructType([*SETS.fields, T.StructField("hashes", T.ArrayType(T.LongType()))]))
 
 
 def _signatures(ids: np.ndarray, owner: np.ndarray, count: int, longest: int) -> np.ndarray:
@@ -231,18 +231,18 @@ def _tiles(members: DataFrame) -> DataFrame:
     return dealt.select("component", "node", F.explode(F.concat(own, up, down)).alias("at")).select("component", "node", "at.tile", "at.side")
 
 
-def _candidates(classes: DataFrame, config: JaccardConfig) -> DataFrame:
+def _candidates(classes: DataFrame, config: JaccardConfig, work: Workspace) -> DataFrame:
     """``child`` > ``parent``: edges that connect every two classes that may link."""
     counted = (F.col("hash") >= 0) & (F.col("hash") < config.counted_below)
     miss = F.floor(F.col("n_shingles") * (config.over - config.share) / config.over)
     seen = classes.select("node", F.explode("hashes").alias("hash")).where(counted)
     per_hash = seen.groupBy("hash").agg(F.count("*").alias("sets"), F.min("node").alias("node"))
     # One row for each hash of several sets, and one for each set with hashes of its own alone.
-    tally = stored(
+    tally = work.stored(
         per_hash.groupBy(F.when(F.col("sets") > 1, F.col("hash")).alias("hash"), F.when(F.col("sets") == 1, F.col("node")).alias("node")).agg(
             F.count("*").alias("alone"), F.max("sets").alias("sets")
         ),
-        "jaccard-tally",
+        "tally",
     )
     alone = tally.where("node IS NOT NULL").select("node", "alone")
     left = classes.join(alone, "node", "left").withColumn("wanted", miss + 1 - F.coalesce("alone", F.lit(0))).where("wanted > 0")
@@ -256,27 +256,27 @@ def _candidates(classes: DataFrame, config: JaccardConfig) -> DataFrame:
         return F.floor(F.log(size.cast("double")) / F.lit(float(-np.log(0.7))))
 
     bands = F.sequence(band(F.col("n_shingles")), band(F.floor(F.col("n_shingles") * config.over / config.share)))
-    keys = stored(ordered.withColumn("place", place).where("place <= wanted").select("node", "hash", F.explode(bands).alias("band")), "jaccard-keys")
+    keys = work.stored(ordered.withColumn("place", place).where("place <= wanted").select("node", "hash", F.explode(bands).alias("band")), "keys")
     least = keys.groupBy("hash", "band").agg(F.min("node").alias("parent"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
     return keys.join(least, ["hash", "band"]).where("node > parent").select(F.col("node").alias("child"), "parent")
 
 
-def linked_classes(docs: DataFrame, keyed: DataFrame, config: JaccardConfig) -> tuple[DataFrame, DataFrame]:
+def linked_classes(docs: DataFrame, keyed: DataFrame, config: JaccardConfig, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """Classes (node, set_hash, first_doc, copies), and per linked class its component_id and links to other classes."""
     sized = keyed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(
+    classes = work.stored(
         sized.groupBy("set_hash")
         .agg(
             F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("hashes").alias("hashes")
         )
         .withColumn("node", F.xxhash64("set_hash")),
-        "jaccard-classes",
+        "classes",
     )
-    near = components(_candidates(classes, config), "jaccard-candidates")
+    near = components(_candidates(classes, config, work), work)
     placed = near.select(F.col("child").alias("node"), F.col("parent").alias("component")).unionByName(
         near.select(F.col("parent").alias("node"), F.col("parent").alias("component")).distinct()
     )
-    members = stored(classes.drop("hashes").join(placed, "node"), "jaccard-members")
+    members = work.stored(classes.drop("hashes").join(placed, "node"), "members")
 
     wanted = docs.sparkSession.sparkContext.broadcast(bitfilter.build(members, "first_doc"))
 
@@ -296,10 +296,10 @@ def linked_classes(docs: DataFrame, keyed: DataFrame, config: JaccardConfig) ->
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("first_doc"), "text")
     found = texts.mapInArrow(sets, "first_doc long, set_hash binary, found array<long>")
     # Other texts under the same id are other classes; a repeated row is dropped in its tile.
-    found = stored(found.join(members.select("first_doc", "set_hash", "node", "copies"), ["first_doc", "set_hash"]).drop("first_doc", "set_hash"), "jaccard-found")
+    found = work.stored(found.join(members.select("first_doc", "set_hash", "node", "copies"), ["first_doc", "set_hash"]).drop("first_doc", "set_hash"), "found")
     tiled = _tiles(members).join(found, "node")
-    linked = stored(tiled.groupBy("component", "tile").applyInArrow(_tile(config), "node long, root long, links long"), "jaccard-links")
-    roots = components(linked.where("node > root").select(F.col("node").alias("child"), F.col("root").alias("parent")), "jaccard-components")
+    linked = work.stored(tiled.groupBy("component", "tile").applyInArrow(_tile(config), "node long, root long, links long"), "links")
+    roots = components(linked.where("node > root").select(F.col("node").alias("child"), F.col("root").alias("parent")), work)
     links = (
         linked.groupBy("node")
         .agg(F.sum("links").alias("links"))
@@ -316,8 +316,16 @@ def join(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFrame:
 
     ``root`` tells components apart even where ids repeat; null for rows without a set.
     """
-    keyed = keyed_sets(docs, config)
-    classes, linked = linked_classes(docs, keyed, config)
+    work = Workspace(docs.sparkSession, "jaccard")
+    try:
+        return stored(_joined(docs, config, work), "jaccard-result")
+    finally:
+        work.drop()
+
+
+def _joined(docs: DataFrame, config: JaccardConfig, work: Workspace) -> DataFrame:
+    keyed = work.stored(keyed_sets(docs, config), "sets")
+    classes, linked = linked_classes(docs, keyed, config, work)
     per_class = classes.join(linked, "node", "left").select(
         "set_hash",
         F.coalesce("root", "node").alias("root"),
@@ -344,7 +352,7 @@ def keep_one(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFr
 
     Rows that repeat an id and a set are one document.
     """
-    joined = stored(join(docs, config).select("doc_id", "set_hash", "root"), "jaccard-joined")
+    joined = join(docs, config).select("doc_id", "set_hash", "root")
     first = joined.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "set_hash")).alias("kept")).select("kept.*")
     alone = joined.where("root IS NULL AND doc_id IS NOT NULL").select("doc_id", "set_hash").distinct()
     kept_ids = stored(first.unionByName(alone).select(F.col("doc_id").alias("kept_id"), F.col("set_hash").alias("kept_hash")), "jaccard-kept")

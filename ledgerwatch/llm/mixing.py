@@ -237,6 +237,18 @@ def mixed(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     which nothing is taken is not in the mix, and one taken three times is there
     three times.
     """
+    key = ["doc_id", "source", "size", "text_hash"]
+    # Equal rows are told apart by number; which of them gets which makes no difference.
+    numbered = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    rows = stored(narrow(docs), "mix-sizes")
+    shares = stored(targets(rows, config), "mix-targets")
+    placed = stored(positions(rows, shares, config).where("size > 0").withColumn("copy", numbered), "mix-positions")
+    cut = _joined(pieces(placed, config), draws(shares, config).select("source", "block", "round"))
+    # A list of one document's pieces, so bounded by its text.
+    spans = cut.groupBy("source", "start", "round").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"))
+    spans = spans.select(F.col("source").alias("got_source"), F.col("start").alias("got_start"), "spans", "round")
+    chosen = placed.hint("merge").join(spans.hint("merge"), F.col("source").eqNullSafe(F.col("got_source")) & (F.col("start") == F.col("got_start")))
+    chosen = chosen.select(*(F.col(c).alias(f"got_{c}") for c in (*key, "copy")), "spans", "round")
     whole = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
         "doc_id",
@@ -244,13 +256,12 @@ def mixed(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
         size(F.col("text")).alias("size"),
         F.xxhash64("text").alias("text_hash"),
     )
-    shares = stored(targets(whole.select("source", "size"), config), "mix-targets")
-    placed = stored(positions(whole, shares, config).where("size > 0"), "mix-positions")
-    cut = _joined(pieces(placed, config), draws(shares, config).select("source", "block", "round"))
-    # A list of one document's pieces, so bounded by its text.
-    spans = cut.groupBy("source", "start", "round").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"))
-    spans = spans.select(F.col("source").alias("got_source"), F.col("start").alias("got_start"), "spans", "round")
-    joined = placed.hint("merge").join(spans.hint("merge"), F.col("source").eqNullSafe(F.col("got_source")) & (F.col("start") == F.col("got_start")))
+    # The only shuffle of texts.
+    whole = whole.where("size > 0").withColumn("copy", numbered)
+    same = F.lit(True)
+    for c in (*key, "copy"):
+        same = same & F.col(c).eqNullSafe(F.col(f"got_{c}"))
+    joined = whole.hint("merge").join(chosen.hint("merge"), same)
     covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["high"] - s["low"])
     words = F.regexp_extract_all(F.col("row.text"), F.lit(WORD), F.lit(0))
     picked = F.transform(

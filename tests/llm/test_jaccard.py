@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import bitfilter, jaccard
+from ledgerwatch.llm.base import Workspace
 from ledgerwatch.llm.graph import components
 
 from .fixtures import DOCS, awkward, awkward_rows, brute_jaccard
@@ -78,7 +79,8 @@ def test_candidates_connect_every_linked_pair(spark):
     config = jaccard.JaccardConfig(words=1)
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(rows)], "doc_id long, text string")
     classes = jaccard.keyed_sets(docs, config).groupBy("set_hash").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("hashes").alias("hashes"))
-    joined = {r.child: r.parent for r in components(jaccard._candidates(classes, config), "test").collect()}
+    work = Workspace(spark, "test")
+    joined = {r.child: r.parent for r in components(jaccard._candidates(classes, config, work), work).collect()}
     nodes = {r.node for r in classes.collect()}
     sets = {i: frozenset(t) for i, t in enumerate(rows)}
     linked = 0
@@ -109,11 +111,11 @@ def test_bit_counts_never_lose_a_pair():
 
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i + 1, i) for i in range(100, 140)] + [(i, 3) for i in range(200, 260)] + [(3, 1), (3, 1), (400, 399)]
-    got = {r.child: r.parent for r in components(spark.createDataFrame(edges, "child long, parent long"), "test").collect()}
+    got = {r.child: r.parent for r in components(spark.createDataFrame(edges, "child long, parent long"), Workspace(spark, "test")).collect()}
     assert all(got[i] == 100 for i in range(101, 141))
     assert all(got[i] == 1 for i in [3, *range(200, 260)])
     assert got[400] == 399 and len(got) == 40 + 61 + 1
-    assert components(spark.createDataFrame([], "child long, parent long"), "test").count() == 0
+    assert components(spark.createDataFrame([], "child long, parent long"), Workspace(spark, "test")).count() == 0
 
 
 def test_filter_passes_all_its_values(spark):
@@ -123,3 +125,12 @@ def test_filter_passes_all_its_values(spark):
     assert bitfilter.passes(held, np.arange(1, 100001, dtype=np.int64) * -31).mean() < 0.01
     assert bitfilter.kept(frame, "v", held).count() == 5000
     assert not bitfilter.passes(bitfilter.build(frame.limit(0), "v"), np.arange(5, dtype=np.int64)).any()
+
+
+def test_intermediate_tables_are_dropped(spark):
+    work = Workspace(spark, "test")
+    work.stored(spark.range(3), "a")
+    assert spark.read.parquet(f"{work.base}/001-a").count() == 3
+    work.drop()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(work.base)
+    assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

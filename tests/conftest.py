@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -18,7 +19,12 @@ def spark():
         "tests",
         "local[4]",
         4,
-        {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"},
+        {
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='ledgerwatch-tests-')}",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -92,10 +92,13 @@ def extended_profiles(
 ) -> DataFrame:
     """The wide profile: amounts, mix of types and channels, time habits, gaps, risk.
 
+    Totals and habits are over all transactions up to ``as_of``; the last 90 and 30
+    days are counted in the same pass.
     The transactions are reduced to one row per customer before the customer
     attributes are joined, so the join never sees a hot key.
     """
-    window = in_lookback(enriched, as_of, cfg.lookback_days)
+    window = enriched.filter(F.col("transaction_date") <= F.lit(as_of))
+    lately = F.col("transaction_date") >= F.lit(as_of - timedelta(days=cfg.lookback_days))
     recent = F.col("transaction_date") >= F.lit(as_of - timedelta(days=cfg.recent_days))
     amount = F.col("amount")
     hour = F.hour("transaction_timestamp")
@@ -114,6 +117,8 @@ def extended_profiles(
             F.sum(amount).cast("decimal(38,2)").alias("total_volume"),
             F.max(amount).alias("max_transaction_amount"),
             F.stddev_samp(amount.cast("double")).alias("stddev_transaction_amount"),
+            count_when(lately).alias("total_transactions_90d"),
+            F.coalesce(F.sum(F.when(lately, amount)), F.lit(0)).cast("decimal(38,2)").alias("total_volume_90d"),
             count_when(recent).alias("total_transactions_30d"),
             F.coalesce(F.sum(F.when(recent, amount)), F.lit(0)).cast("decimal(38,2)").alias("total_volume_30d"),
             of_type("WIRE_TRANSFER").alias("wire_transfer_count"),

@@ -18,6 +18,7 @@ RULES = RuleConfigA()
 PROFILE = ProfileConfig()
 # Half of the month lies in the 30 days before this day, all of it in the 90 days.
 AS_OF = date(2024, 2, 15)
+LATER = date(2024, 4, 10)
 
 
 def _silver(x: Inputs) -> DataFrame:
@@ -109,7 +110,8 @@ _MEASURES = ["stddev_transaction_amount", "avg_hours_between_transactions", "std
 
 
 def extended(x: Inputs) -> DataFrame:
-    return ops.extended_profiles(rules.enriched_b(x).drop("is_pep"), x.master, AS_OF, PROFILE)
+    """As of a day from which the last 90 days leave part of the transactions out."""
+    return ops.extended_profiles(rules.enriched_b(x).drop("is_pep"), x.master, LATER, PROFILE)
 
 
 def profile_extended(x: Inputs) -> DataFrame:
@@ -130,8 +132,10 @@ behaviour AS (
   SELECT customer_id, count(*) AS total_transactions, CAST(sum(amount) AS DECIMAL(38,2)) AS total_volume,
     max(amount) AS max_transaction_amount,
     round(stddev_samp(CAST(amount AS DOUBLE)), 3) AS stddev_transaction_amount,
-    count(*) FILTER (WHERE transaction_date >= DATE '2024-01-16') AS total_transactions_30d,
-    CAST(coalesce(sum(amount) FILTER (WHERE transaction_date >= DATE '2024-01-16'), 0) AS DECIMAL(38,2)) AS total_volume_30d,
+    count(*) FILTER (WHERE transaction_date >= DATE '2024-01-11') AS total_transactions_90d,
+    CAST(coalesce(sum(amount) FILTER (WHERE transaction_date >= DATE '2024-01-11'), 0) AS DECIMAL(38,2)) AS total_volume_90d,
+    count(*) FILTER (WHERE transaction_date >= DATE '2024-03-11') AS total_transactions_30d,
+    CAST(coalesce(sum(amount) FILTER (WHERE transaction_date >= DATE '2024-03-11'), 0) AS DECIMAL(38,2)) AS total_volume_30d,
     count(*) FILTER (WHERE transaction_type = 'WIRE_TRANSFER') AS wire_transfer_count,
     count(*) FILTER (WHERE transaction_type = 'CASH_DEPOSIT') AS cash_deposit_count,
     count(*) FILTER (WHERE transaction_type = 'ONLINE_TRANSFER') AS online_transfer_count,
@@ -158,7 +162,7 @@ joined AS (
               THEN CAST(total_volume_30d AS DOUBLE) / CAST(total_transactions_30d AS DOUBLE) END AS avg_amount_30d,
          avg_hours_between_transactions, stddev_hours_between_transactions,
          customer_name, customer_segment, account_open_date,
-         CAST(DATE '2024-02-15' - account_open_date AS INTEGER) AS account_age_days, country_of_residence,
+         CAST(DATE '2024-04-10' - account_open_date AS INTEGER) AS account_age_days, country_of_residence,
          m.is_pep, kyc_status,
          round(least(1.0, CAST(total_volume AS DOUBLE) / 1000000.0), 4) AS volume_risk,
          round(least(1.0, CAST(total_transactions AS DOUBLE) / 300.0), 4) AS frequency_risk,

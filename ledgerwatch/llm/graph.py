@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 from .base import Workspace
 
 
-def _nearest(edges: DataFrame) -> DataFrame:
+def _nearest(edges: DataFrame, work: Workspace) -> DataFrame:
     """Large step: every larger neighbour of a node moves to the smallest node around it."""
     both = edges.select(F.col("child").alias("node"), F.col("parent").alias("other")).unionByName(
         edges.select(F.col("parent").alias("node"), F.col("child").alias("other"))
     )
     least = both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("least"))
+    least = work.stored(least, "least")  # a join of two plain shuffles, whose hot keys Spark splits
     moved = both.where("other > node").join(least, "node")
     return moved.where("other > least").select(F.col("other").alias("child"), F.col("least").alias("parent")).distinct()
 
 
-def _gather(edges: DataFrame) -> DataFrame:
+def _gather(edges: DataFrame, work: Workspace) -> DataFrame:
     """Small step: a node and all its parents move to the smallest of them."""
-    least = edges.groupBy("child").agg(F.min("parent").alias("least"))
+    least = work.stored(edges.groupBy("child").agg(F.min("parent").alias("least")), "least")
     joined = edges.join(least, "child")
     return (
         joined.select(F.col("parent").alias("child"), F.col("least").alias("parent"))
@@ -46,5 +47,5 @@ def components(edges: DataFrame, work: Workspace, most_rounds: int = 60) -> Data
         deep = edges.join(edges.select(F.col("parent").alias("child")).distinct(), "child", "left_semi").select(F.lit(1).alias("open")).limit(1)
         if many.isEmpty() and deep.isEmpty():
             return edges
-        edges = work.stored(_gather(_nearest(edges)), "edges")
+        edges = work.stored(_gather(work.stored(_nearest(edges, work), "edges"), work), "edges")
     raise RuntimeError("components did not settle")

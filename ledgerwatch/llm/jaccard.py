@@ -258,6 +258,7 @@ def _candidates(classes: DataFrame, config: JaccardConfig, work: Workspace) -> D
     bands = F.sequence(band(F.col("n_shingles")), band(F.floor(F.col("n_shingles") * config.over / config.share)))
     keys = work.stored(ordered.withColumn("place", place).where("place <= wanted").select("node", "hash", F.explode(bands).alias("band")), "keys")
     least = keys.groupBy("hash", "band").agg(F.min("node").alias("parent"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
+    least = work.stored(least, "least")  # a join of two plain shuffles, whose hot keys Spark splits
     return keys.join(least, ["hash", "band"]).where("node > parent").select(F.col("node").alias("child"), "parent")
 
 

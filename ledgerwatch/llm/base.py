@@ -61,7 +61,7 @@ def may_learn(doc_id: Column) -> Column:
     return doc_id.isNotNull() & ~is_held_out(doc_id)
 
 
-def slices(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: list[str | None], limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about ``limit`` characters; a longer text is a range of its own."""
     start, held = 0, 0
     for i, text in enumerate(texts):

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from .base import segment_sums, slices, with_columns
 from .vocabulary import Lattice, Vocabulary, chunked, lay_out, relax, unknown_edges
 
-SLICE_CHARS = 3 << 20
+SLICE_CHARS = 2 << 20
 _BUILT: dict = {}
 
 

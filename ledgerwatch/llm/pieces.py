@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from .base import slices, with_columns
 from .vocabulary import BLANK, Vocabulary, chunked, lay_out, relax, unknown_edges
 
-SLICE_CHARS = 3 << 20
+SLICE_CHARS = 2 << 20
 
 
 class Prefixes:

@@ -233,3 +233,18 @@ def test_sketches_of_parts_merge_into_the_whole(spark):
     wanted = {r.key: r.s for r in whole.select("key", fingerprints.sketch(F.col("text"), config).alias("s")).collect()}
     assert got == wanted
     assert len(wanted[1]) == 8
+
+
+def test_queries_with_sql_match_it(spark):
+    import duckdb
+
+    from tests.compare import difference
+
+    sf = "/root/testdata/sf0.001"
+    db = duckdb.connect()
+    for table in ("embeddings", "pages"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
+    for name, (run, sql) in catalog.ENTRIES.items():
+        if sql is not None:
+            frame, twin = run(spark, sf), db.sql(sql)
+            assert difference(frame.columns, frame.collect(), twin.columns, twin.fetchall()) is None, name

@@ -195,7 +195,7 @@ def _tile(config: JaccardConfig):
     return run
 
 
-def _tiles(members: DataFrame) -> DataFrame:
+def _tiles(members: DataFrame, config: JaccardConfig) -> DataFrame:
     """node, tile and side of every set: one row per tile that it is part of.
 
     A component that fits a block is one tile. A larger one is cut into blocks by
@@ -203,10 +203,9 @@ def _tiles(members: DataFrame) -> DataFrame:
     """
     whole = members.groupBy("component").agg(F.count("*").alias("all"), F.sum("n_shingles").alias("all_hashes"))
     small = (F.col("all") <= BLOCK_SETS) & (F.col("all_hashes") <= 2 * BLOCK_HASHES)
-    # Sizes that link differ by a factor of 0.9 at most, so by one such band at most.
-    banded = members.join(whole, "component").withColumn(
-        "band", F.when(small, F.lit(0)).otherwise(F.floor(F.log("n_shingles") / F.lit(float(-np.log(0.89))))).cast("long")
-    )
+    # Sizes that link differ by a factor of share / over at most, so by one such band at most; equal sizes need some width.
+    width = max(1.1 * float(np.log(config.over / config.share)), 0.01)
+    banded = members.join(whole, "component").withColumn("band", F.when(small, F.lit(0)).otherwise(F.floor(F.log("n_shingles") / F.lit(width))).cast("long"))
     blocks = banded.groupBy("component", "band").agg(
         F.when(F.first(small), F.lit(1))
         .otherwise(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n_shingles") / BLOCK_HASHES)))
@@ -298,7 +297,7 @@ def linked_classes(docs: DataFrame, keyed: DataFrame, config: JaccardConfig, wor
     found = texts.mapInArrow(sets, "first_doc long, set_hash binary, found array<long>")
     # Other texts under the same id are other classes; a repeated row is dropped in its tile.
     found = work.stored(found.join(members.select("first_doc", "set_hash", "node", "copies"), ["first_doc", "set_hash"]).drop("first_doc", "set_hash"), "found")
-    tiled = _tiles(members).join(found, "node")
+    tiled = _tiles(members, config).join(found, "node")
     linked = work.stored(tiled.groupBy("component", "tile").applyInArrow(_tile(config), "node long, root long, links long"), "links")
     roots = components(linked.where("node > root").select(F.col("node").alias("child"), F.col("root").alias("parent")), work)
     links = (

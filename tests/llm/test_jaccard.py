@@ -48,6 +48,19 @@ def test_random_edits_match_brute_force(spark, words, share, monkeypatch):
     assert _rows(got) == sorted(brute_jaccard(rows, words, share, 100), key=str)
 
 
+def test_sizes_at_the_edge_of_the_share_meet_in_a_tile(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 1)  # every pair is dealt to size bands
+    rows = []
+    for low, high in [(20, 24), (20, 25), (40, 48), (57, 71), (80, 100), (100, 124), (100, 125), (163, 200), (320, 399)]:
+        assert 0.8 <= low / high <= 0.85
+        text = [f"s{low}and{high}w{i}" for i in range(high + 4)]
+        rows += [(len(rows), " ".join(text[: low + 4])), (len(rows) + 1, " ".join(text))]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), jaccard.JaccardConfig(5, 80, 100))
+    wanted = brute_jaccard(rows, 5, 80, 100)
+    assert sorted(r[:3] for r in _rows(got)) == sorted(r[:3] for r in wanted)
+    assert all(links == 1 for *_, links in wanted)
+
+
 def test_whole_table_matches_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"))

@@ -130,11 +130,10 @@ def _signatures(ids: np.ndarray, owner: np.ndarray, count: int, longest: int) ->
     return np.packbits(bits, axis=1).view(np.uint64)
 
 
-def tile_links(sets: list[np.ndarray], side: np.ndarray, config: JaccardConfig) -> tuple[np.ndarray, np.ndarray]:
-    """All linked pairs (i, j): of sides 0 and 1, or i < j where all are of side 0."""
+def tile_links(sets: list[np.ndarray], side: np.ndarray, config: JaccardConfig, one_block: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """All linked pairs (i, j): i < j of one block, or of sides 0 and 1 where two blocks meet, of which one may be empty."""
     sizes = np.array([len(s) for s in sets])
     signatures = _signatures(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), len(sets), int(sizes.max()))
-    one_block = not side.any()
     out_i, out_j = [], []
     for i in np.flatnonzero(side == 0):
         others = np.arange(i + 1, len(sets)) if one_block else np.flatnonzero(side == 1)
@@ -185,7 +184,8 @@ def _tile(config: JaccardConfig):
         values, cuts = found.values.to_numpy().view(np.uint64), found.offsets.to_numpy()
         sets = [values[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         names, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
-        i, j = tile_links(sets, table.column("side").to_numpy(), config)
+        _, block, kind, other = table.column("tile")[0].as_py()
+        i, j = tile_links(sets, table.column("side").to_numpy(), config, kind == 0 and block == other)
         links = np.zeros(len(sets), np.int64)
         np.add.at(links, i, copies[j])
         np.add.at(links, j, copies[i])

@@ -61,6 +61,16 @@ def test_sizes_at_the_edge_of_the_share_meet_in_a_tile(spark, monkeypatch):
     assert all(links == 1 for *_, links in wanted)
 
 
+def test_empty_blocks_add_no_links(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_HASHES", 16)  # many more blocks than sets, so most are empty
+    rows = []
+    for family in range(6):
+        text = [f"f{family}w{i}" for i in range(200)]
+        rows += [(len(rows) + i, " ".join(text[: 200 - i])) for i in range(5)]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert _rows(got) == sorted(brute_jaccard(rows, 3, 90, 100), key=str)
+
+
 def test_whole_table_matches_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"))

@@ -29,7 +29,7 @@ DEFAULT_VERDICT = "allow"
 
 @dataclass(frozen=True)
 class UrlRule:
-    """``tokens`` are whole tokens of every host + path that ``pattern`` matches; a higher ``priority`` wins."""
+    """``tokens`` are whole tokens, or whole a-z0-9 runs of one, of every host + path that ``pattern`` matches; a higher ``priority`` wins."""
 
     rule: str
     verdict: str
@@ -81,6 +81,12 @@ def tokens(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(small, F.lit(TOKEN), F.lit(0)))
 
 
+def fetching(text: Column) -> Column:
+    """Tokens, and their runs of a-z0-9: pattern rules take other letters as a boundary."""
+    small = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.array_union(tokens(text), F.regexp_extract_all(small, F.lit("[a-z0-9]+"), F.lit(0)))
+
+
 def rule_frame(spark: SparkSession, rules: tuple[UrlRule, ...]) -> DataFrame:
     for rule in rules:
         if not rule.tokens:
@@ -104,7 +110,7 @@ def indexed(rules: DataFrame, url_tokens: DataFrame) -> DataFrame:
 def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """url and the strongest matching rule (rule, verdict, base) of distinct urls (url, host, path) that match one."""
     split = urls.select("url", F.concat("host", "path").alias("place"))
-    held = split.select("url", "place", F.explode(tokens(F.col("place"))).alias("token"))
+    held = split.select("url", "place", F.explode(fetching(F.col("place"))).alias("token"))
     candidates = held.join(indexed(rules, held.select("token")), "token")
     lowered = F.translate("place", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     # Base rules heed the case of a path, pattern rules do not.

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, fingerprints, jaccard, language, licenses, mixing, pieces, quality, topk, urls, vocabulary
+from . import centroids, counts, fingerprints, jaccard, language, lexical, licenses, mixing, pieces, quality, tokenfiles, topk, urls, vocabulary
 from .base import is_held_out, read
 
 
@@ -115,6 +117,86 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    return tokenfiles.digests(tokenfiles.write(read(spark, sf_dir, "documents"), tokenizer))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql(rounds: int = 10) -> str:
+    """The rounds one after the other; distances to all centroids in plain."""
+
+    def assigned(r: int) -> str:
+        return f"""a{r} AS MATERIALIZED (
+  SELECT row, vec_id, v, min(s) AS s FROM (
+    SELECT row, vec_id, v, {{'distance': CAST(list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), 'cluster': cluster}} AS s
+    FROM kept CROSS JOIN c{r}
+  ) GROUP BY ALL
+)"""
+
+    def moved(r: int) -> str:
+        return f"""c{r + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m.c, c{r}.c) AS c FROM c{r} LEFT JOIN (
+    SELECT cluster, list((t - ((t % n) + n) % n) // n ORDER BY dim) AS c
+    FROM (SELECT s.cluster AS cluster, dim, CAST(sum(v[dim]) AS BIGINT) AS t, count(*) AS n FROM a{r}, (SELECT unnest(range(1, 65)) AS dim) GROUP BY ALL)
+    GROUP BY cluster
+  ) AS m USING (cluster)
+)"""
+
+    steps = ",\n".join(f"{assigned(r)},\n{moved(r)}" for r in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS cluster, v AS c
+  FROM (SELECT v, sha256('3:' || vec_id) AS h FROM kept ORDER BY h LIMIT 8)
+),
+{steps},
+{assigned(rounds)}
+SELECT vec_id, s.cluster AS cluster, s.distance AS distance,
+  CAST(sum(s.distance) OVER (PARTITION BY s.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(s.distance) OVER () AS BIGINT) AS inertia,
+  (SELECT sha256(array_to_string(c, ',')) FROM c{rounds} AS last WHERE last.cluster = s.cluster) AS centroid_sha256
+FROM a{rounds}
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS l FROM words WHERE len(t) > 0
+), found AS (
+  SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(t) AS n, unnest(t) AS term FROM words) GROUP BY ALL
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM found GROUP BY term), totals
+), asked AS (
+  SELECT DISTINCT item_id,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // l)))) AS BIGINT) AS score
+  FROM asked JOIN weighed USING (term) JOIN found USING (term), totals GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_topk": (op1_topk, OP1_SQL),
     "op2_jaccard": (op2_jaccard, None),
@@ -126,4 +208,7 @@ ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_urls": (op8_urls, OP8_SQL),
     "op9_language": (op9_language, None),
     "op10_fingerprints": (op10_fingerprints, None),
+    "op11_token_files": (op11_token_files, None),
+    "op12_centroids": (op12_centroids, OP12_SQL),
+    "op13_lexical": (op13_lexical, OP13_SQL),
 }

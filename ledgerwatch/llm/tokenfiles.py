@@ -30,6 +30,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +45,16 @@ from ..session import run_dir
 from .base import slices
 
 MANIFEST = "_manifest"
+# Chunks begin at single blanks between other characters. Within a chunk, words end where
+# letters meet digits or punctuation, or at a single line break. The tokenizer's pattern
+# cuts at all these places whatever surrounds them. An apostrophe may start a
+# contraction, and a bar is part of the special token, so neither ends a word.
 _BLANK = re.compile(r"(?<=\S)(?= \S)")
+_LETTER, _OTHER = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{}~0-9"
+_WORD = re.compile(rf"(?<=[{_LETTER}])(?=[{_OTHER}\n])|(?<=[{_OTHER}])(?=[{_LETTER}])|(?<=\S\n)(?=\S)")
+_LONE = re.compile(rf" ?[{_LETTER}]+")  # most chunks, and none that _WORD cuts
 _PLAIN = re.compile(r" ?\S+")
-_MOST_CHUNKS = 1 << 17
+_KEPT: dict[str, Encoder] = {}
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 _ENTRY = "part int, ids_path string, index_path string, documents long, tokens long"
 
@@ -55,55 +63,80 @@ _ENTRY = "part int, ids_path string, index_path string, documents long, tokens l
 class TokenFileConfig:
     length: int = 2048  # ids of a sequence
     rows: int = 64  # sequences of a batch
-    chars: int = 16 << 20  # of the texts of a file, about
+    chars: int = 32 << 20  # of the texts of a file, about
     end_id: int = 2
 
 
 class Encoder:
-    """The library's ids of texts, chunk by chunk; a chunk met before is not encoded again."""
+    """The library's ids of texts, word by word; chunks and words met before are not encoded again.
 
-    def __init__(self, tokenizer: str):
+    What is remembered is bounded by ``most`` chunks and as many words, some 200 MB of text like the given.
+    """
+
+    def __init__(self, tokenizer: str, most: int = 3 << 18):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(tokenizer)
+        self.most = most
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         newline = self.library.encode("\n", add_special_tokens=False).ids
         apart = self.library.encode("a\n b\nc", add_special_tokens=False).ids
-        # Chunks may be encoded many at a time if a line break is always one id of its own.
+        # Words may be encoded many at a time if a line break is always one id of its own.
         self.newline = newline[0] if len(newline) == 1 and apart.count(newline[0]) == 2 else None
 
+    @classmethod
+    def of(cls, tokenizer: str) -> Encoder:
+        """The encoder that this worker keeps."""
+        if tokenizer not in _KEPT:
+            _KEPT.clear()
+            _KEPT[tokenizer] = cls(tokenizer)
+        return _KEPT[tokenizer]
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if self.newline is not None and _PLAIN.fullmatch(c)]
-        for a in range(0, len(plain), 4096):
-            some = plain[a : a + 4096]
-            ids = self._ids(["\n".join(some)])[0]
+    def _learn_words(self, words: list[str]) -> None:
+        width = self.dtype.itemsize
+        plain = [w for w in words if self.newline is not None and _PLAIN.fullmatch(w)]
+        others = set(words).difference(plain)
+        groups = [plain[a : a + 64] for a in range(0, len(plain), 64)]
+        for some, ids in zip(groups, self._ids(["\n".join(g) for g in groups]), strict=True):
             ends = np.flatnonzero(ids == self.newline)
-            if len(ends) != len(some) - 1:  # a vocabulary that joins what the blank parts
-                self.known.update(zip(some, (i.tobytes() for i in self._ids(some)), strict=True))
+            if len(ends) != len(some) - 1:  # a vocabulary that joins what the line break parts
+                others.update(some)
                 continue
-            starts = np.concatenate([[0], ends + 1]) * self.dtype.itemsize
-            stops = np.concatenate([ends, [len(ids)]]) * self.dtype.itemsize
-            data = ids.tobytes()
-            self.known.update((c, data[s:e]) for c, s, e in zip(some, starts.tolist(), stops.tolist(), strict=True))
-        taken = set(plain)
-        others = [c for c in chunks if c not in taken]
-        self.known.update(zip(others, (i.tobytes() for i in self._ids(others)), strict=True))
+            data, stops = ids.tobytes(), [*(ends * width).tolist(), len(ids) * width]
+            start = 0
+            for word, stop in zip(some, stops, strict=True):
+                self.words[word] = data[start:stop]
+                start = stop + width
+        rest = sorted(others)
+        self.words.update(zip(rest, (i.tobytes() for i in self._ids(rest)), strict=True))
+
+    def _learn(self, chunks: list[str]) -> None:
+        cut = [[c] if _LONE.fullmatch(c) else _WORD.split(c) for c in chunks]
+        new = set(chain.from_iterable(cut)).difference(self.words)
+        if len(self.words) + len(new) > self.most:
+            self.words.clear()
+            new = set(chain.from_iterable(cut))
+        self._learn_words(sorted(new))
+        ids = self.words.__getitem__
+        self.chunks.update((c, ids(own[0]) if len(own) == 1 else b"".join(map(ids, own))) for c, own in zip(chunks, cut, strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text."""
-        chunks = [_BLANK.split(t) if t else [] for t in texts]
-        if len(self.known) > _MOST_CHUNKS:
-            self.known.clear()
-        known = self.known
-        missing = {c for own in chunks for c in own if c not in known}
-        if missing:
-            self._learn(sorted(missing))
-        return [b"".join(map(known.__getitem__, own)) for own in chunks]
+        cut = [_BLANK.split(t) if t else [] for t in texts]
+        distinct = set(chain.from_iterable(cut))
+        new = distinct.difference(self.chunks)
+        if len(self.chunks) + len(new) > self.most:
+            self.chunks.clear()
+            new = distinct
+        self._learn(sorted(new))
+        ids = self.chunks.__getitem__
+        return [b"".join(map(ids, own)) for own in cut]
 
 
 def _place(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -186,7 +219,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, config: To
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(texts):
-                encoder = encoder or Encoder(sent.value)
+                encoder = encoder or Encoder.of(sent.value)
                 writer = writer or _Writer(f"{base}/part-{part:06d}-{task.taskAttemptId()}", encoder.dtype, config)
                 writer.add(batch.column("doc_id").slice(a, b - a), encoder.encode(texts[a:b]))
         if writer:

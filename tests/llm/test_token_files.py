@@ -17,7 +17,7 @@ from .fixtures import DOCS, awkward, awkward_rows
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
     "", " ", "  lead", "trail  ", "a  b", "a\n\n b", "a \n b\n", "\n a", "it's we'll 'tis", "x<|endoftext|>y <|endoftext|> z", "<|endoftext|>",
-    "é ü ñ \x1c b", "日本 語　x", "#", "# #", "\0nul \0", "tab\tb \tc", "1 22 333,4", "a\rb \r\nc", "𝔘 😀 é", " '", "' s", "\x85 a\x85b",
+    "é ü ñ \x1c b", "日本 語　x", "#", "# #", "\0nul \0", "tab\tb \tc", "1 22 333,4", "ab12cd 3e,f(g) h's. i\nj\n\nk!\nl ²3,x² a_b [c]d|e ~f", "é,è\nÀb1 ß# ''s #'s .'ll", "a\rb \r\nc", "𝔘 😀 é", " '", "' s", "\x85 a\x85b",
 ]
 
 
@@ -43,7 +43,10 @@ def brute(library, rows):
 def test_encoder_equals_the_library(library, text_of_file):
     encoder = tokenfiles.Encoder(text_of_file)
     texts = ODD + [t for _, t, *_ in awkward_rows() if t] + [" ".join(ODD), "\n".join(ODD), "ab" * 3000]
+    forgetful = tokenfiles.Encoder(text_of_file, most=3)
+    assert forgetful.encode(texts) == [b for t in texts for b in forgetful.encode([t])]
     for _ in range(2):  # the second time from memory
+        assert encoder.encode(texts) == forgetful.encode(texts)
         for text, ids in zip(texts, encoder.encode(texts), strict=True):
             assert np.frombuffer(ids, encoder.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
 

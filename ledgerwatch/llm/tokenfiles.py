@@ -25,15 +25,18 @@ characters, where the tokenizer's own pre-tokenisation always cuts.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -42,17 +45,18 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import run_dir
-from .base import slices
 
 MANIFEST = "_manifest"
 # Chunks begin at single blanks between other characters. Within a chunk, words end where
 # letters meet digits or punctuation, or at a single line break. The tokenizer's pattern
 # cuts at all these places whatever surrounds them. An apostrophe may start a
 # contraction, and a bar is part of the special token, so neither ends a word.
-_BLANK = re.compile(r"(?<=\S)(?= \S)")
+_BLANK = re.compile(r"(?<=\S) (?=\S)")
+_RUN = r"[\s\pZ\x0B\x1C-\x1F\x{85}] | [\s\pZ\x0B\x1C-\x1F\x{85}]"  # RE2: a blank beside other white space
 _LETTER, _OTHER = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{}~0-9"
 _WORD = re.compile(rf"(?<=[{_LETTER}])(?=[{_OTHER}\n])|(?<=[{_OTHER}])(?=[{_LETTER}])|(?<=\S\n)(?=\S)")
 _LONE = re.compile(rf" ?[{_LETTER}]+")  # most chunks, and none that _WORD cuts
+_ASCII = re.compile(r" ?[A-Za-z]+")
 _PLAIN = re.compile(r" ?\S+")
 _KEPT: dict[str, Encoder] = {}
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -80,12 +84,22 @@ class Encoder:
         self.library = Tokenizer.from_str(tokenizer)
         self.most = most
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.chunks: dict[str, bytes] = {}
+        described = json.loads(tokenizer)
+        before = described.get("pre_tokenizer") or {}
+        special = [t["content"] for t in described.get("added_tokens", ())]
+        # Only then do the places above part the text; any other tokenizer gets whole texts.
+        self.parts = (
+            described.get("normalizer") is None
+            and before.get("type") == "ByteLevel"
+            and before.get("use_regex", True)
+            and not before.get("add_prefix_space")
+            and not any(_BLANK.search(t) or len(_WORD.split(t)) > 1 or " " in t for t in special)
+        )
+        self.chunks: dict[str, bytes] = {}  # by what follows the blank; without a blank before it, by a blank and the chunk
         self.words: dict[str, bytes] = {}
-        newline = self.library.encode("\n", add_special_tokens=False).ids
-        apart = self.library.encode("a\n b\nc", add_special_tokens=False).ids
-        # Words may be encoded many at a time if a line break is always one id of its own.
-        self.newline = newline[0] if len(newline) == 1 and apart.count(newline[0]) == 2 else None
+        if self.parts:
+            self.blank = self.library.pre_tokenizer.pre_tokenize_str(" a")[0][0].removesuffix("a")
+            self.newline = self.library.encode("\n", add_special_tokens=False).ids[0]
 
     @classmethod
     def of(cls, tokenizer: str) -> Encoder:
@@ -98,45 +112,78 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_words(self, words: list[str]) -> None:
+    def _learn_words(self, words: Iterable[str]) -> None:
         width = self.dtype.itemsize
-        plain = [w for w in words if self.newline is not None and _PLAIN.fullmatch(w)]
-        others = set(words).difference(plain)
+        plain, others, model, code = [], [], self.library.model, self.dtype.char
+        for word in words:
+            if _ASCII.fullmatch(word):  # one pre-token, in the model's own letters but for the blank
+                self.words[word] = array(code, [t.id for t in model.tokenize(word.replace(" ", self.blank))]).tobytes()
+            elif _PLAIN.fullmatch(word):
+                plain.append(word)
+            else:
+                others.append(word)
+        # Words without white space within are encoded many at a time, with a line break between.
         groups = [plain[a : a + 64] for a in range(0, len(plain), 64)]
         for some, ids in zip(groups, self._ids(["\n".join(g) for g in groups]), strict=True):
             ends = np.flatnonzero(ids == self.newline)
             if len(ends) != len(some) - 1:  # a vocabulary that joins what the line break parts
-                others.update(some)
+                others += some
                 continue
             data, stops = ids.tobytes(), [*(ends * width).tolist(), len(ids) * width]
             start = 0
             for word, stop in zip(some, stops, strict=True):
                 self.words[word] = data[start:stop]
                 start = stop + width
-        rest = sorted(others)
-        self.words.update(zip(rest, (i.tobytes() for i in self._ids(rest)), strict=True))
+        self.words.update(zip(others, (i.tobytes() for i in self._ids(others)), strict=True))
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, keys: list[str]) -> None:
+        chunks = [k[1:] if k[:1] == " " else " " + k for k in keys]
         cut = [[c] if _LONE.fullmatch(c) else _WORD.split(c) for c in chunks]
-        new = set(chain.from_iterable(cut)).difference(self.words)
+        new = dict.fromkeys(w for w in chain.from_iterable(cut) if w not in self.words)
         if len(self.words) + len(new) > self.most:
             self.words.clear()
-            new = set(chain.from_iterable(cut))
-        self._learn_words(sorted(new))
+            new = dict.fromkeys(chain.from_iterable(cut))
+        self._learn_words(new)
         ids = self.words.__getitem__
-        self.chunks.update((c, ids(own[0]) if len(own) == 1 else b"".join(map(ids, own))) for c, own in zip(chunks, cut, strict=True))
+        self.chunks.update((k, ids(own[0]) if len(own) == 1 else b"".join(map(ids, own))) for k, own in zip(keys, cut, strict=True))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian ids of each text."""
-        cut = [_BLANK.split(t) if t else [] for t in texts]
-        distinct = set(chain.from_iterable(cut))
-        new = distinct.difference(self.chunks)
+    def _looked_up(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks, end to end, and how many each has."""
+        new = [k for k in keys if k not in self.chunks]
         if len(self.chunks) + len(new) > self.most:
             self.chunks.clear()
-            new = distinct
-        self._learn(sorted(new))
-        ids = self.chunks.__getitem__
-        return [b"".join(map(ids, own)) for own in cut]
+            new = keys
+        self._learn(new)
+        found = [self.chunks[k] for k in keys]
+        return np.frombuffer(b"".join(found), self.dtype), np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text, in the machine's byte order."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not self.parts or not len(texts):
+            return [i.tobytes() for i in self._ids(texts.to_pylist())]
+        lists = pc.split_pattern(texts, " ")
+        odd = np.flatnonzero(pc.match_substring_regex(texts, _RUN).to_numpy(zero_copy_only=False))
+        if len(odd):  # these are not cut at every blank
+            own = pa.array([_BLANK.split(t) for t in texts.take(pa.array(odd)).to_pylist()], lists.type)
+            place = np.arange(len(texts))
+            place[odd] = len(texts) + np.arange(len(odd))
+            lists = pa.concat_arrays([lists, own]).take(pa.array(place))
+        coded = lists.flatten().dictionary_encode()
+        chunk = coded.indices.to_numpy().astype(np.int64)
+        # The first chunk of a text has no blank before it; its key starts with one.
+        first = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        keys = coded.dictionary.to_pylist()
+        firsts = dict.fromkeys(" " + keys[i] for i in chunk[first].tolist())
+        at = {k: len(keys) + n for n, k in enumerate(firsts)}
+        chunk[first] = [at[" " + keys[i]] for i in chunk[first].tolist()]
+        ids, lengths = self._looked_up([*keys, *firsts])
+        n = lengths[chunk]
+        ends = np.cumsum(n)
+        starts = (np.cumsum(lengths) - lengths)[chunk]
+        all_ids = ids[np.arange(int(n.sum())) + np.repeat(starts - (ends - n), n)]
+        stops = ends[np.append(first[1:], len(chunk)) - 1].tolist()
+        return [all_ids[a:b].tobytes() for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
 
 def _place(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -145,6 +192,16 @@ def _place(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
 
 
+def _slices(texts: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about ``limit`` bytes; a longer text is a range of its own."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy())
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(ends, limit + (ends[a - 1] if a else 0), side="right")))
+        yield a, b
+        a = b
+
+
 class _Writer:
     """One file of sequences and its index; holds a batch of each at most."""
 
@@ -217,11 +274,11 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, config: To
         part = task.partitionId()
         encoder = writer = None
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in slices(texts):
+            texts = batch.column("text")
+            for a, b in _slices(texts):
                 encoder = encoder or Encoder.of(sent.value)
                 writer = writer or _Writer(f"{base}/part-{part:06d}-{task.taskAttemptId()}", encoder.dtype, config)
-                writer.add(batch.column("doc_id").slice(a, b - a), encoder.encode(texts[a:b]))
+                writer.add(batch.column("doc_id").slice(a, b - a), encoder.encode(texts.slice(a, b - a)))
         if writer:
             writer.close()
             entry = (part, writer.ids_path, writer.index_path, writer.documents, writer.tokens)

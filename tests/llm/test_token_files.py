@@ -7,6 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -17,7 +18,7 @@ from .fixtures import DOCS, awkward, awkward_rows
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
     "", " ", "  lead", "trail  ", "a  b", "a\n\n b", "a \n b\n", "\n a", "it's we'll 'tis", "x<|endoftext|>y <|endoftext|> z", "<|endoftext|>",
-    "é ü ñ \x1c b", "日本 語　x", "#", "# #", "\0nul \0", "tab\tb \tc", "1 22 333,4", "ab12cd 3e,f(g) h's. i\nj\n\nk!\nl ²3,x² a_b [c]d|e ~f", "é,è\nÀb1 ß# ''s #'s .'ll", "a\rb \r\nc", "𝔘 😀 é", " '", "' s", "\x85 a\x85b",
+    "é ü ñ \x1c b", "日本 語　x", "#", "# #", "\0nul \0", "tab\tb \tc", "1 22 333,4", "ab12cd 3e,f(g) h's. i\nj\n\nk!\nl ²3,x² a_b [c]d|e ~f", "é,è\nÀb1 ß# ''s #'s .'ll", "a\rb \r\nc", "𝔘 😀 é", " '", "' s", "\x85 a\x85b", "a\u2003 b \u3000c\xa0 d \x1fe \x0bf\x0c g",
 ]
 
 
@@ -42,15 +43,27 @@ def brute(library, rows):
 
 def test_encoder_equals_the_library(library, text_of_file):
     encoder = tokenfiles.Encoder(text_of_file)
+
+    def encode(own, texts):
+        return own.encode(pa.array(texts, pa.string()))
+
     texts = ODD + [t for _, t, *_ in awkward_rows() if t] + [" ".join(ODD), "\n".join(ODD), "ab" * 3000]
     forgetful = tokenfiles.Encoder(text_of_file, most=3)
-    assert forgetful.encode(texts) == [b for t in texts for b in forgetful.encode([t])]
+    assert encode(forgetful, texts) == [b for t in texts for b in encode(forgetful, [t])]
     for _ in range(2):  # the second time from memory
-        assert encoder.encode(texts) == forgetful.encode(texts)
-        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert encode(encoder, texts) == encode(forgetful, texts)
+        for text, ids in zip(texts, encode(encoder, texts), strict=True):
             assert np.frombuffer(ids, encoder.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_other_tokenizers_get_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, other = tokenfiles.Encoder(Path(path).read_text(encoding="utf-8")), Tokenizer.from_file(path)
+    assert not encoder.parts
+    for text, ids in zip(ODD, encoder.encode(pa.array(ODD)), strict=True):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == other.encode(text, add_special_tokens=False).ids
+
+
 def test_query_over_the_whole_table(spark, small, library):
     docs = spark.read.parquet(f"{small}/documents.parquet").orderBy("doc_id").collect()
     rows = catalog.op11_token_files(spark, small).collect()

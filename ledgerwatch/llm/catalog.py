@@ -48,7 +48,7 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.taken(read(spark, sf_dir, "documents"))
-    return mix.select("doc_id", "size", "source_size", "target", "taken")
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "first_shard")
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,23 +4,28 @@
    share the whole size by weight; a target stops at ``most`` times its source's
    size and the excess is shared by weight among the rest, until none is above.
    That is water-filling: one level, found by ordering sources by size / weight.
-2. Packing. The words of a source are one stream in order of doc_id, cut into
+2. Packing. The words of a source are one stream of its documents, cut into
    blocks of ``block`` words. Start positions come from running sums in bounded
    chunks of documents and over the chunks, so a hot source is spread out.
 3. Draws. A source gets whole rounds of all its blocks and, for the rest of its
-   target, as many blocks more as come nearest. Each of these slots falls on an
-   output shard at random: per source, one multinomial draw over the shards, so the
-   counts of a shard are multinomial over the sources, given totals that meet the
-   targets. Slot k reads block P(k mod n) of round k div n, P being a
-   pseudorandom permutation of the source's n blocks (another one for each round).
+   target, as many blocks more as that needs, the last of them cut, so that it gives
+   its target to the word. Each of these slots falls on an output shard at random: per
+   source, one multinomial draw over the shards, so the counts of a shard are
+   multinomial over the sources, given totals that meet the targets. The draw is made
+   by halving the range of shards again and again, a binomial draw for each half, so any
+   task finds the shards of its own slots. A shard reads a range of every source's
+   slots: slot k reads block P(k mod n) of round k div n, P being a pseudorandom
+   permutation of the source's n blocks (another one for each round).
 4. Slots join blocks by (source, block), and blocks join documents by index.
 
 All draws come from hashes of the seed, the source and an index; reruns agree and a
 task that is run again gives the same rows.
 
 Defined results: null and blank texts have size 0 and are never taken. A source
-without words has target 0. Repeated rows are documents of their own. Null ids
-come first in a stream.
+without words has target 0. Sources that fill up at the same level, such as equal or
+proportional ones, are all full or all below their limit. A target is met to the nearest
+word. Repeated rows are documents of their own. The stream of a source is in the order of
+chunks (by hash of doc_id), then doc_id, null ids first in their chunk.
 """
 
 from __future__ import annotations
@@ -32,7 +37,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .base import stored
@@ -71,7 +75,9 @@ def targets(sized: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     onward = filling.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     level = (F.sum("source_size").over(everyone) - F.coalesce(F.sum("limit").over(before), F.lit(0.0))) / F.sum("weight").over(onward)
     levels = weighted.withColumn("level", level).withColumn("open", F.col("limit") > F.col("level") * F.col("weight"))
-    common = F.min(F.when(F.col("open"), F.struct(F.col("limit") / F.col("weight"), F.col("level")))).over(everyone)["level"]
+    # That of the first open source in the order of the window; those after it have it counted as full.
+    place = F.struct(F.col("limit") / F.col("weight"), F.col("source").isNull(), "source", "level")
+    common = F.min(F.when(F.col("open"), place)).over(everyone)["level"]
     return levels.withColumn("common", common).select(
         "source",
         "source_size",
@@ -123,15 +129,8 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return value.astype(np.int64)
 
 
-SLOTS = T.StructType(
-    [
-        T.StructField("source", T.StringType()),
-        T.StructField("shard", T.LongType()),
-        T.StructField("slot", T.LongType()),
-        T.StructField("round", T.IntegerType()),
-        T.StructField("block", T.LongType()),
-    ]
-)
+SLOTS = "source string, shard long, slot long, round int, block long, words int"
+_SLOTS_ARROW = pa.schema([("source", pa.string()), ("shard", pa.int64()), ("slot", pa.int64()), ("round", pa.int32()), ("block", pa.int64()), ("words", pa.int32())])
 _PIECE = 1 << 16
 
 
@@ -142,54 +141,71 @@ def _source_key(source: str | None, seed: int) -> int:
     return key
 
 
-def _spread(total: int, pieces: int, key: int) -> np.ndarray:
-    """One multinomial draw of ``total`` over equally likely pieces."""
-    return np.random.default_rng(key).multinomial(total, np.full(pieces, 1.0 / pieces))
+def shards_of(first: int, last: int, slots: int, shards: int, key: int) -> np.ndarray:
+    """Output shards of the slots ``first`` until ``last`` of a source: part of one multinomial draw of its slots over all shards."""
+    out = np.empty(last - first, np.int64)
+    open_ = [(0, shards, 0, slots)]  # a range of shards, and of the slots that fall on them
+    while open_:
+        low, high, start, n = open_.pop()
+        if start >= last or start + n <= first or not n:
+            continue
+        if high - low == 1:
+            out[max(start - first, 0) : min(start + n, last) - first] = low
+            continue
+        middle = (low + high) // 2
+        left = int(np.random.default_rng((key, low, high)).binomial(n, (middle - low) / (high - low)))
+        open_ += [(low, middle, start, left), (middle, high, start + left, n - left)]
+    return out
 
 
 def draws(shares: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
-    """The mix: for each source and slot its output shard, its round and the block that it reads."""
+    """The mix: for each source and slot its output shard, its round, the block that it reads, and how many words of it at most."""
     asked = shares.where("source_size > 0 AND target > 0").select(
         "source",
         F.ceil(F.col("source_size") / config.block).cast("long").alias("blocks"),
+        F.expr(f"source_size DIV {config.block}").alias("full"),  # blocks that are full
         F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(config.most)).cast("long").alias("rounds"),
         "source_size",
         "target",
     )
-    rest = F.least(F.round((F.col("target") - F.col("rounds") * F.col("source_size")) / config.block), F.col("blocks"))
-    rest = F.when(F.col("rounds") >= config.most, F.lit(0)).otherwise(F.greatest(rest, F.lit(0))).cast("long")
-    asked = asked.withColumn("slots", F.col("rounds") * F.col("blocks") + rest)
-    shards = F.greatest(F.ceil(F.sum("slots").over(Window.partitionBy()) / config.slots_per_shard), F.lit(1)).cast("long")
-    # A large source is many pieces of slots, each a row of its own.
-    pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / _PIECE)))
-    asked = asked.where("slots > 0").select("source", "blocks", "slots", shards.alias("shards"), pieces.alias("piece"))
+    rest = F.greatest(F.round(F.col("target") - F.col("rounds") * F.col("source_size")), F.lit(0.0)).cast("long")
+    asked = asked.withColumn("rest", F.when(F.col("rounds") >= config.most, F.lit(0)).otherwise(rest).cast("long"))
+    asked = asked.withColumn("slots", F.col("rounds") * F.col("blocks") + F.ceil(F.col("rest") / config.block)).where("slots > 0")
+    total = asked.agg(F.sum("slots")).first()[0] or 0
+    # A large source is many pieces of slots, each a row of its own; Spark would put these few rows into one task.
+    pieces_ = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / _PIECE))).alias("piece")
+    asked = asked.select("source", "blocks", "full", "rounds", "rest", "slots", pieces_)
+    shards = max(1, -(-total // config.slots_per_shard))
+    tasks = max(1, -(-total // _PIECE))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 key = _source_key(row["source"], config.seed)
+                blocks, whole = row["blocks"], row["rounds"] * row["blocks"]
                 first, last = row["piece"] * _PIECE, min(row["slots"], (row["piece"] + 1) * _PIECE)
                 slot = np.arange(first, last)
-                round_ = slot // row["blocks"]
+                round_ = slot // blocks
                 block = np.empty(len(slot), np.int64)
                 for r in np.unique(round_):
                     at = round_ == r
-                    block[at] = permuted(slot[at] % row["blocks"], row["blocks"], key + int(r) * 0x2545F4914F6CDD1D)
-                counts = _spread(len(slot), row["shards"], (key + row["piece"]) % (1 << 64))
-                shard = np.repeat(np.arange(row["shards"]), counts)
+                    # The last round takes the full blocks first, so that only its last slot may be short.
+                    n = blocks if r < row["rounds"] else max(row["full"], 1)
+                    index = slot[at] % blocks
+                    block[at] = np.where(index < n, permuted(np.minimum(index, n - 1), n, key + int(r) * 0x2545F4914F6CDD1D), index)
+                words = np.full(len(slot), config.block, np.int32)
+                if row["rest"] and last == row["slots"]:
+                    words[-1] = row["rest"] - (row["slots"] - whole - 1) * config.block
                 names = pa.array([row["source"]], pa.string()).take(pa.array(np.zeros(len(slot), np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [names, pa.array(shard), pa.array(slot), pa.array(round_.astype(np.int32)), pa.array(block)], schema=_SLOTS_ARROW
-                )
+                shard = shards_of(first, last, row["slots"], shards, key)
+                columns = [names, pa.array(shard), pa.array(slot), pa.array(round_.astype(np.int32)), pa.array(block), pa.array(words)]
+                yield pa.RecordBatch.from_arrays(columns, schema=_SLOTS_ARROW)
 
-    return asked.repartition("source", "piece").mapInArrow(run, SLOTS)
-
-
-_SLOTS_ARROW = pa.schema([("source", pa.string()), ("shard", pa.int64()), ("slot", pa.int64()), ("round", pa.int32()), ("block", pa.int64())])
+    return asked.repartition(tasks, "source", "piece").mapInArrow(run, SLOTS)
 
 
 def pieces(placed: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
-    """Where documents (source, start, size) lie in blocks: source, start, block and the words ``low`` until ``high`` of the text."""
+    """Where documents (source, start, size) lie in blocks: source, start, block, the words ``low`` until ``high`` of the text, and ``before``, the words of the block before these."""
     blocks = F.sequence(F.floor(F.col("start") / config.block), F.floor((F.col("start") + F.col("size") - 1) / config.block))
     cut = placed.where("size > 0").select("source", "start", "size", F.explode(blocks).alias("block"))
     return cut.select(
@@ -198,9 +214,15 @@ def pieces(placed: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
         "block",
         F.greatest(F.col("block") * config.block - F.col("start"), F.lit(0)).alias("low"),
         F.least((F.col("block") + 1) * config.block - F.col("start"), F.col("size")).alias("high"),
+        F.greatest(F.col("start") - F.col("block") * config.block, F.lit(0)).alias("before"),
     )
 
 
+def _read_words(words: Column) -> Column:
+    """How many of a piece's words a slot reads that takes the first ``words`` of the block."""
+    return F.greatest(F.least(F.col("high") - F.col("low"), words - F.col("before")), F.lit(0))
+
+
 def _joined(pieces_: DataFrame, drawn: DataFrame) -> DataFrame:
     other = drawn.select(F.col("source").alias("drawn_source"), F.col("block").alias("drawn_block"), *(c for c in drawn.columns if c not in ("source", "block")))
     # Spark takes the draws to be as small as the list of sources they are made from; they grow with the corpus.
@@ -212,26 +234,42 @@ def narrow(docs: DataFrame) -> DataFrame:
 
 
 def taken(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken (words, repeats counted) of every row of docs."""
+    """doc_id, source, size, source_size, target, taken (words, repeats counted) and first_shard of every row of docs.
+
+    ``first_shard`` is the first output shard that holds words of the row, null if none does.
+    """
     rows = stored(narrow(docs), "mix-sizes")
     shares = stored(targets(rows, config), "mix-targets")
     placed = stored(positions(rows, shares, config), "mix-positions")
-    times = draws(shares, config).groupBy("source", "block").agg(F.count("*").alias("times"))
-    got = _joined(pieces(placed, config), times).groupBy("source", "start").agg(F.sum((F.col("high") - F.col("low")) * F.col("times")).alias("taken"))
-    got = got.select(F.col("source").alias("got_source"), F.col("start").alias("got_start"), "taken")
+    whole = F.col("words") == config.block  # all slots of a source but one at most
+    by_block = draws(shares, config).groupBy("source", "block").agg(
+        F.count_if(whole).alias("times"),
+        F.min(F.when(whole, F.col("shard"))).alias("shard"),
+        F.sum(F.when(~whole, F.col("words"))).alias("cut"),
+        F.min(F.when(~whole, F.col("shard"))).alias("cut_shard"),
+    )
+    cut = _read_words(F.coalesce("cut", F.lit(0)))
+    got = _joined(pieces(placed, config), by_block).groupBy("source", "start").agg(
+        F.sum((F.col("high") - F.col("low")) * F.col("times") + cut).alias("taken"),
+        F.min(F.least("shard", F.when(cut > 0, F.col("cut_shard")))).alias("first_shard"),
+    )
+    got = got.select(F.col("source").alias("got_source"), F.col("start").alias("got_start"), "taken", "first_shard")
     # Rows without words may share a start with the next row.
     with_taken = placed.hint("merge").join(
         got.hint("merge"), F.col("source").eqNullSafe(F.col("got_source")) & (F.col("start") == F.col("got_start")) & (F.col("size") > 0), "left"
     )
     share = shares.select(F.col("source").alias("own"), "source_size", "target")
     return with_taken.join(share, F.col("source").eqNullSafe(F.col("own"))).select(
-        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_shard"
     )
 
 
-def mixed(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
+def mixed(docs: DataFrame, config: MixConfig = MixConfig(), shard_col: str | None = None) -> DataFrame:
     """The mix as rows of docs: for each round of a document the words taken of it, in order.
 
+    With ``shard_col``, for each output shard as well, whose number is in that column,
+    put last: the rows of one number are that shard.
+
     A document taken whole keeps its text as it is; else the words are joined by
     blanks. ``n_chars``, where docs has it, is that of the new text. A document of
     which nothing is taken is not in the mix, and one taken three times is there
@@ -243,12 +281,14 @@ def mixed(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     rows = stored(narrow(docs), "mix-sizes")
     shares = stored(targets(rows, config), "mix-targets")
     placed = stored(positions(rows, shares, config).where("size > 0").withColumn("copy", numbered), "mix-positions")
-    cut = _joined(pieces(placed, config), draws(shares, config).select("source", "block", "round"))
+    cut = _joined(pieces(placed, config), draws(shares, config).select("source", "block", "round", "words", F.col("shard").alias("got_shard")))
+    cut = cut.withColumn("high", F.col("low") + _read_words(F.col("words"))).where("high > low")
     # A list of one document's pieces, so bounded by its text.
-    spans = cut.groupBy("source", "start", "round").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"))
-    spans = spans.select(F.col("source").alias("got_source"), F.col("start").alias("got_start"), "spans", "round")
+    parts = ["round", "got_shard"] if shard_col else ["round"]
+    spans = cut.groupBy("source", "start", *parts).agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"))
+    spans = spans.select(F.col("source").alias("got_source"), F.col("start").alias("got_start"), "spans", *parts)
     chosen = placed.hint("merge").join(spans.hint("merge"), F.col("source").eqNullSafe(F.col("got_source")) & (F.col("start") == F.col("got_start")))
-    chosen = chosen.select(*(F.col(c).alias(f"got_{c}") for c in (*key, "copy")), "spans", "round")
+    chosen = chosen.select(*(F.col(c).alias(f"got_{c}") for c in (*key, "copy")), "spans", *parts)
     whole = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
         "doc_id",
@@ -269,4 +309,5 @@ def mixed(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     )[0]
     text = F.when(covered == F.col("size"), F.col("row.text")).otherwise(picked)
     fields = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return joined.select(*(fields.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
+    shard = [F.col("got_shard").alias(shard_col)] if shard_col else []
+    return joined.select(*(fields.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c != shard_col), *shard)

@@ -35,6 +35,11 @@ def brute_targets(sizes: dict, weights=(5, 2, 1), most=3):
         {"only": 12},
         {"x": 0, "y": 0},
         {"a": 1, "b": 100, "c": 10_000, "d": 1, "e": 1, "f": 50},
+        {"a": 500, "b": 200, "c": 100},  # proportional to the weights
+        {"a": 1000, "b": 10, "c": 10, "d": 1000},
+        {"a": 1000, "b": 900, "c": 800, "d": 1000, "e": 900, None: 800},
+        {s: 7 for s in "abcdefgh"},
+        {"a": 200, "b": 100, "c": 100},
     ],
 )
 def test_targets(spark, sizes):
@@ -58,10 +63,52 @@ def test_whole_table_meets_its_targets(spark):
     assert target == {s: pytest.approx(t) for s, t in brute_targets(sizes).items()}
     assert all(r.source_size == sizes[r.source] for r in rows)
     for source, wanted in target.items():
-        assert abs(taken[source] - wanted) <= 128 + 0.005 * wanted
+        assert abs(taken[source] - wanted) <= 0.5
     assert sorted(map(tuple, mixing.taken(docs).collect())) == sorted(map(tuple, rows))
 
 
+@pytest.mark.parametrize("sizes", [{"a": 200, "b": 100, "c": 100}, {"a": 400, "b": 150, "c": 151}, {"a": 128, "b": 256, "c": 1, None: 1}, {"x": 5}, {"a": 900, "b": 13, "c": 130, "d": 128}])
+def test_small_sources_meet_their_targets(spark, sizes):
+    docs = []
+    for source, n in sizes.items():
+        for first in range(0, n, 30):
+            docs.append((len(docs), " ".join(f"w{i}" for i in range(first, min(first + 30, n))), source))
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = {r.doc_id: r for r in mixing.taken(frame).collect()}
+    taken = {}
+    for doc_id, text, source in docs:
+        assert 0 <= rows[doc_id].taken <= 3 * len(text.split())
+        assert (rows[doc_id].first_shard is None) == (rows[doc_id].taken == 0)
+        taken[source] = taken.get(source, 0) + rows[doc_id].taken
+    for source, target in brute_targets(sizes).items():
+        assert abs(taken[source] - target) <= 0.5
+    words = {}
+    for r in mixing.mixed(frame).collect():
+        words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
+    assert words == {i: r.taken for i, r in rows.items() if r.taken}
+
+
+def test_taken_follows_the_slots_word_by_word(spark):
+    docs = awkward(spark).select("doc_id", "text", "source")
+    config = mixing.MixConfig(block=16, docs_per_chunk=3, slots_per_shard=10)
+    narrow = mixing.narrow(docs)
+    shares = mixing.targets(narrow, config)
+    placed = mixing.positions(narrow, shares, config).collect()
+    streams, size = {}, {}
+    for r in placed:
+        streams.setdefault(r.source, {}).update({r.start + i: (r.doc_id, r.text_hash, r.size, r.start) for i in range(r.size)})
+        size[r.source] = size.get(r.source, 0) + r.size
+    taken, shard = {}, {}
+    for d in mixing.draws(shares, config).collect():
+        for word in range(d.block * 16, min(d.block * 16 + d.words, size[d.source])):
+            owner = (d.source, *streams[d.source][word])
+            taken[owner] = taken.get(owner, 0) + 1
+            shard[owner] = min(shard.get(owner, d.shard), d.shard)
+    want = sorted(((k[1], k[0], k[3], n, shard[k]) for k, n in taken.items()), key=str)
+    got = [(r.doc_id, r.source, r["size"], r.taken, r.first_shard) for r in mixing.taken(docs, config).collect() if r.taken]
+    assert sorted(got, key=str) == want and len({g[4] for g in got}) > 1
+
+
 def test_blocks_are_a_permutation_and_slots_spread(spark):
     for n in (1, 2, 3, 7, 64, 1000):
         assert sorted(mixing.permuted(np.arange(n), n, 99).tolist()) == list(range(n))
@@ -71,7 +118,8 @@ def test_blocks_are_a_permutation_and_slots_spread(spark):
     by = {}
     for r in rows:
         by.setdefault(r.source, []).append(r)
-    assert len(by["a"]) == round(300_000 / 128) and len(by[None]) == 3 and "z" not in by
+    assert len(by["a"]) == -(-300_000 // 128) and len(by[None]) == 3 and "z" not in by
+    assert sum(r.words for r in by["a"]) == 300_000
     times = np.bincount([r.block for r in by["a"]], minlength=1000)
     assert set(times) == {2, 3}
     assert sorted(r.slot for r in by["a"]) == list(range(len(by["a"])))
@@ -79,6 +127,38 @@ def test_blocks_are_a_permutation_and_slots_spread(spark):
     assert len(per_shard) == 5 and per_shard.min() > 300
 
 
+def test_shards_are_one_multinomial_draw():
+    whole = mixing.shards_of(0, 10_000, 10_000, 7, 5)
+    assert (np.diff(whole) >= 0).all() and set(whole) == set(range(7))  # a shard reads a range of slots
+    parts = [mixing.shards_of(a, min(a + 333, 10_000), 10_000, 7, 5) for a in range(0, 10_000, 333)]
+    assert np.concatenate(parts).tolist() == whole.tolist()
+    assert mixing.shards_of(0, 10_000, 10_000, 7, 6).tolist() != whole.tolist()
+    counts = np.array([np.bincount(mixing.shards_of(0, 700, 700, 7, key), minlength=7) for key in range(400)])
+    assert abs(counts.mean(axis=0) - 100).max() < 3 and abs(counts.std(axis=0) - (700 / 7 * 6 / 7) ** 0.5).max() < 1.5
+
+
+def test_shards_hold_the_mix(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    config = mixing.MixConfig(slots_per_shard=50)
+    one = mixing.mixed(docs, config, shard_col="shard").collect()
+    assert len({r.shard for r in one}) > 3
+    words = {}
+    for r in one:
+        words[r.doc_id] = words.get(r.doc_id, 0) + len(SPACE_WORD.findall(r.text))
+    taken = {r.doc_id: r for r in mixing.taken(docs, config).collect()}
+    assert words == {i: r.taken for i, r in taken.items() if r.taken}
+    first = {i: min(r.shard for r in one if r.doc_id == i) for i in list(words)[:20]}
+    assert all(taken[i].first_shard == s for i, s in first.items())
+    other = mixing.mixed(docs, mixing.MixConfig(slots_per_shard=50, seed=21), shard_col="shard").collect()
+    assert sorted((r.doc_id, r.shard) for r in other) != sorted((r.doc_id, r.shard) for r in one)
+
+
+def test_many_slots_are_drawn_in_many_tasks(spark):
+    shares = spark.createDataFrame([("a", 10**8, 1, 5.0, 2e8), ("b", 10**6, 1, 1.0, 1e6)], "source string, source_size long, documents long, weight double, target double")
+    drawn = mixing.draws(shares)
+    assert drawn.rdd.getNumPartitions() >= 20 and drawn.count() == -(-(10**8) // 128) * 2 + -(-(10**6) // 128)
+
+
 def test_mix_of_awkward_rows(spark):
     docs = awkward(spark).drop("size", "start", "chunk", "block", "row")
     config = mixing.MixConfig(block=16, docs_per_chunk=3)
@@ -110,7 +190,7 @@ def test_mix_keeps_whole_texts_as_they_are(spark):
 def test_mix_of_clashing_columns_and_no_rows(spark):
     docs = awkward(spark)
     assert mixing.mixed(docs).columns == docs.columns
-    assert mixing.taken(docs).columns == ["doc_id", "source", "size", "source_size", "target", "taken"]
+    assert mixing.taken(docs).columns == ["doc_id", "source", "size", "source_size", "target", "taken", "first_shard"]
     assert mixing.taken(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 from collections.abc import Iterator
 
@@ -74,6 +77,17 @@ def slices(texts: list[str | None], limit: int = 1 << 18) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+def give_back() -> None:
+    """Returns memory that a worker has freed to the system, so that what runs there next finds it.
+
+    Spark keeps Python workers for later tasks; their heap stays as large as it ever was.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def with_columns(batch: pa.RecordBatch, extra: dict[str, pa.Array]) -> pa.RecordBatch:
     """The batch with columns put last."""
     return pa.RecordBatch.from_arrays([*batch.columns, *extra.values()], names=[*batch.schema.names, *extra])

@@ -22,10 +22,10 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .base import slices, with_columns
+from .base import give_back, slices, with_columns
 from .vocabulary import BLANK, Vocabulary, chunked, lay_out, relax, unknown_edges
 
-SLICE_CHARS = 2 << 20
+SLICE_CHARS = 1 << 19
 
 
 class Prefixes:
@@ -170,6 +170,11 @@ class _Shared:
             _BUILT.update(vocabulary=vocabulary, prefixes=Prefixes(vocabulary))
         return vocabulary, _BUILT["prefixes"]
 
+    def drop(self) -> None:
+        """Forget what was built; a task ends with this."""
+        _BUILT.clear()
+        give_back()
+
 
 _BUILT: dict = {}
 
@@ -195,6 +200,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_
             ids, starts = encode_texts(column.to_pylist(), *shared.get())
             lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids), mask=column.is_null())
             yield with_columns(batch, {ids_col: lists})
+        shared.drop()
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
 
@@ -245,5 +251,6 @@ def encode_and_check(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     ],
                     names=["doc_id", "piece_ids", "n_pieces", "round_trip"],
                 )
+        shared.drop()
 
     return rows.mapInArrow(run, T.StructType([docs.select("doc_id").schema[0], *T.StructType.fromDDL("piece_ids array<int>, n_pieces long, round_trip boolean").fields]))

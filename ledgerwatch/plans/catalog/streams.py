@@ -14,7 +14,7 @@ from ...config import RuleConfigA
 from ...operators import ingest as ingest_ops
 from ...session import run_dir
 from ...sources.messages import file_stream
-from ...streaming import medallion, sinks, windows
+from ...streaming import late, medallion, sinks, windows
 from .. import alerting
 from . import ingest, rules
 from .base import Entry
@@ -110,27 +110,66 @@ closed AS (
 WINDOW_SQL = f"WITH {_CLOSED_SQL}\nSELECT * FROM closed"
 
 
+def _some_without_customer(typed: DataFrame) -> DataFrame:
+    """Every thirtieth or so transaction, by its number, comes without a customer."""
+    number = F.substring("transaction_id", 4, 10).cast("int")
+    return typed.withColumn("customer_id", F.when(number % 29 != 0, F.col("customer_id")))
+
+
 def stream_window_join(x: Inputs) -> DataFrame:
-    """Per transaction, the largest closed window it fell into."""
-    joined = windows.with_window_totals(_typed(x)).select(
+    """Per transaction its windows, those with totals, and the largest of these; no transaction of a closed window is lost."""
+    joined = windows.with_window_totals(_some_without_customer(_typed(x))).select(
         "transaction_id", F.col("window.start").alias("window_start"), "rolling_24h_amount", "rolling_24h_count"
     )
     rows = _collected(x, joined, "window-join")
     return rows.groupBy("transaction_id").agg(
         F.count("*").alias("windows"),
+        F.count("rolling_24h_count").alias("windows_with_totals"),
         F.max("rolling_24h_amount").cast("decimal(38,2)").alias("peak_24h_amount"),
         F.max("rolling_24h_count").alias("peak_24h_count"),
     )
 
 
-WINDOW_JOIN_SQL = f"""WITH {_CLOSED_SQL}
-SELECT t.transaction_id, count(*) AS windows, max(c.rolling_24h_amount) AS peak_24h_amount,
-       max(c.rolling_24h_count) AS peak_24h_count
-FROM sv t JOIN closed c ON c.customer_id = t.customer_id AND t.transaction_timestamp >= c.window_start
-  AND t.transaction_timestamp < c.window_start + INTERVAL 24 HOURS
+WINDOW_JOIN_SQL = f"""WITH {_CLOSED_SQL.replace("FROM sv CROSS", "FROM (SELECT * FROM sv WHERE CAST(substr(transaction_id, 4) AS INTEGER) % 29 <> 0) CROSS")},
+ends AS (SELECT date_trunc('milliseconds', max(transaction_timestamp)) - INTERVAL 2 HOURS AS mark FROM tx),
+placed AS (
+  SELECT transaction_id, customer_id, date_trunc('hour', transaction_timestamp) - to_hours(CAST(k AS INTEGER)) AS window_start,
+         CAST(substr(transaction_id, 4) AS INTEGER) % 29 = 0 AS lonely
+  FROM sv, (SELECT unnest(range(0, 24)) AS k))
+SELECT t.transaction_id, count(*) AS windows, count(c.rolling_24h_count) AS windows_with_totals,
+       max(c.rolling_24h_amount) AS peak_24h_amount, max(c.rolling_24h_count) AS peak_24h_count
+FROM placed t LEFT JOIN closed c ON c.customer_id = t.customer_id AND c.window_start = t.window_start AND NOT t.lonely, ends
+WHERE t.window_start + INTERVAL 24 HOURS <= mark
 GROUP BY t.transaction_id"""
 
 
+# Every seventh transaction is held back until all others are through; the others come in two halves.
+_HALF = "TIMESTAMP '2024-01-16'"
+
+
+def stream_late_rows(x: Inputs) -> DataFrame:
+    """Hourly totals of a stream in three batches, with how many of their rows came behind the watermark."""
+    paths = late.LatePaths.under(run_dir(x.spark, "late"))
+    handler = late.totals_handler(x.spark, paths)
+    typed = alerting.typed_amounts(x.bronze, x.dimensions)
+    held = F.substring("transaction_id", 4, 10).cast("int") % 7 == 0
+    first = F.expr(f"transaction_timestamp < {_HALF}")
+    for batch_id, part in enumerate((~held & first, ~held & ~first, held)):
+        handler(typed.filter(part), batch_id)
+    return late.totals(x.spark, paths).select("customer_id", "hour", "amount", "transactions", "late")
+
+
+LATE_ROWS_SQL = f"""WITH {SILVER_SQL},
+dealt AS (
+  SELECT customer_id, transaction_timestamp AS ts, amount_eur,
+         CASE WHEN CAST(substr(transaction_id, 4) AS INTEGER) % 7 = 0 THEN 2 WHEN transaction_timestamp < {_HALF} THEN 0 ELSE 1 END AS batch
+  FROM sv),
+marks AS (SELECT b.batch, max(d.ts) - INTERVAL 2 HOURS AS mark FROM (VALUES (1), (2)) AS b(batch) JOIN dealt d ON d.batch < b.batch GROUP BY b.batch)
+SELECT customer_id, date_trunc('hour', ts) AS hour, CAST(sum(amount_eur) AS DECIMAL(38,2)) AS amount, count(*) AS transactions,
+       count(*) FILTER (WHERE ts < mark) AS late
+FROM dealt LEFT JOIN marks USING (batch) GROUP BY ALL"""
+
+
 def stream_velocity(x: Inputs) -> DataFrame:
     """Trailing frame of every transaction, batch by batch over a stored state."""
     base = run_dir(x.spark, "velocity")
@@ -189,6 +228,7 @@ ENTRIES = {
     "stream_dedup": Entry(stream_dedup, DEDUP_SQL),
     "stream_window_agg": Entry(stream_window_agg, WINDOW_SQL),
     "stream_window_join": Entry(stream_window_join, WINDOW_JOIN_SQL),
+    "stream_late_rows": Entry(stream_late_rows, LATE_ROWS_SQL),
     "stream_velocity": Entry(stream_velocity, STREAM_VELOCITY_SQL),
     "stream_alerts": Entry(stream_alerts, STREAM_ALERTS_SQL),
     "stream_redelivery": Entry(stream_redelivery, STREAM_ALERTS_SQL),

@@ -114,12 +114,13 @@ def _versions(master: DataFrame) -> DataFrame:
     return ops.dim_customer(versions)
 
 
-_CUSTOMERS_SQL = f"""
+_LOADED = " WHERE CAST(substr(customer_id, 2) AS INTEGER) % 50 <> 49"
+_ALL_CUSTOMERS_SQL = f"""
 versions AS (
   SELECT customer_id, customer_name, customer_segment, country_of_residence, is_pep, kyc_status,
          CAST(coalesce(risk_score, 0.3) AS DECIMAL(5,4)) AS risk_score, CAST(substr(customer_id, 2) AS INTEGER) AS number,
          unnest(CASE WHEN CAST(substr(customer_id, 2) AS INTEGER) % 3 = 0 THEN [0, 1] ELSE [2] END) AS version
-  FROM master WHERE CAST(substr(customer_id, 2) AS INTEGER) % 50 <> 49),
+  FROM master),
 dim_customer AS (
   SELECT customer_id, customer_name, customer_segment, country_of_residence, is_pep, kyc_status, risk_score,
          CASE WHEN version = 1 THEN 'HIGH' WHEN number % 4 = 0 THEN 'HIGH' ELSE 'LOW' END AS risk_category,
@@ -127,6 +128,8 @@ dim_customer AS (
          CASE WHEN version = 0 THEN TIMESTAMP '2024-01-15' END AS end_date, version <> 0 AS is_current,
          {key_sql("customer_id || '|' || CASE WHEN version = 1 THEN '2024-01-15' ELSE '2023-01-01' END")} AS customer_sk
   FROM versions)"""
+# The dimension as facts meet it.
+_CUSTOMERS_SQL = _ALL_CUSTOMERS_SQL.replace("FROM master)", f"FROM master{_LOADED})")
 
 
 def dim_rule(x: Inputs) -> DataFrame:
@@ -160,7 +163,7 @@ def dim_account(x: Inputs) -> DataFrame:
 
 ACCOUNT_SQL = f"""WITH {EVENTS_SQL},
 a AS (SELECT 'A' || lpad(CAST(user_id * 3 + event_id % 3 AS VARCHAR), 9, '0') AS account_id, customer_id,
-             min(CAST(ts AS DATE)) AS account_open_date FROM ev WHERE event_id % 101 <> 0 GROUP BY 1, 2)
+             min(CASE WHEN event_id % 101 <> 0 THEN CAST(ts AS DATE) END) AS account_open_date FROM ev GROUP BY 1, 2)
 SELECT {key_sql("account_id || '|' || customer_id")} AS account_key, account_id, customer_id, 'ACTIVE' AS account_status,
        account_open_date FROM a"""
 
@@ -266,7 +269,7 @@ def high_risk_customers(x: Inputs) -> DataFrame:
     return ops.high_risk_customers(customers(x))
 
 
-HIGH_RISK_SQL = f"""WITH {MASTER_SQL},{_CUSTOMERS_SQL}
+HIGH_RISK_SQL = f"""WITH {MASTER_SQL},{_ALL_CUSTOMERS_SQL}
 SELECT customer_id, customer_name, risk_score, risk_category, customer_segment, country_of_residence, is_pep
 FROM dim_customer WHERE is_current AND risk_category = 'HIGH'"""
 
@@ -371,7 +374,7 @@ ENTRIES = {
     "dim_date": Entry(dates, f"WITH {_DATES_SQL}\nSELECT * FROM dates"),
     "dim_date_holidays": Entry(order_dates, ORDER_DATES_SQL),
     "dim_geography": Entry(geography, f"WITH {RAW_SQL},{COUNTRIES_SQL},{_GEOGRAPHY_SQL}\nSELECT * FROM geography"),
-    "dim_customer": Entry(customers, f"WITH {MASTER_SQL},{_CUSTOMERS_SQL}\nSELECT * FROM dim_customer"),
+    "dim_customer": Entry(customers, f"WITH {MASTER_SQL},{_ALL_CUSTOMERS_SQL}\nSELECT * FROM dim_customer"),
     "dim_rule": Entry(dim_rule, DIM_RULE_SQL),
     "dim_account": Entry(dim_account, ACCOUNT_SQL),
     "dim_transaction_type": Entry(transaction_types, TYPES_SQL),

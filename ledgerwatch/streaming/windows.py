@@ -33,12 +33,20 @@ def sliding_totals(
 ) -> DataFrame:
     """24-hour windows sliding by one hour per customer.
 
-    In append mode a window is emitted once the watermark has passed its end.
+    Two windows in a chain: rows are first added up per customer and hour, and only
+    these hours go into the 24 windows they belong to. The hours that a customer was
+    active in are the state, not 24 copies of every row. In append mode a window is
+    emitted once the watermark has passed its end, which closes all its hours as well.
     """
-    return (
+    hours = (
         df.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, "24 hours", "1 hour"), "customer_id")
-        .agg(F.sum(amount).alias("rolling_24h_amount"), F.count("*").alias("rolling_24h_count"))
+        .groupBy(F.window(ts, "1 hour").alias("hour"), "customer_id")
+        .agg(F.sum(amount).alias("hour_amount"), F.count("*").alias("hour_count"))
+        .select(F.window_time("hour").alias("hour_time"), "customer_id", "hour_amount", "hour_count")
+    )
+    return (
+        hours.groupBy(F.window("hour_time", "24 hours", "1 hour"), "customer_id")
+        .agg(F.sum("hour_amount").alias("rolling_24h_amount"), F.sum("hour_count").alias("rolling_24h_count"))
         .withColumn(
             "rolling_24h_avg", F.col("rolling_24h_amount").cast("double") / F.col("rolling_24h_count")
         )
@@ -51,24 +59,23 @@ def with_window_totals(
     ts: str = "transaction_timestamp",
     amount: str = "amount_eur",
     salts: int = 8,
+    how: str = "left",
 ) -> DataFrame:
     """Each transaction joined to the totals of every window it falls into.
 
-    The join is on customer and window, which Spark can bound by the watermark,
-    and on a salt that spreads the rows of a busy customer: only the totals are
+    The join is on customer and window, which the watermark bounds on both sides: a
+    transaction waits for its window to close. With ``how`` left, one whose window
+    has no totals, as that of a row without a customer, comes out with nulls; inner
+    leaves it out. A salt spreads the rows of a busy customer: only the totals are
     repeated per salt. It repeats a transaction per window, which
     ``velocity.trailing_sums`` does not.
     """
-    marked = df.withWatermark(ts, lateness)
-    totals = (
-        marked.groupBy(F.window(ts, "24 hours", "1 hour").alias("window"), "customer_id")
-        .agg(F.sum(amount).alias("rolling_24h_amount"), F.count("*").alias("rolling_24h_count"))
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    rows = marked.withColumns(
+    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    totals = sliding_totals(df, lateness, ts, amount).drop("rolling_24h_avg").withColumn("__salt", salt)
+    rows = df.withWatermark(ts, lateness).withColumns(
         {
             "window": F.window(ts, "24 hours", "1 hour"),
             "__salt": F.pmod(F.xxhash64("transaction_id"), F.lit(salts)).cast("int"),
         }
     )
-    return rows.join(totals, ["customer_id", "window", "__salt"], "inner").drop("__salt")
+    return rows.join(totals, ["customer_id", "window", "__salt"], how).drop("__salt")

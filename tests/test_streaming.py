@@ -12,7 +12,7 @@ from ledgerwatch.operators import ingest, rules, velocity
 from ledgerwatch.plans import alerting
 from ledgerwatch.plans.catalog.inputs import Inputs
 from ledgerwatch.sources import messages
-from ledgerwatch.streaming import medallion, sinks, stateful, windows
+from ledgerwatch.streaming import late, medallion, sinks, stateful, windows
 from ledgerwatch.streaming.progress import ProgressLog
 
 CFG = RuleConfigA()
@@ -146,3 +146,72 @@ def test_progress_is_appended_and_kept(spark, tmp_path):
     log.append_to(spark, str(tmp_path / "progress"))
     log.append_to(spark, str(tmp_path / "progress"))
     assert spark.read.parquet(str(tmp_path / "progress")).count() == 2500 and not log.reports
+
+
+def test_chained_windows_hold_hours_not_copies(spark, typed_files, tmp_path):
+    stream = windows.sliding_totals(stream_of(spark, typed_files)).select("customer_id", "window", "rolling_24h_amount", "rolling_24h_count")
+    query = sinks.append_stream(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint"))
+    sinks.finish(query)
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "table"))
+    typed = typed_files[1].filter("transaction_timestamp < '2024-01-31'")
+    plain = typed.groupBy(F.window("transaction_timestamp", "24 hours", "1 hour"), "customer_id").agg(
+        F.sum("amount_eur").alias("rolling_24h_amount"), F.count("*").alias("rolling_24h_count")
+    )
+    newest = typed.agg(F.max("transaction_timestamp")).first()[0]
+    closed = plain.filter(F.col("window.end") <= F.lit(newest - timedelta(hours=2)))
+    columns = ["customer_id", "window", "rolling_24h_amount", "rolling_24h_count"]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, closed.select(columns).collect()))
+    # What arrives is kept as customer-hours; the second window holds only what it cannot close yet.
+    hours = typed.select("customer_id", F.date_trunc("hour", "transaction_timestamp")).distinct().count()
+    first = [p.stateOperators[-1] for p in query.recentProgress if p.numInputRows]
+    assert len(query.recentProgress[0].stateOperators) == 2
+    assert all(s.operatorName == "stateStoreSave" for s in first) and max(s.numRowsTotal for s in first) <= hours
+    assert sum(s.numRowsUpdated for s in first) <= hours < plain.count() / 4
+
+
+def test_left_window_join_over_batches(spark, typed_files, tmp_path):
+    """Late rows are left out on both sides; rows without a customer come with nulls once their window is closed."""
+    lonely = F.crc32(F.col("transaction_id").cast("binary")) % 10 == 0
+    source = stream_of(spark, typed_files).withColumn("customer_id", F.when(~lonely, F.col("customer_id")))
+    joined = windows.with_window_totals(source).select("transaction_id", "customer_id", "window", "rolling_24h_count")
+    got = table_of(spark, joined, tmp_path)
+    typed = typed_files[1].filter("transaction_timestamp < '2024-01-31'").withColumn("customer_id", F.when(~lonely, F.col("customer_id")))
+    placed = typed.select("transaction_id", "customer_id", F.window("transaction_timestamp", "24 hours", "1 hour").alias("window"))
+    newest = typed.agg(F.max("transaction_timestamp")).first()[0]
+    counts = placed.groupBy("customer_id", "window").agg(F.count("*").alias("rolling_24h_count"))
+    expected = placed.filter(F.col("window.end") <= F.lit(newest - timedelta(hours=2))).join(counts, ["customer_id", "window"], "left")
+    columns = ["transaction_id", "window", "rolling_24h_count"]
+    ours, theirs = (sorted(map(str, f.select(columns).collect())) for f in (got, expected))
+    assert ours == theirs and any("rolling_24h_count=None" in r for r in ours)
+
+
+def test_late_rows_reach_the_totals(spark, typed_files, tmp_path):
+    path = str(tmp_path / "in")
+    typed = typed_files[1].withColumn("customer_id", F.when(F.col("customer_id") != "C00000003", F.col("customer_id")))
+    held = F.crc32(F.col("transaction_id").cast("binary")) % 5 == 0
+    ts = F.col("transaction_timestamp")
+    middle = F.lit(datetime(2024, 1, 12))
+    for part in (typed.filter(~held & (ts < middle)), typed.filter(~held & (ts >= middle)), typed.filter(held)):
+        part.coalesce(1).write.mode("append").parquet(path)
+    paths = late.LatePaths.under(str(tmp_path / "out"))
+    handler = late.totals_handler(spark, paths)
+    seen = []
+
+    def twice(batch, batch_id):
+        """Every batch is repeated, as after a failure."""
+        handler(batch, batch_id)
+        handler(batch, batch_id)
+        seen.append(batch_id)
+
+    sinks.finish(sinks.each_batch(messages.file_stream(spark, path, typed.schema, max_files_per_trigger=1), twice, str(tmp_path / "checkpoint")))
+    assert seen == [0, 1, 2]
+    got = {(r.customer_id, r.hour): (r.amount, r.transactions, r.late) for r in late.totals(spark, paths).collect()}
+    newest = typed.filter(~held).agg(F.max(ts)).first()[0]
+    behind = held & (ts < F.lit(newest - timedelta(hours=2)))
+    plain = typed.groupBy(F.coalesce("customer_id", F.lit(late.UNKNOWN)).alias("c"), F.date_trunc("hour", ts).alias("h")).agg(
+        F.sum("amount_eur").alias("a"), F.count("*").alias("n"), F.count_if(behind).alias("l")
+    )
+    assert got == {(r.c, r.h): (r.a, r.n, r.l) for r in plain.collect()} and (late.UNKNOWN in {c for c, _ in got})
+    lines = {r.batch_id: r for r in late.progress(spark, paths).collect()}
+    assert [lines[b].late_rows for b in range(3)] == [0, 0, typed.filter(behind).count()] and lines[2].late_rows > 0
+    assert sum(lines[b]["rows"] for b in range(3)) == typed.count() and lines[0].watermark is None

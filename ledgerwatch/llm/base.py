@@ -6,7 +6,7 @@ import contextlib
 import ctypes
 import gc
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +88,21 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow that gives memory back when its task is through."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return inner
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of at most 4 MB between Spark and Python; a longer row is a batch of its own."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def with_columns(batch: pa.RecordBatch, extra: dict[str, pa.Array]) -> pa.RecordBatch:
     """The batch with columns put last."""
     return pa.RecordBatch.from_arrays([*batch.columns, *extra.values()], names=[*batch.schema.names, *extra])

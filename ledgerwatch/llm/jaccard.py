@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import bitfilter
-from .base import SPACE_WORD, Workspace, stored
+from .base import SPACE_WORD, Workspace, stored, tidy
 from .graph import components
 
 BLOCK_SETS, BLOCK_HASHES = 512, 1 << 19
@@ -119,7 +119,7 @@ def keyed_sets(docs: DataFrame, config: JaccardConfig) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, T.StructType([*SETS.fields, T.StructField("hashes", T.ArrayType(T.LongType()))]))
+    return rows.mapInArrow(tidy(run), T.StructType([*SETS.fields, T.StructField("hashes", T.ArrayType(T.LongType()))]))
 
 
 def _signatures(ids: np.ndarray, owner: np.ndarray, count: int, longest: int) -> np.ndarray:
@@ -294,7 +294,7 @@ def linked_classes(docs: DataFrame, keyed: DataFrame, config: JaccardConfig, wor
             )
 
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("first_doc"), "text")
-    found = texts.mapInArrow(sets, "first_doc long, set_hash binary, found array<long>")
+    found = texts.mapInArrow(tidy(sets), "first_doc long, set_hash binary, found array<long>")
     # Other texts under the same id are other classes; a repeated row is dropped in its tile.
     found = work.stored(found.join(members.select("first_doc", "set_hash", "node", "copies"), ["first_doc", "set_hash"]).drop("first_doc", "set_hash"), "found")
     tiled = _tiles(members, config).join(found, "node")
@@ -369,6 +369,6 @@ def keep_one(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFr
             hashes = [_set_hash(shingle_set(t, config.words)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(hashes, pa.binary())], names=["row", "id", "own_hash"])
 
-    hashed = named.mapInArrow(run, T.StructType([named.schema["row"], named.schema["id"], T.StructField("own_hash", T.BinaryType())]))
+    hashed = named.mapInArrow(tidy(run), T.StructType([named.schema["row"], named.schema["id"], T.StructField("own_hash", T.BinaryType())]))
     kept = hashed.join(kept_ids, (F.col("id") == F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash"))).drop("kept_id", "kept_hash")
     return kept.dropDuplicates(["id", "own_hash"]).unionByName(hashed.where("id IS NULL")).select("row.*")

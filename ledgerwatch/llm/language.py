@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import may_learn, segment_sums, slices, stored, with_columns
+from .base import may_learn, segment_sums, slices, stored, tidy, with_columns
 
 UNKNOWN = "und"
 BUCKET_BITS = 16
@@ -111,7 +111,7 @@ def learn(docs: DataFrame, smoothing: float = 1.0) -> LanguageModel:
             )
 
     labelled = docs.where(may_learn(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    partial = labelled.select("lang", "text").mapInArrow(count, "lang string, bucket int, n long")
+    partial = labelled.select("lang", "text").mapInArrow(tidy(count), "lang string, bucket int, n long")
     totals = partial.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # At most MAX_LANGUAGES x (buckets + 1) rows reach the driver, whatever the input.
     totals = stored(totals, "language-counts")
@@ -160,7 +160,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
             yield with_columns(batch, {"lang_pred": pa.array(names[best], pa.string()), "score": pa.array(score, pa.float64())})
 
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
@@ -172,4 +172,4 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5) -
             best, score = judge(batch.column("text").to_pylist(), sent.value)
             yield batch.filter(pa.array((best >= 0) & (score >= least)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import may_learn, slices, with_columns
+from .base import may_learn, slices, tidy, with_columns
 
 BUCKET_BITS = 18
 PER_CLASS = 4000
@@ -222,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Quali
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
     fitted = (
         texts.select("at", "label", "text")
-        .mapInArrow(extract, "at long, label int, found array<int>")
+        .mapInArrow(tidy(extract), "at long, label int, found array<int>")
         .groupBy()
         .applyInArrow(train, "weights binary, squares binary, bias double, slope double, offset double")
         .collect()
@@ -252,7 +252,7 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
             yield with_columns(batch, {"score": pa.array(scores, pa.float64()), "predicted": pa.array((scores >= LEAST_SCORE).astype(np.int32))})
 
     schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def keep_good(docs: DataFrame, model: QualityModel, least: float = LEAST_SCORE) -> DataFrame:
@@ -263,4 +263,4 @@ def keep_good(docs: DataFrame, model: QualityModel, least: float = LEAST_SCORE)
         for batch in batches:
             yield batch.filter(pa.array(judge(batch.column("text").to_pylist(), sent.value) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

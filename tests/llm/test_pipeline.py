@@ -110,6 +110,6 @@ def test_every_stage_takes_awkward_and_empty_tables(spark):
 
 def test_queries_are_registered_once_each():
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
-    assert {"op1_topk", "op8_urls"} <= set(entry.oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
+    assert {"op1_topk", "op8_urls", "op12_centroids", "op13_lexical"} <= set(entry.oracle_sql())
     assert mixing.MixConfig() and jaccard.JaccardConfig().share == 90

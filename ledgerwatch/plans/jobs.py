@@ -158,7 +158,7 @@ def run_monitoring(
     bronze and silver tables by append, alerts by micro-batch (``every`` names the
     trigger interval; without it all that is there is processed once). Alerts of the
     ``routed`` severities are published as key and JSON in the batch that stores
-    them, at least once. Progress of all queries goes to a table.
+    them, at least once. Progress of all queries goes to a table, batch by batch.
     """
     spark = messages.sparkSession
     parsed = ingest.parse_messages(messages, ingested_at=F.col("kafka_timestamp"))
@@ -176,7 +176,12 @@ def run_monitoring(
     spark.streams.addListener(log)
     accepted = ingest.split_quarantine(ingest.contract_violations(parsed))[0]
     silver = alerting.build_silver(accepted, dims(), job.rules_a)
-    handler = medallion.batch_handler(dims, job.rules_a, medallion.MedallionPaths.under(base), job.scale, publish)
+    stored = medallion.batch_handler(dims, job.rules_a, medallion.MedallionPaths.under(base), job.scale, publish)
+
+    def handler(batch: DataFrame, batch_id: int) -> None:
+        stored(batch, batch_id)
+        log.append_to(spark, f"{base}/progress")  # so that reports neither pile up on the driver nor are lost with it
+
     queries = [
         sinks.append_stream(parsed, f"{base}/raw", f"{base}/checkpoints/raw", ("ingestion_date",), every=every, name="raw"),
         sinks.append_stream(silver, f"{base}/enriched", f"{base}/checkpoints/enriched", ("transaction_date",), every=every, name="enriched"),

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ...config import JobConfig, QualityConfig, RuleConfigA
+from ...operators import curve, digests, distinct
 from ...operators import rules as rule_ops
 from ...session import run_dir
 from ...sources import maintenance, tables
@@ -16,7 +17,7 @@ from ...sources.messages import file_stream
 from .. import jobs
 from . import reports, rules, streams
 from .base import Entry
-from .inputs import RAW_SQL, Inputs
+from .inputs import EVENTS_SQL, RAW_SQL, Inputs
 
 AS_OF = datetime(2024, 1, 31)
 
@@ -132,6 +133,109 @@ def score_base_50(x: Inputs) -> DataFrame:
 BASE_50_SQL = f"WITH {rules.ALERTS_SQL}\nSELECT transaction_id, CAST(least(risk_score + 50, 100) AS DECIMAL(5,2)) AS risk_score FROM alerts"
 
 
+def _on_curve(x: Inputs) -> DataFrame:
+    """Orders in files along a curve of customer, date and price."""
+    path, laid_out = run_dir(x.spark, "orders"), run_dir(x.spark, "orders-on-curve")
+    orders = x.table("orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    tables.append_table(orders, path)
+    maintenance.compact(x.spark, path, ["o_custkey", "o_orderdate", "o_totalprice"], 64, target=laid_out, curve_bits=8)
+    return tables.read_table(x.spark, laid_out)
+
+
+def curve_orders(x: Inputs) -> DataFrame:
+    """Every order after its table was laid along the curve: no row differs."""
+    return _on_curve(x)
+
+
+CURVE_SQL = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders"""
+
+SPANS = [
+    curve.Span("customer", "o_custkey", 0, 2),
+    curve.Span("date", "o_orderdate", date(1997, 3, 1), date(1997, 3, 31)),
+    curve.Span("price", "o_totalprice", 100_000.0, 110_000.0),
+]
+
+
+def curve_pruning(x: Inputs) -> DataFrame:
+    """For a narrow span of each column alone: its rows, and whether most files need not be opened for it."""
+    touched = curve.files_touched(_on_curve(x), SPANS)
+    return touched.select("span", "rows_found", (F.col("files_touched") * 2 <= F.col("files")).alias("most_files_skipped"))
+
+
+PRUNING_SQL = """
+SELECT 'customer' AS span, count(*) FILTER (WHERE o_custkey BETWEEN 0 AND 2) AS rows_found, TRUE AS most_files_skipped FROM orders
+UNION ALL
+SELECT 'date', count(*) FILTER (WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1997-03-31'), TRUE FROM orders
+UNION ALL
+SELECT 'price', count(*) FILTER (WHERE o_totalprice BETWEEN 100000 AND 110000), TRUE FROM orders"""
+
+
+def _member_table(x: Inputs) -> DataFrame:
+    """Daily customer bitmaps by type, loaded in two parts; the second adds its customers to the numbering."""
+    base = run_dir(x.spark, "members")
+    raw = x.raw.select("customer_id", "transaction_type", F.to_date("transaction_timestamp").alias("day"))
+    known = None
+    for i, part in enumerate((F.col("day") < "2024-01-16", F.col("day") >= "2024-01-16")):
+        load = raw.filter(part)
+        distinct.number_keys(load, "customer_id", known).write.parquet(f"{base}/keys-{i}")
+        known = x.spark.read.parquet(f"{base}/keys-{i}")
+        daily = distinct.members(load.join(known, "customer_id"), "key_number", ["transaction_type", "day"])
+        tables.append_table(daily, f"{base}/daily")
+    return tables.read_table(x.spark, f"{base}/daily")
+
+
+def distinct_by_month(x: Inputs) -> DataFrame:
+    """Distinct customers of each month and type, merged from daily bitmaps."""
+    monthly = _member_table(x).withColumn("month", F.trunc("day", "month"))
+    return distinct.count_members(monthly, ["month", "transaction_type"])
+
+
+MONTH_SQL = f"""WITH {RAW_SQL}
+SELECT CAST(date_trunc('month', transaction_timestamp) AS DATE) AS month, transaction_type, count(DISTINCT customer_id) AS n_distinct
+FROM raw GROUP BY ALL"""
+
+
+def distinct_rolling_week(x: Inputs) -> DataFrame:
+    """Distinct customers of the seven days up to each day, of all types together."""
+    return distinct.rolling_distinct(_member_table(x), "day", 7)
+
+
+WEEK_SQL = f"""WITH {RAW_SQL}, d AS (SELECT DISTINCT CAST(transaction_timestamp AS DATE) AS d, customer_id FROM raw)
+SELECT CAST(d + CAST(k AS INTEGER) AS DATE) AS day, count(DISTINCT customer_id) AS n_distinct
+FROM d, range(7) r(k) WHERE d + CAST(k AS INTEGER) <= (SELECT max(d) FROM d) GROUP BY ALL"""
+
+
+def reconciled_by_digest(x: Inputs) -> DataFrame:
+    """Keys that differ between the events and a copy with rows lost, changed, moved, repeated and added."""
+    path = run_dir(x.spark, "events-copy")
+    events = x.events.withColumn("day", F.to_date("ts"))
+    n = F.col("event_id")
+    copy = (
+        events.filter(n % 997 != 5)
+        .withColumn("amount", F.when(n % 991 == 7, -F.col("amount")).otherwise(F.col("amount")))
+        .withColumn("event_type", F.when(n % 983 != 11, F.col("event_type")))
+        .withColumn("day", F.when(n % 977 == 13, F.date_add("day", 1)).otherwise(F.col("day")))
+    )
+    extra = events.filter(n % 971 == 17)
+    added = events.filter(n % 967 == 19).withColumn("event_id", -n)
+    tables.append_table(copy.unionByName(extra).unionByName(added), path, ("day",))
+    changed = tables.read_table(x.spark, path).select(*events.columns)
+    return digests.reconcile_tables(events, changed, ["event_id"], "day")
+
+
+DIGEST_SQL = f"""WITH {EVENTS_SQL},
+copies AS (
+  SELECT event_id, event_id % 997 = 5 AS lost, event_id % 971 = 17 AS repeated,
+         event_id % 991 = 7 OR event_id % 983 = 11 OR event_id % 977 = 13 AS altered
+  FROM ev)
+SELECT event_id, CASE WHEN lost AND NOT repeated THEN 'missing' ELSE 'changed' END AS status, CAST(1 AS BIGINT) AS rows_left,
+       CAST(NOT lost AS BIGINT) + CAST(repeated AS BIGINT) AS rows_right
+FROM copies WHERE lost <> repeated OR altered AND NOT lost
+UNION ALL
+SELECT -event_id, 'unexpected', 0, 1 FROM ev WHERE event_id % 967 = 19"""
+
+
 ENTRIES = {
     "monitoring_job": Entry(monitoring_job, streams.STREAM_ALERTS_SQL),
     "monitoring_published": Entry(monitoring_published, PUBLISHED_SQL),
@@ -139,6 +243,11 @@ ENTRIES = {
     "json_lines": Entry(json_lines, JSON_SQL),
     "appended_orders": Entry(appended_orders, ORDERS_BY_YEAR_SQL),
     "compacted_orders": Entry(compacted_orders, ORDERS_BY_YEAR_SQL),
+    "curve_orders": Entry(curve_orders, CURVE_SQL),
+    "curve_pruning": Entry(curve_pruning, PRUNING_SQL),
+    "distinct_by_month": Entry(distinct_by_month, MONTH_SQL),
+    "distinct_rolling_week": Entry(distinct_rolling_week, WEEK_SQL),
+    "reconciled_by_digest": Entry(reconciled_by_digest, DIGEST_SQL),
     "weekly_job": Entry(weekly_job, reports.WEEKLY_SQL),
     "fact_alert_load": Entry(fact_alert_load, FACT_LOAD_SQL),
     "score_base_50": Entry(score_base_50, BASE_50_SQL),

@@ -14,7 +14,7 @@ from ...config import RuleConfigA
 from ...operators import ingest as ingest_ops
 from ...session import run_dir
 from ...sources.messages import file_stream
-from ...streaming import late, medallion, sinks, windows
+from ...streaming import late, medallion, sinks, split, stateful, windows
 from .. import alerting
 from . import ingest, rules
 from .base import Entry
@@ -189,6 +189,22 @@ WINDOW w AS (PARTITION BY customer_id ORDER BY transaction_timestamp
              RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW)"""
 
 
+def stream_velocity_split(x: Inputs) -> DataFrame:
+    """The same frame from state that is split by customer and hour, once the watermark has closed the hour."""
+    before = x.spark.conf.get(stateful.STATE_STORE)
+    x.spark.conf.set(stateful.STATE_STORE, stateful.ROCKSDB)
+    try:
+        rows = _collected(x, split.split_velocity(_typed(x)), "velocity-split")
+    finally:
+        x.spark.conf.set(stateful.STATE_STORE, before)
+    return rows.select("transaction_id", "customer_id", "rolling_24h_amount", "rolling_24h_count")
+
+
+SPLIT_VELOCITY_SQL = f"""{STREAM_VELOCITY_SQL}
+QUALIFY date_trunc('hour', transaction_timestamp) + INTERVAL 1 HOUR
+        <= (SELECT date_trunc('milliseconds', max(transaction_timestamp)) - INTERVAL 2 HOURS FROM tx)"""
+
+
 def stream_alerts(x: Inputs) -> DataFrame:
     """Messages through quarantine, bronze and silver to the alert table."""
     base = run_dir(x.spark, "medallion")
@@ -230,6 +246,7 @@ ENTRIES = {
     "stream_window_join": Entry(stream_window_join, WINDOW_JOIN_SQL),
     "stream_late_rows": Entry(stream_late_rows, LATE_ROWS_SQL),
     "stream_velocity": Entry(stream_velocity, STREAM_VELOCITY_SQL),
+    "stream_velocity_split": Entry(stream_velocity_split, SPLIT_VELOCITY_SQL),
     "stream_alerts": Entry(stream_alerts, STREAM_ALERTS_SQL),
     "stream_redelivery": Entry(stream_redelivery, STREAM_ALERTS_SQL),
 }

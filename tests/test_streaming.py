@@ -12,7 +12,7 @@ from ledgerwatch.operators import ingest, rules, velocity
 from ledgerwatch.plans import alerting
 from ledgerwatch.plans.catalog.inputs import Inputs
 from ledgerwatch.sources import messages
-from ledgerwatch.streaming import late, medallion, sinks, stateful, windows
+from ledgerwatch.streaming import late, medallion, sinks, split, stateful, windows
 from ledgerwatch.streaming.progress import ProgressLog
 
 CFG = RuleConfigA()
@@ -215,3 +215,54 @@ def test_late_rows_reach_the_totals(spark, typed_files, tmp_path):
     lines = {r.batch_id: r for r in late.progress(spark, paths).collect()}
     assert [lines[b].late_rows for b in range(3)] == [0, 0, typed.filter(behind).count()] and lines[2].late_rows > 0
     assert sum(lines[b]["rows"] for b in range(3)) == typed.count() and lines[0].watermark is None
+
+
+def closed_velocity(typed):
+    """What ``split_velocity`` has to return at the end: rows of hours that the watermark has passed."""
+    mark = typed.agg(F.max("transaction_timestamp")).first()[0] - timedelta(hours=2)
+    closed = F.date_trunc("hour", "transaction_timestamp") + F.expr("INTERVAL 1 HOUR") <= F.lit(mark)
+    return velocity.trailing_velocity(typed, CFG).filter(closed)
+
+
+def test_split_state_equals_batch_over_batches(spark, typed_files, tmp_path):
+    spark.conf.set(stateful.STATE_STORE, stateful.ROCKSDB)
+    got = table_of(spark, split.split_velocity(stream_of(spark, typed_files)), tmp_path)
+    columns = ["customer_id", "transaction_id", "rolling_24h_amount", "rolling_24h_count"]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(
+        map(tuple, closed_velocity(typed_files[1]).select(columns).collect())
+    )
+
+
+def test_split_state_with_one_customer_in_most_rows(spark, tmp_path):
+    """Ties, rows exactly a day apart, late but not too late rows, rows without customer or amount; state is given back."""
+    spark.conf.set(stateful.STATE_STORE, stateful.ROCKSDB)
+    start = datetime(2024, 1, 1)
+    minutes = [7 * i % 3600 for i in range(1500)] + [0, 1440, 1440, 2880]
+    rows = [(f"t{i}", None if i % 50 == 1 else "hot" if i % 3 else f"c{i % 4}", m, None if i % 40 == 5 else i) for i, m in enumerate(minutes)]
+    rows += [("last", "end", 6000, 1)]
+    schema = "transaction_id string, customer_id string, minute int, cents long"
+    df = spark.createDataFrame(rows, schema).select(
+        "transaction_id",
+        "customer_id",
+        F.timestamp_add("MINUTE", F.col("minute"), F.lit(start)).alias("transaction_timestamp"),
+        (F.col("cents").cast("decimal(18,0)") / 100).cast("decimal(18,2)").alias("amount_eur"),
+    )
+    late_part = F.col("transaction_timestamp") < F.lit(start + timedelta(hours=30))
+    swapped = F.minute("transaction_timestamp") >= 30  # comes in an earlier file than the start of its own hour
+    for part in (late_part & swapped, late_part & ~swapped, ~late_part):
+        # One watermark step at most between halves: both lie within the first files.
+        df.filter(part & (F.col("transaction_id") != "last")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    df.filter("transaction_id = 'last'").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = messages.file_stream(spark, str(tmp_path / "in"), df.schema, max_files_per_trigger=2)
+    query = sinks.append_stream(split.split_velocity(stream), str(tmp_path / "table"), str(tmp_path / "checkpoint"))
+    sinks.finish(query)
+    got = spark.read.parquet(str(tmp_path / "table")).collect()
+
+    want = []
+    known = [(t, c, m, a or 0) for t, c, m, a in rows]
+    for t, c, m, _ in known[:-1]:
+        frame = [a for _, other, at, a in known if other == c and m - 1440 <= at <= m]
+        want.append((t, sum(frame), len(frame)))
+    assert sorted((r["transaction_id"], int(r["rolling_24h_amount"] * 100), r["rolling_24h_count"]) for r in got) == sorted(want)
+    left = {s["operatorName"]: s["numRowsTotal"] for s in query.lastProgress["stateOperators"]}
+    assert left["transformWithStateInPandasExec"] < 20 and left["symmetricHashJoin"] < 60

@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ...operators import maintained
 from ...operators import merge as ops
 from ...session import run_dir
 from ...sources.snapshots import SnapshotTable, upsert_partitions
@@ -120,6 +121,27 @@ SELECT 'update_preimage', t.* FROM target t JOIN after a USING (transaction_id)
 SELECT 'update_postimage', a.* FROM target t JOIN after a USING (transaction_id) WHERE t.amount <> a.amount"""
 
 
+YEARLY = maintained.Aggregates(("customer_id", "year"), "year", ("amount",), ("amount",))
+
+
+def maintained_totals(x: Inputs) -> DataFrame:
+    """Totals of each customer and year, kept up through the inserts, updates and deletes of a merge; the feed comes twice."""
+    path = run_dir(x.spark, "totals")
+    year = F.year("transaction_date").alias("year")
+    before, feed = target(x).select("*", year), change_feed(x).select("*", year)
+    after = ops.upsert(target(x), source(x), KEYS).filter("right(transaction_id, 1) <> '7'").select("*", year)
+    maintained.computed(before, YEARLY).repartition("year").write.partitionBy("year").parquet(path)
+    for _ in range(2):
+        maintained.apply_feed(path, feed, after, YEARLY, feed_id=1)
+    return maintained.current(x.spark.read.parquet(path), YEARLY)
+
+
+MAINTAINED_SQL = f"""WITH {MERGE_SQL}
+SELECT customer_id, CAST(year(transaction_date) AS INTEGER) AS year, count(*) AS n_rows,
+       CAST(sum(amount) AS DECIMAL(38,2)) AS sum_amount, max(amount) AS max_amount
+FROM merged WHERE right(transaction_id, 1) <> '7' GROUP BY ALL"""
+
+
 def schema_merge(x: Inputs) -> DataFrame:
     """Stored rows without a status joined by rows without a date."""
     return evolve(target(x).drop("status"), source(x).drop("transaction_date"))
@@ -301,6 +323,7 @@ ENTRIES = {
     "conditional_merge": Entry(conditional_merge, CONDITIONAL_SQL),
     "newest_wins": Entry(newest_wins, NEWEST_SQL),
     "change_feed": Entry(change_feed, FEED_SQL),
+    "maintained_totals": Entry(maintained_totals, MAINTAINED_SQL),
     "schema_merge": Entry(schema_merge, SCHEMA_SQL),
     "scd2_first": Entry(scd2_first, f"WITH {_HISTORY_SQL}\nSELECT * FROM history"),
     "scd2_change": Entry(scd2_change, f"WITH {_HISTORY_SQL}\nSELECT * FROM applied"),

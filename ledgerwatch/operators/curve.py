@@ -19,7 +19,7 @@ MAX_BITS = 62
 POSITION = "__curve_position"
 
 
-def _number(df: DataFrame, column: str) -> Column:
+def number_of(df: DataFrame, column: str) -> Column:
     """The value as a number of the same order; of a string, its first six bytes."""
     kind, value = df.schema[column].dataType, F.col(column)
     if isinstance(kind, T.NumericType):
@@ -41,7 +41,7 @@ def curve_bounds(df: DataFrame, columns: list[str], bits: int, accuracy: int = 1
     any value has no bounds.
     """
     shares = [i / 2**bits for i in range(1, 2**bits)]
-    found = df.agg(*[F.percentile_approx(_number(df, c), shares, accuracy).alias(c) for c in columns]).first()
+    found = df.agg(*[F.percentile_approx(number_of(df, c), shares, accuracy).alias(c) for c in columns]).first()
     return {c: found[c] or [] for c in columns}
 
 
@@ -63,7 +63,7 @@ def with_curve_position(df: DataFrame, columns: list[str], bits: int = 8) -> Dat
         raise ValueError(f"{len(columns)} columns of {bits} bits do not make a position of 1 to {MAX_BITS} bits")
     bounds = curve_bounds(df, columns, bits)
     ranks = [f"__rank_{i}" for i in range(len(columns))]
-    ranked = df.withColumns({r: _rank(_number(df, c), bounds[c], bits) for r, c in zip(ranks, columns, strict=True)})
+    ranked = df.withColumns({r: _rank(number_of(df, c), bounds[c], bits) for r, c in zip(ranks, columns, strict=True)})
     placed = [
         F.shiftleft(F.shiftright(F.col(r), bit).bitwiseAND(F.lit(1)).cast("bigint"), bit * len(ranks) + len(ranks) - 1 - i)
         for bit in range(bits)

@@ -41,6 +41,32 @@ def parse_messages(
     )
 
 
+def parse_evolving(raw: DataFrame, schema: T.StructType, rest: str = "other_fields") -> DataFrame:
+    """Decode JSON messages of several generations into one table without losing a field.
+
+    Fields of ``schema`` become columns, converted where the message has them in
+    another type. ``rest`` is a variant of all others: unknown fields, and known ones
+    whose value does not convert; null if there are none. ``unparsed`` is the whole text of
+    a message that is no JSON object. A JSON null is a missing value.
+    """
+    if {rest, "unparsed"} & set(schema.names):
+        raise ValueError(f"the message schema has a field named {rest} or unparsed")
+    text = F.col("value").cast("string")
+    opened = raw.select(text.alias("__text"), F.try_parse_json(text).alias("__doc"))
+    parts = opened.withColumn("__parts", F.expr("try_cast(__doc AS map<string,variant>)"))
+    whole = F.when(F.col("__parts").isNotNull(), F.col("__doc"))
+    typed = parts.withColumns(
+        {f.name: F.try_variant_get(whole, f"$['{f.name}']", f.dataType.simpleString()) for f in schema.fields}
+    )
+    placed = F.array_compact(F.array(*[F.when(F.col(f.name).isNotNull(), F.lit(f.name)) for f in schema.fields]))
+    left = F.map_filter("__parts", lambda name, value: ~F.array_contains(placed, name) & ~F.is_variant_null(value))
+    return typed.withColumn("__left", left).select(
+        *schema.names,
+        F.when(F.size("__left") > 0, F.to_variant_object("__left")).alias(rest),
+        F.when(F.col("__parts").isNull(), F.col("__text")).alias("unparsed"),
+    )
+
+
 def generator_to_bronze(messages: DataFrame, source_system: str) -> DataFrame:
     """Map a source/destination message onto the bronze transaction columns.
 

@@ -6,11 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ...config import RuleConfigA
 from ...functions import flags
 from ...operators import enrich
 from ...operators import ingest as ops
+from ...session import run_dir
+from ...sources import tables
 from .. import alerting
 from .base import Entry
 from .inputs import (
@@ -312,7 +315,49 @@ SELECT transaction_id,
 FROM ev"""
 
 
+GENERATIONS = (
+    T.StructType().add("transaction_id", "string").add("customer_id", "string").add("amount", "decimal(18,2)").add("currency", "string")
+)
+
+
+def message_generations(x: Inputs) -> DataFrame:
+    """Messages of three generations in one table: with a new nested field, with amounts as text, and some broken."""
+    path = run_dir(x.spark, "generations")
+    raw = x.raw.withColumn("n", F.substring("transaction_id", 4, 10).cast("bigint"))
+    text = F.when(F.col("n") % 31 == 2, "n/a").otherwise(F.col("amount").cast("string"))
+    device = F.struct(F.concat(F.lit("m"), F.col("n") % 9).alias("model"))
+    base = ["transaction_id", "customer_id", "currency"]
+    generations = [
+        F.struct(*base, "amount"),
+        F.struct(*base, "amount", device.alias("device")),
+        F.struct(*base, text.alias("amount"), F.lit(None).cast("string").alias("note")),
+    ]
+    for i, fields in enumerate(generations):
+        value = F.when(F.col("n") % 37 == 5, F.concat(F.lit("{broken "), "transaction_id")).otherwise(F.to_json(fields))
+        messages = raw.filter(F.col("n") % 3 == i).select(value.alias("value"))
+        tables.append_table(ops.parse_evolving(messages, GENERATIONS), path)
+    stored = tables.read_table(x.spark, path)
+    return stored.select(
+        *GENERATIONS.names,
+        F.try_variant_get("other_fields", "$.device.model", "string").alias("device_model"),
+        F.to_json("other_fields").alias("other_fields"),
+        "unparsed",
+    )
+
+
+GENERATIONS_SQL = f"""WITH {RAW_SQL},
+kinds AS (SELECT *, event_id % 37 = 5 AS broken, event_id % 3 = 1 AS has_device, event_id % 3 = 2 AND event_id % 31 = 2 AS no_amount FROM raw)
+SELECT CASE WHEN NOT broken THEN transaction_id END AS transaction_id, CASE WHEN NOT broken THEN customer_id END AS customer_id,
+       CASE WHEN NOT broken AND NOT no_amount THEN amount END AS amount, CASE WHEN NOT broken THEN currency END AS currency,
+       CASE WHEN NOT broken AND has_device THEN 'm' || CAST(event_id % 9 AS VARCHAR) END AS device_model,
+       CASE WHEN broken THEN NULL WHEN has_device THEN '{{"device":{{"model":"m' || CAST(event_id % 9 AS VARCHAR) || '"}}}}'
+            WHEN no_amount THEN '{{"amount":"n/a"}}' END AS other_fields,
+       CASE WHEN broken THEN '{{broken ' || transaction_id END AS unparsed
+FROM kinds"""
+
+
 ENTRIES = {
+    "message_generations": Entry(message_generations, GENERATIONS_SQL),
     "parse_messages": Entry(parse_messages, PARSE_SQL),
     "contract_violations": Entry(contract_violations, VIOLATIONS_SQL),
     "generator_bronze": Entry(generator_bronze, GENERATOR_SQL),

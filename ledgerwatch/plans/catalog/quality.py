@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...config import QualityConfig
+from ...operators import columns
 from ...operators import quality as ops
 from ...session import run_dir
 from ...sources import tables
@@ -217,7 +218,71 @@ UNION ALL SELECT 'events', count(*), 'GOOD', NULL FROM events
 UNION ALL SELECT 'missing', NULL, 'BAD', 'PATH_NOT_FOUND'"""
 
 
+PROFILED = ["transaction_id", "customer_id", "amount", "timestamp", "transaction_timestamp"]
+
+
+def column_profiles(x: Inputs) -> DataFrame:
+    """All days' profiles of the dirty transactions, merged; and whether their estimates keep their bounds."""
+    path = run_dir(x.spark, "profiles")
+    dirty = dirty_raw(x).select(*PROFILED)
+    columns.profile(dirty.withColumn("day", F.to_date("transaction_timestamp")), ["day"]).write.parquet(path)
+    merged = columns.described(columns.merge_profiles(x.spark.read.parquet(path), []), (0.5,))
+    exact = dirty.agg(*[F.count_distinct(c).alias(c) for c in PROFILED])
+    exact = exact.unpivot([], PROFILED, "column_name", "exact_distinct")
+    median = F.col("quantiles")[0]
+    ranks = dirty.select(*[columns.number_of(dirty, c).alias(c) for c in PROFILED]).unpivot([], PROFILED, "column_name", "v")
+    ranks = ranks.filter("v IS NOT NULL").join(merged.select("column_name", median.alias("median")), "column_name")
+    placed = ranks.groupBy("column_name").agg(
+        (F.count_if(F.col("v") < F.col("median")) / F.count("*")).alias("below"),
+        (F.count_if(F.col("v") <= F.col("median")) / F.count("*")).alias("up_to"),
+    )
+    return merged.join(exact, "column_name").join(placed, "column_name").select(
+        "column_name",
+        "n_rows",
+        "nulls",
+        "exact_distinct",
+        (F.abs(F.col("n_distinct") - F.col("exact_distinct")) <= 0.08 * F.col("exact_distinct")).alias("distinct_close"),
+        ((F.col("below") <= 0.52) & (F.col("up_to") >= 0.48)).alias("median_close"),
+    )
+
+
+COLUMN_PROFILES_SQL = f"""WITH {_DIRTY_SQL},
+named(column_name, value) AS (
+  SELECT 'transaction_id', transaction_id FROM dirty UNION ALL SELECT 'customer_id', customer_id FROM dirty UNION ALL
+  SELECT 'amount', CAST(amount AS VARCHAR) FROM dirty UNION ALL
+  SELECT 'timestamp', CASE WHEN has_time THEN CAST(transaction_timestamp AS VARCHAR) END FROM dirty UNION ALL
+  SELECT 'transaction_timestamp', CAST(transaction_timestamp AS VARCHAR) FROM dirty)
+SELECT column_name, count(*) AS n_rows, count(*) - count(value) AS nulls, count(DISTINCT value) AS exact_distinct,
+       TRUE AS distinct_close, TRUE AS median_close
+FROM named GROUP BY column_name"""
+
+
+def column_drift(x: Inputs) -> DataFrame:
+    """Columns of the events that moved from the first half of the month to the second, in which amounts are doubled."""
+    late = F.col("ts") >= "2024-01-16"
+    amount = F.when(late, F.col("amount") * 2).otherwise(F.col("amount"))
+    kind = F.when(~late | (F.col("event_id") % 2 == 0), F.col("event_type"))
+    events = x.events.select("event_id", "user_id", amount.alias("amount"), kind.alias("event_type"), late.alias("late"))
+    profiles = columns.profile(events, ["late"])
+    return columns.drift(profiles.filter("NOT late"), profiles.filter("late"), 0.2).select("column_name", "drifted")
+
+
+# Exact distances; half of the types are missing in the second half.
+DRIFT_SQL = f"""WITH {EVENTS_SQL},
+named AS (
+  SELECT ts >= TIMESTAMP '2024-01-16' AS late, UNNEST([
+    {{'c': 'event_id', 'v': CAST(event_id AS DOUBLE)}}, {{'c': 'user_id', 'v': CAST(user_id AS DOUBLE)}},
+    {{'c': 'amount', 'v': CAST(CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN amount * 2 ELSE amount END AS DOUBLE)}}]) AS f FROM ev),
+per_value AS (SELECT f.c AS c, f.v AS v, count(*) FILTER (WHERE NOT late) AS a, count(*) FILTER (WHERE late) AS b FROM named GROUP BY 1, 2),
+running AS (SELECT c, sum(a) OVER w / sum(a) OVER (PARTITION BY c) - sum(b) OVER w / sum(b) OVER (PARTITION BY c) AS gap
+            FROM per_value WINDOW w AS (PARTITION BY c ORDER BY v))
+SELECT c AS column_name, max(abs(gap)) > 0.2 AS drifted FROM running GROUP BY c
+UNION ALL SELECT 'event_type', count(*) FILTER (WHERE event_id % 2 <> 0) / count(*) > 0.2 FROM ev WHERE ts >= TIMESTAMP '2024-01-16'"""
+
+
 ENTRIES = {
+    "column_profiles": Entry(column_profiles, COLUMN_PROFILES_SQL),
+    "column_drift": Entry(column_drift, DRIFT_SQL),
     "quality_raw": Entry(quality_raw, f"WITH {_DIRTY_SQL}\nSELECT * FROM raw_checks"),
     "completeness": _only("COMPLETENESS"),
     "validity": _only("VALIDITY"),

@@ -17,6 +17,7 @@ from ..functions.flags import is_true
 from ..functions.keys import date_key, surrogate_key
 from ..functions.money import count_when, exact_avg
 from ..functions.risk import RULE_CATALOGUE, priority_rank
+from .asof import last_version
 from .reports import rule_effectiveness
 
 UNKNOWN_KEY = -1
@@ -245,21 +246,40 @@ def _valid_at(dim: DataFrame, ts: Column) -> Column:
     return (dim["effective_date"] <= ts) & (end.isNull() | (ts < end))
 
 
+def _carried(enriched: DataFrame, versions: DataFrame) -> DataFrame:
+    """``customer_sk`` of the last version, where that has not ended by then."""
+    found = last_version(
+        enriched, versions, "customer_id", "transaction_timestamp", "effective_date", ["customer_sk", "end_date"]
+    )
+    ended = F.col("end_date") <= F.col("transaction_timestamp")
+    return found.withColumn("customer_sk", F.when(~F.coalesce(ended, F.lit(False)), F.col("customer_sk"))).drop("end_date")
+
+
 def fact_transaction(
-    enriched: DataFrame, customers: DataFrame, types: DataFrame, geography: DataFrame
+    enriched: DataFrame,
+    customers: DataFrame,
+    types: DataFrame,
+    geography: DataFrame,
+    carry_forward: bool = False,
 ) -> DataFrame:
     """Transactions with the keys of their dimensions; unmatched keys are -1.
 
+    ``carry_forward`` finds customer versions by one ordered pass (``asof``) instead of a
+    join: for customers with very many versions or rows.
+
     Type and geography keys are hashes of their codes, but the join is kept so
     that codes missing from a dimension are visible as -1.
     """
     versions = customers.select("customer_id", "customer_sk", "effective_date", "end_date")
-    df = enriched.join(
-        versions,
-        (enriched["customer_id"] == versions["customer_id"])
-        & _valid_at(versions, enriched["transaction_timestamp"]),
-        "left",
-    ).drop(versions["customer_id"], versions["effective_date"], versions["end_date"])
+    if carry_forward:
+        df = _carried(enriched, versions)
+    else:
+        df = enriched.join(
+            versions,
+            (enriched["customer_id"] == versions["customer_id"])
+            & _valid_at(versions, enriched["transaction_timestamp"]),
+            "left",
+        ).drop(versions["customer_id"], versions["effective_date"], versions["end_date"])
     type_keys = types.select(
         F.col("transaction_type_code").alias("transaction_type"), "transaction_type_sk"
     )

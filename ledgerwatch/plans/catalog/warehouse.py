@@ -177,6 +177,13 @@ def facts(x: Inputs) -> DataFrame:
     )
 
 
+def facts_carried(x: Inputs) -> DataFrame:
+    """The same facts, with customer versions carried forward instead of joined."""
+    return ops.fact_transaction(
+        rules.enriched_b(x), loaded_customers(x), ops.dim_transaction_type(x.spark), geography(x), carry_forward=True
+    )
+
+
 _FACT_SQL = f"""{rules.ENRICHED_B_SQL},{COUNTRIES_SQL},{_GEOGRAPHY_SQL},{_CUSTOMERS_SQL},
 facts AS (
   SELECT {key_sql("transaction_id")} AS transaction_sk, transaction_id, coalesce(c.customer_sk, -1) AS customer_sk,
@@ -379,6 +386,7 @@ ENTRIES = {
     "dim_account": Entry(dim_account, ACCOUNT_SQL),
     "dim_transaction_type": Entry(transaction_types, TYPES_SQL),
     "fact_transaction": Entry(facts, f"WITH {_FACT_SQL}\nSELECT * FROM facts"),
+    "fact_transaction_carried": Entry(facts_carried, f"WITH {_FACT_SQL}\nSELECT * FROM facts"),
     "fact_alert": Entry(alert_facts, f"WITH {_ALERT_FACT_SQL}\nSELECT * EXCLUDE (status_code) FROM alert_facts"),
     "customer_daily_metrics": Entry(daily_metrics, METRICS_SQL),
     "monthly_summary": Entry(monthly_summary, MONTHLY_SQL),

@@ -32,12 +32,14 @@ def enrich_alerts(alerts: DataFrame, transactions: DataFrame, profiles: DataFram
     """Alerts with device and channel details and current customer attributes.
 
     Both sides are reduced to one row per key first, so no alert is repeated;
-    transactions without an alert are dropped before they are shuffled.
+    transactions without an alert are dropped before they are shuffled. The broker's
+    timestamp is carried where the transactions have it.
     """
+    broker = [c for c in ("kafka_timestamp",) if c in transactions.columns and c not in alerts.columns]
     alerted = transactions.join(alerts.select("transaction_id"), "transaction_id", "left_semi")
     details = keep_latest(
         alerted.select(
-            "transaction_id", "merchant_category", "channel", "device_id", "amount_vs_avg_ratio"
+            "transaction_id", "merchant_category", "channel", "device_id", "amount_vs_avg_ratio", *broker
         ),
         ["transaction_id"],
         [F.col("channel"), F.col("device_id")],

@@ -18,6 +18,7 @@ from ..functions.keys import date_key, surrogate_key
 from ..functions.money import count_when, exact_avg
 from ..functions.risk import RULE_CATALOGUE, priority_rank
 from .asof import last_version
+from .grouping import keep_latest
 from .reports import rule_effectiveness
 
 UNKNOWN_KEY = -1
@@ -383,6 +384,24 @@ def fact_customer_daily_metrics(facts: DataFrame, channels: tuple[str, ...] = ("
     )
 
 
+def with_current_risk(metrics: DataFrame, customers: DataFrame) -> DataFrame:
+    """Daily metrics with ``current_risk_score`` and ``current_risk_category`` of the customer's current version.
+
+    Metrics carry the key of the version that was valid on their day, so the
+    customer is found by that key first. Null for the unknown customer and for
+    customers without a current version.
+    """
+    current = keep_latest(
+        customers.filter("is_current").select(
+            "customer_id", "effective_date", F.col("risk_score").alias("current_risk_score"), F.col("risk_category").alias("current_risk_category")
+        ),
+        ["customer_id"],
+        [F.col("effective_date").desc(), F.col("current_risk_score").desc()],
+    ).drop("effective_date")
+    keys = customers.select("customer_sk", "customer_id").distinct().join(current, "customer_id").drop("customer_id")
+    return metrics.join(keys, "customer_sk", "left")
+
+
 def monthly_summary(facts: DataFrame) -> DataFrame:
     """Month x type x destination: counts, volumes, suspicious share, customers."""
     suspicious = F.col("is_suspicious")

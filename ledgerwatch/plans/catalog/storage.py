@@ -15,7 +15,7 @@ from ...session import run_dir
 from ...sources import maintenance, tables
 from ...sources.messages import file_stream
 from .. import jobs
-from . import reports, rules, streams
+from . import quality, reports, rules, streams
 from .base import Entry
 from .inputs import EVENTS_SQL, RAW_SQL, Inputs
 
@@ -125,6 +125,35 @@ FACT_LOAD_SQL = f"""WITH {rules.ENRICHED_B_SQL}
 SELECT transaction_id, customer_id, alert_priority, DATE '2024-01-31' AS alert_day FROM enriched WHERE is_suspicious"""
 
 
+def report_files(x: Inputs) -> DataFrame:
+    """The alert summary from its dated folder, after the day's reports were written twice."""
+    base = run_dir(x.spark, "reports")
+    frames = {"alert_summary": reports.alert_summary(x), "rule_breakdown": reports.rule_breakdown(x)}
+    for _ in range(2):
+        tables.write_reports(frames, base, "report_date", AS_OF.date())
+    return x.spark.read.option("basePath", base).parquet(f"{base}/report_date=*/alert_summary")
+
+
+REPORT_FILES_SQL = f"SELECT *, DATE '2024-01-31' AS report_date FROM ({reports.SUMMARY_SQL})"
+
+
+def quality_files(x: Inputs) -> DataFrame:
+    """Details of a day's checks from their dated folder, beside their summary."""
+    base = run_dir(x.spark, "quality")
+    details = quality.quality_raw(x)
+    frames = {"details": details, "summary": quality.ops.overall(details, quality.CFG)}
+    tables.write_reports(frames, base, "check_date", AS_OF.date())
+    stored = x.spark.read.option("basePath", base)
+    passed = stored.parquet(f"{base}/check_date=*/summary").select("check_date", "overall_status")
+    return stored.parquet(f"{base}/check_date=*/details").join(passed, "check_date")
+
+
+QUALITY_FILES_SQL = f"""WITH {quality._DIRTY_SQL}
+SELECT *, DATE '2024-01-31' AS check_date,
+       (SELECT CASE WHEN count(*) FILTER (WHERE passed) * 100.0 / count(*) >= 95 THEN 'PASS' ELSE 'FAIL' END FROM raw_checks) AS overall_status
+FROM raw_checks"""
+
+
 def score_base_50(x: Inputs) -> DataFrame:
     """The alternative scoring: base 50, at most 100."""
     return rules.alerts(x, RuleConfigA(base_score=50, score_cap=100)).select("transaction_id", "risk_score")
@@ -250,5 +279,7 @@ ENTRIES = {
     "reconciled_by_digest": Entry(reconciled_by_digest, DIGEST_SQL),
     "weekly_job": Entry(weekly_job, reports.WEEKLY_SQL),
     "fact_alert_load": Entry(fact_alert_load, FACT_LOAD_SQL),
+    "report_files": Entry(report_files, REPORT_FILES_SQL),
+    "quality_files": Entry(quality_files, QUALITY_FILES_SQL),
     "score_base_50": Entry(score_base_50, BASE_50_SQL),
 }

@@ -219,6 +219,18 @@ def daily_metrics(x: Inputs) -> DataFrame:
     return ops.fact_customer_daily_metrics(facts(x))
 
 
+def metrics_with_risk(x: Inputs) -> DataFrame:
+    """Daily metrics with the current risk of their customer, whichever version was valid on the day."""
+    return ops.with_current_risk(daily_metrics(x), loaded_customers(x)).select(
+        "customer_sk", "metric_date_sk", "daily_transaction_count", "current_risk_score", "current_risk_category"
+    )
+
+
+METRICS_RISK_SQL = f"""WITH {_FACT_SQL},
+daily AS (SELECT customer_sk, transaction_date_sk AS metric_date_sk, count(*) AS daily_transaction_count FROM facts GROUP BY ALL)
+SELECT d.*, n.risk_score AS current_risk_score, n.risk_category AS current_risk_category
+FROM daily d LEFT JOIN dim_customer v ON v.customer_sk = d.customer_sk LEFT JOIN dim_customer n ON n.customer_id = v.customer_id AND n.is_current"""
+
 METRICS_SQL = f"""WITH {_FACT_SQL}
 SELECT customer_sk, transaction_date_sk AS metric_date_sk, count(*) AS daily_transaction_count,
        max(amount) AS daily_max_transaction_amount, count(*) FILTER (WHERE is_suspicious) AS daily_suspicious_count,
@@ -389,6 +401,7 @@ ENTRIES = {
     "fact_transaction_carried": Entry(facts_carried, f"WITH {_FACT_SQL}\nSELECT * FROM facts"),
     "fact_alert": Entry(alert_facts, f"WITH {_ALERT_FACT_SQL}\nSELECT * EXCLUDE (status_code) FROM alert_facts"),
     "customer_daily_metrics": Entry(daily_metrics, METRICS_SQL),
+    "customer_metrics_with_risk": Entry(metrics_with_risk, METRICS_RISK_SQL),
     "monthly_summary": Entry(monthly_summary, MONTHLY_SQL),
     "risk_history": Entry(risk_history, HISTORY_SQL),
     "high_risk_customers": Entry(high_risk_customers, HIGH_RISK_SQL),

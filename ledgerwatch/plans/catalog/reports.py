@@ -32,7 +32,7 @@ _STATE_SQL = "list_extract([{}], CAST(CAST(substr(transaction_id, 4) AS BIGINT)
 
 # Exact decimal amounts; the alert table itself stores doubles.
 _DAILY_SQL = f"""{rules.ENRICHED_B_SQL},
-al AS (SELECT e.*, m.customer_name, CASE WHEN m.risk_score > 0.3 THEN 'HIGH' ELSE 'LOW' END AS risk_category,
+al AS (SELECT e.*, m.customer_name, CASE WHEN m.customer_name IS NULL THEN NULL WHEN m.risk_score > 0.3 THEN 'HIGH' ELSE 'LOW' END AS risk_category,
               {_STATE_SQL} AS alert_status
        FROM enriched e LEFT JOIN master m USING (customer_id) WHERE is_suspicious)"""
 
@@ -76,7 +76,7 @@ def alert_details(x: Inputs) -> DataFrame:
 DETAILS_SQL = f"""WITH {_DAILY_SQL}
 SELECT transaction_id, customer_id, merchant_category, channel, device_id, al.customer_name, customer_segment,
        risk_category, CAST(DATE '2024-01-31' - account_open_date AS INTEGER) AS account_age_days, country_of_residence, kyc_status
-FROM al JOIN master USING (customer_id)"""
+FROM al LEFT JOIN master USING (customer_id)"""
 
 
 def alert_summary(x: Inputs) -> DataFrame:

@@ -80,16 +80,7 @@ geography AS (
 
 def customers(x: Inputs) -> DataFrame:
     """Versions of all customers: every third customer changed category in mid-January."""
-    return _versions(x.master)
-
-
-def loaded_customers(x: Inputs) -> DataFrame:
-    """The dimension as facts meet it: every fiftieth customer is not loaded yet, so its facts have unknown keys."""
-    return _versions(x.master.filter("CAST(substring(customer_id, 2, 8) AS INT) % 50 <> 49"))
-
-
-def _versions(master: DataFrame) -> DataFrame:
-    base = master.withColumns(
+    base = x.master.withColumns(
         {
             "number": F.expr("CAST(substring(customer_id, 2, 8) AS INT)"),
             "risk_score": F.expr("CAST(coalesce(risk_score, 0.3D) AS DECIMAL(5,4))"),
@@ -114,8 +105,7 @@ def _versions(master: DataFrame) -> DataFrame:
     return ops.dim_customer(versions)
 
 
-_LOADED = " WHERE CAST(substr(customer_id, 2) AS INTEGER) % 50 <> 49"
-_ALL_CUSTOMERS_SQL = f"""
+_CUSTOMERS_SQL = f"""
 versions AS (
   SELECT customer_id, customer_name, customer_segment, country_of_residence, is_pep, kyc_status,
          CAST(coalesce(risk_score, 0.3) AS DECIMAL(5,4)) AS risk_score, CAST(substr(customer_id, 2) AS INTEGER) AS number,
@@ -128,8 +118,6 @@ dim_customer AS (
          CASE WHEN version = 0 THEN TIMESTAMP '2024-01-15' END AS end_date, version <> 0 AS is_current,
          {key_sql("customer_id || '|' || CASE WHEN version = 1 THEN '2024-01-15' ELSE '2023-01-01' END")} AS customer_sk
   FROM versions)"""
-# The dimension as facts meet it.
-_CUSTOMERS_SQL = _ALL_CUSTOMERS_SQL.replace("FROM master)", f"FROM master{_LOADED})")
 
 
 def dim_rule(x: Inputs) -> DataFrame:
@@ -173,14 +161,14 @@ SELECT {key_sql("account_id || '|' || customer_id")} AS account_key, account_id,
 
 def facts(x: Inputs) -> DataFrame:
     return ops.fact_transaction(
-        rules.enriched_b(x), loaded_customers(x), ops.dim_transaction_type(x.spark), geography(x)
+        rules.enriched_b(x), customers(x), ops.dim_transaction_type(x.spark), geography(x)
     )
 
 
 def facts_carried(x: Inputs) -> DataFrame:
     """The same facts, with customer versions carried forward instead of joined."""
     return ops.fact_transaction(
-        rules.enriched_b(x), loaded_customers(x), ops.dim_transaction_type(x.spark), geography(x), carry_forward=True
+        rules.enriched_b(x), customers(x), ops.dim_transaction_type(x.spark), geography(x), carry_forward=True
     )
 
 
@@ -200,7 +188,7 @@ facts AS (
 
 def alert_facts(x: Inputs) -> DataFrame:
     alerts = _with_state(rules.alerts_b(x))
-    return ops.fact_alert(alerts, loaded_customers(x), ops.dim_alert_status(x.spark))
+    return ops.fact_alert(alerts, customers(x), ops.dim_alert_status(x.spark))
 
 
 _ALERT_FACT_SQL = f"""{rules.ENRICHED_B_SQL},{_CUSTOMERS_SQL},
@@ -221,7 +209,7 @@ def daily_metrics(x: Inputs) -> DataFrame:
 
 def metrics_with_risk(x: Inputs) -> DataFrame:
     """Daily metrics with the current risk of their customer, whichever version was valid on the day."""
-    return ops.with_current_risk(daily_metrics(x), loaded_customers(x)).select(
+    return ops.with_current_risk(daily_metrics(x), customers(x)).select(
         "customer_sk", "metric_date_sk", "daily_transaction_count", "current_risk_score", "current_risk_category"
     )
 
@@ -263,7 +251,7 @@ FROM monthly"""
 
 
 def risk_history(x: Inputs) -> DataFrame:
-    return ops.customer_risk_history(facts(x), loaded_customers(x), SNAPSHOT)
+    return ops.customer_risk_history(facts(x), customers(x), SNAPSHOT)
 
 
 HISTORY_SQL = f"""WITH {_FACT_SQL},
@@ -288,13 +276,13 @@ def high_risk_customers(x: Inputs) -> DataFrame:
     return ops.high_risk_customers(customers(x))
 
 
-HIGH_RISK_SQL = f"""WITH {MASTER_SQL},{_ALL_CUSTOMERS_SQL}
+HIGH_RISK_SQL = f"""WITH {MASTER_SQL},{_CUSTOMERS_SQL}
 SELECT customer_id, customer_name, risk_score, risk_category, customer_segment, country_of_residence, is_pep
 FROM dim_customer WHERE is_current AND risk_category = 'HIGH'"""
 
 
 def open_alerts(x: Inputs) -> DataFrame:
-    return ops.open_alerts(alert_facts(x), loaded_customers(x), ops.dim_alert_status(x.spark), F.lit(AS_OF))
+    return ops.open_alerts(alert_facts(x), customers(x), ops.dim_alert_status(x.spark), F.lit(AS_OF))
 
 
 OPEN_SQL = f"""WITH {_ALERT_FACT_SQL}
@@ -393,7 +381,7 @@ ENTRIES = {
     "dim_date": Entry(dates, f"WITH {_DATES_SQL}\nSELECT * FROM dates"),
     "dim_date_holidays": Entry(order_dates, ORDER_DATES_SQL),
     "dim_geography": Entry(geography, f"WITH {RAW_SQL},{COUNTRIES_SQL},{_GEOGRAPHY_SQL}\nSELECT * FROM geography"),
-    "dim_customer": Entry(customers, f"WITH {MASTER_SQL},{_ALL_CUSTOMERS_SQL}\nSELECT * FROM dim_customer"),
+    "dim_customer": Entry(customers, f"WITH {MASTER_SQL},{_CUSTOMERS_SQL}\nSELECT * FROM dim_customer"),
     "dim_rule": Entry(dim_rule, DIM_RULE_SQL),
     "dim_account": Entry(dim_account, ACCOUNT_SQL),
     "dim_transaction_type": Entry(transaction_types, TYPES_SQL),

@@ -88,11 +88,25 @@ def fetching(text: Column) -> Column:
 
 
 def rule_frame(spark: SparkSession, rules: tuple[UrlRule, ...]) -> DataFrame:
+    """The rules as rows; made of literals, so that no Python worker starts."""
     for rule in rules:
         if not rule.tokens:
             raise ValueError(f"rule {rule.rule} has no literal token")
-    rows = [(r.rule, r.verdict, r.pattern, list(r.tokens), r.priority, r.base) for r in rules]
-    return spark.createDataFrame(rows, "rule string, verdict string, pattern string, tokens array<string>, priority int, base boolean")
+    if not rules:
+        none = "rule:string, verdict:string, pattern:string, tokens:array<string>, priority:int, base:boolean"
+        return spark.range(0).select(F.lit(None).cast(f"struct<{none}>").alias("r")).select("r.*")
+
+    def row(r: UrlRule):
+        return F.struct(
+            F.lit(r.rule).alias("rule"),
+            F.lit(r.verdict).alias("verdict"),
+            F.lit(r.pattern).alias("pattern"),
+            F.array(*map(F.lit, r.tokens)).alias("tokens"),
+            F.lit(r.priority).cast("int").alias("priority"),
+            F.lit(r.base).alias("base"),
+        )
+
+    return spark.range(1).select(F.inline(F.array(*map(row, rules))))
 
 
 def indexed(rules: DataFrame, url_tokens: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ and one task may fit it. Every whole text is scored.
 Defined results: null and empty texts have no features and get the score of the
 bias alone. Without labels of both classes every score is the smoothed share of
 label 1 among the labels (0.5 if none). A doc_id with contradicting or null
-labels teaches nothing; repeated label rows count once. Equal texts get equal
-scores.
+labels teaches nothing; repeated label rows count once. Of several texts with one
+doc_id the first by code point teaches. Equal texts get equal scores.
 """
 
 from __future__ import annotations
@@ -219,7 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Quali
             }
         )
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    labelled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = labelled.groupBy("doc_id", "at", "label").agg(F.min("text").alias("text"))
     fitted = (
         texts.select("at", "label", "text")
         .mapInArrow(tidy(extract), "at long, label int, found array<int>")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 WORD = r"[^\x20\x09-\x0D]+"
+BUCKETS = 4096
 
 
 @dataclass(frozen=True)
@@ -83,6 +84,34 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
+def _ranges(rows: DataFrame) -> tuple[Column, DataFrame]:
+    """The number of a row's range of ids, and the rows with what tells it; -1 for a null id.
+
+    Ids are counted in 4,096 buckets of equal width. Within a bucket they are taken
+    as even between its own least and largest, which gives every id a place among
+    all, rising with the id; a range is about 2,048 places, or up to 65,536 where
+    that makes more than 4,096 ranges. Far ids do not put all documents into one
+    range; stretches of ids that share one bucket may fall into few. The buckets
+    are the only table broadcast.
+    """
+    ids = rows.select("doc_id").where("doc_id IS NOT NULL")
+    span = ids.agg(F.min("doc_id").cast("double").alias("low"), F.max("doc_id").cast("double").alias("high"), F.count("*").alias("n")).first()
+    ranges = max(1, min(-(-span.n // 2048), max(4096, -(-span.n // 65536))))
+    places = -(-span.n // ranges) or 1
+    low, width = span.low or 0.0, (((span.high or 0.0) - (span.low or 0.0)) / BUCKETS) or 1.0
+    bucket = F.least(F.floor((F.col("doc_id").cast("double") - F.lit(low)) / F.lit(width)).cast("int"), F.lit(BUCKETS - 1))
+    bucket = F.when(F.col("doc_id").isNotNull(), bucket).alias("id_bucket")
+
+    counted = ids.select("doc_id", bucket).groupBy("id_bucket")
+    counted = counted.agg(F.min("doc_id").cast("double").alias("id_least"), F.max("doc_id").cast("double").alias("id_most"), F.count("*").alias("id_count"))
+    before = F.sum("id_count").over(Window.orderBy("id_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    buckets = counted.withColumn("id_before", F.coalesce(before, F.lit(0)))
+    share = (F.col("doc_id").cast("double") - F.col("id_least")) / F.greatest(F.col("id_most") - F.col("id_least"), F.lit(1.0))
+    place = F.col("id_before") + F.least(F.floor(share * F.col("id_count")), F.col("id_count") - 1)
+    at = F.coalesce(F.floor(place / F.lit(places)).cast("long"), F.lit(-1).cast("long"))
+    return at, rows.withColumn("id_bucket", bucket).join(F.broadcast(buckets), "id_bucket", "left")
+
+
 def with_next(docs: DataFrame, make) -> DataFrame:
     """Rows doc_id and t (the text, null as empty), columns of ``make(t)``, and all but doc_id of the next row under ``next``.
 
@@ -92,13 +121,9 @@ def with_next(docs: DataFrame, make) -> DataFrame:
     row per range. The text is shuffled once and nothing is sorted as a whole.
     """
     rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
-    span = rows.agg(F.min("doc_id").cast("double").alias("low"), F.max("doc_id").cast("double").alias("high"), F.count("*").alias("n")).first()
-    # About 2,048 documents a range; where that makes too many ranges, up to 65,536.
-    ranges = max(1, min(-(-span.n // 2048), max(4096, -(-span.n // 65536))))
-    low, width = span.low or 0.0, (((span.high or 0.0) - (span.low or 0.0)) / ranges) or 1.0
-    at = F.coalesce(F.floor((F.col("doc_id").cast("double") - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
+    at, dealt = _ranges(rows)
 
-    firsts = rows.groupBy(at.alias("range")).agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("first"))
+    firsts = dealt.groupBy(at.alias("range")).agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("first"))
     in_turn = Window.orderBy("range")
     start = F.min_by("first", "range").over(Window.partitionBy())
     follow = firsts.select("range", F.coalesce(F.lead("first").over(in_turn), start)["doc_id"].alias("next_id"))
@@ -108,7 +133,7 @@ def with_next(docs: DataFrame, make) -> DataFrame:
     beyond = follow.join(made, F.col("next_id").eqNullSafe(F.col("first_id"))).select("range", "far")
 
     order = Window.partitionBy("range").orderBy("doc_id", "t")
-    ahead = rows.withColumn("range", at).withColumn("next_t", F.lead("t").over(order))
+    ahead = dealt.withColumn("range", at).withColumn("next_t", F.lead("t").over(order))
     ahead = ahead.select("range", "doc_id", "t", "next_t", *make(F.col("t")))
     extra = [c for c in ahead.columns if c not in ("range", "doc_id", "t", "next_t")]
     ahead = ahead.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in extra))

@@ -224,6 +224,24 @@ def test_next_over_sparse_ids_and_many_ranges(spark):
     assert rows == {a: f"t{b}" for a, b in zip(order, [*order[1:], order[0]], strict=True)}
 
 
+def test_one_far_id_leaves_the_ranges_even(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("t"))
+    dense = spark.range(20_000).select((F.col("id") + (1 << 40)).alias("doc_id"), F.lit("t").alias("t"))
+    far = spark.createDataFrame([(1 << 60, "t"), (None, "t")], "doc_id long, t string")
+    at, dealt = fingerprints._ranges(docs.unionByName(dense).unionByName(far))
+    rows = dealt.select("doc_id", at.alias("range")).collect()
+    assert len(rows) == 40_002
+    counts = {}
+    for r in rows:
+        counts[r.range] = counts.get(r.range, 0) + 1
+    assert counts.pop(-1) == 1
+    ordered = sorted((r.doc_id, r.range) for r in rows if r.doc_id is not None)
+    assert [b for _, b in ordered] == sorted(b for _, b in ordered)
+    at, dealt = fingerprints._ranges(docs.unionByName(far))
+    sizes = [r["count"] for r in dealt.groupBy(at.alias("range")).count().where("range >= 0").collect()]
+    assert len(sizes) >= 9 and max(sizes) <= 2100
+
+
 def test_sketches_of_parts_merge_into_the_whole(spark):
     config = fingerprints.SketchConfig(words=1, k=8)
     parts = [(1, " ".join(f"w{i}" for i in range(a, a + 20))) for a in range(0, 60, 10)] + [(2, ""), (3, "one two")]
@@ -235,6 +253,14 @@ def test_sketches_of_parts_merge_into_the_whole(spark):
     assert len(wanted[1]) == 8
 
 
+def test_rules_are_literals_without_python(spark):
+    frame = urls.rule_frame(spark, urls.BASE_RULES)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "Python" not in plan
+    assert urls.rule_frame(spark, ()).schema.names == frame.schema.names
+    assert urls.rule_frame(spark, ()).count() == 0
+
+
 def test_queries_with_sql_match_it(spark):
     import duckdb
 

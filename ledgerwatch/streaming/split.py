@@ -4,8 +4,10 @@ A transaction's trailing frame is taken apart at hour borders. The whole hours,
 its own included, are the window that ends with its hour (``windows.sliding_totals``,
 all in the JVM). What that window counts too much, the customer's later rows in
 the same hour, and too little, the rows of the hour one day before that are not
-yet a day old, is found by a keyed step whose key is customer and hour. So the
-largest thing that any task holds is one customer's rows of two hours.
+yet a day old, is found by a keyed step whose key is a group of customers and an
+hour: one call answers all customers of the group. So the largest thing that any
+task holds is one group's rows of two hours, and the number of calls follows the
+hours and groups, not the customers.
 
 Answers come once the watermark has passed the hour, and then count every row
 that was not too late. For answers within the batch there are
@@ -19,6 +21,7 @@ from decimal import Decimal
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -39,48 +42,67 @@ def _processor(frame_hours: int) -> StatefulProcessor:
     class Edges(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.own = handle.getListState("own", "id string, at bigint, cents bigint")
-            self.leaving = handle.getListState("leaving", "at bigint, cents bigint")
+            # One entry for the rows that one call brought, as an Arrow stream.
+            self.own = handle.getListState("own", "rows binary")
+            self.leaving = handle.getListState("leaving", "rows binary")
 
         def handleInputRows(self, key, rows, timerValues):
             for batch in rows:
                 old = batch["leaving"].to_numpy(bool)
-                mine, gone = batch[~old], batch[old]
-                if len(mine):
-                    self.own.appendList(list(zip(mine["transaction_id"], mine["at"].tolist(), mine["cents"].tolist(), strict=True)))
-                if len(gone):
-                    self.leaving.appendList(list(zip(gone["at"].tolist(), gone["cents"].tolist(), strict=True)))
+                self._keep(self.own, batch.loc[~old, ["customer_id", "transaction_id", "at", "cents"]])
+                self._keep(self.leaving, batch.loc[old, ["customer_id", "at", "cents"]])
             self.handle.registerTimer((int(key[1]) + 1) * hour_us // 1000)
             return iter([])
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             """The hour is over: answer its rows and forget both hours."""
-            own, leaving = list(self.own.get()), list(self.leaving.get())
+            own, leaving = self._kept(self.own), self._kept(self.leaving)
             self.own.clear()
             self.leaving.clear()
-            if not own:
+            if own is None:
                 return
-            at = np.array([r[1] for r in own], np.int64)
-            later_s, later_n = self._from(at, [r[2] for r in own], at, "right")
-            still_s, still_n = self._from([r[0] for r in leaving], [r[1] for r in leaving], at - frame_us, "left")
+            start = int(key[1]) * hour_us
+            customers = own["customer_id"] if leaving is None else pd.concat([own["customer_id"], leaving["customer_id"]])
+            code = pd.factorize(customers, use_na_sentinel=False)[0].astype(np.int64)
+            end = (code[: len(own)] + 1) * hour_us
+            at = own["at"].to_numpy(np.int64)
+            here = code[: len(own)] * hour_us + (at - start)
+            later_s, later_n = self._from(here, own["cents"], here, end, "right")
+            if leaving is None:
+                still_s = still_n = 0
+            else:
+                there = code[len(own) :] * hour_us + (leaving["at"].to_numpy(np.int64) + frame_us - start)
+                still_s, still_n = self._from(there, leaving["cents"], here, end, "left")
             yield pd.DataFrame(
                 {
-                    "customer_id": [key[0]] * len(own),
-                    "transaction_id": [r[0] for r in own],
+                    "customer_id": own["customer_id"],
+                    "transaction_id": own["transaction_id"],
                     "transaction_timestamp": pd.to_datetime(at, unit="us"),
-                    "hour_time": pd.to_datetime(np.full(len(own), (int(key[1]) + 1) * hour_us - 1), unit="us"),
+                    "hour_time": pd.to_datetime(np.full(len(own), start + hour_us - 1), unit="us"),
                     "edge_cents": still_s - later_s,
                     "edge_count": still_n - later_n,
                 }
             )
 
-        def _from(self, times, cents, moments, side):
-            """Sum and number of the rows after (right) or from (left) each moment."""
-            times, cents = np.array(times, np.int64), np.array(cents, np.int64)
-            order = np.argsort(times, kind="stable")
-            before = np.concatenate([[0], np.cumsum(cents[order])])
-            position = np.searchsorted(times[order], moments, side=side)
-            return before[-1] - before[position], len(times) - position
+        def _keep(self, state, frame):
+            if len(frame):
+                table = pa.Table.from_pandas(frame, preserve_index=False)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, table.schema) as stream:
+                    stream.write_table(table)
+                state.appendValue((sink.getvalue().to_pybytes(),))
+
+        def _kept(self, state):
+            parts = [pa.ipc.open_stream(bytes(entry[0])).read_pandas() for entry in state.get()]
+            return pd.concat(parts, ignore_index=True) if parts else None
+
+        def _from(self, places, cents, moments, ends, side):
+            """Sum and number of a customer's rows after (right) or from (left) each moment up to its end."""
+            order = np.argsort(places, kind="stable")
+            before = np.concatenate([[0], np.cumsum(cents.to_numpy(np.int64)[order])])
+            low = np.searchsorted(places[order], moments, side=side)
+            high = np.searchsorted(places[order], ends, side="left")
+            return before[high] - before[low], high - low
 
         def close(self) -> None:
             pass
@@ -88,13 +110,18 @@ def _processor(frame_hours: int) -> StatefulProcessor:
     return Edges()
 
 
-def split_velocity(df: DataFrame, lateness: str = LATENESS, amount: str = "amount_eur") -> DataFrame:
+def split_velocity(
+    df: DataFrame, lateness: str = LATENESS, amount: str = "amount_eur", groups: int = 16
+) -> DataFrame:
     """customer_id, transaction_id, transaction_timestamp, rolling_24h_amount, rolling_24h_count of every transaction.
 
     Both parts drop the same late rows, those whose whole hour the watermark has
     passed; ``late`` looks after them. Timers clear an hour's rows, and the
     watermark clears windows and join. Rows without a customer are one
     customer's; an amount that is missing counts as 0. Needs the RocksDB state store.
+
+    ``groups``: how many groups the customers are dealt into by hash. A call into Python
+    answers one group's hour, so it should be large enough that such an hour fits a task.
     """
     ts = "transaction_timestamp"
     row = df.withWatermark(ts, lateness).select(
@@ -109,7 +136,8 @@ def split_velocity(df: DataFrame, lateness: str = LATENESS, amount: str = "amoun
     dealt = row.withColumn("leaving", roles).withColumn(
         "hour", F.when(F.col("leaving"), hour + FRAME_HOURS).otherwise(hour)
     )
-    edges = dealt.groupBy("customer_id", "hour").transformWithStateInPandas(
+    grouped = dealt.withColumn("group", F.pmod(F.xxhash64("customer_id"), F.lit(groups)).cast("int"))
+    edges = grouped.groupBy("group", "hour").transformWithStateInPandas(
         statefulProcessor=_processor(FRAME_HOURS),
         outputStructType=CORRECTION,
         outputMode="Append",

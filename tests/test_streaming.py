@@ -266,3 +266,49 @@ def test_split_state_with_one_customer_in_most_rows(spark, tmp_path):
     assert sorted((r["transaction_id"], int(r["rolling_24h_amount"] * 100), r["rolling_24h_count"]) for r in got) == sorted(want)
     left = {s["operatorName"]: s["numRowsTotal"] for s in query.lastProgress["stateOperators"]}
     assert left["transformWithStateInPandasExec"] < 20 and left["symmetricHashJoin"] < 60
+
+
+def test_window_join_keeps_a_transaction_once(spark, tmp_path):
+    """The state of the join holds a row per waiting transaction, not one per window; inner has the same rows with customers."""
+    start = datetime(2024, 1, 1)
+    rows = [(f"t{i}", f"c{i % 40}" if i % 10 else None, start + timedelta(minutes=11 * i), 1) for i in range(400)]
+    rows.append(("last", "end", start + timedelta(days=9), 1))
+    df = spark.createDataFrame(rows, "transaction_id string, customer_id string, transaction_timestamp timestamp, amount int").select(
+        "transaction_id", "customer_id", "transaction_timestamp", F.col("amount").cast("decimal(18,2)").alias("amount_eur")
+    )
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    got = {}
+    for how in ("left", "inner"):
+        stream = messages.file_stream(spark, str(tmp_path / "in"), df.schema)
+        joined = windows.with_window_totals(stream, how=how).select("transaction_id", "transaction_timestamp", "rolling_24h_count")
+        query = sinks.append_stream(joined, str(tmp_path / how), str(tmp_path / f"checkpoint-{how}"))
+        sinks.finish(query)
+        got[how] = sorted(map(tuple, spark.read.schema(joined.schema).parquet(str(tmp_path / how)).collect()), key=str)
+        held = [s.numRowsTotal for p in query.recentProgress for s in p.stateOperators if s.operatorName == "symmetricHashJoin"]
+        assert 0 < max(held) <= len(rows) and held[-1] <= 1
+    assert len(got["left"]) == 24 * 400 and got["inner"] == [r for r in got["left"] if int(r[0][1:]) % 10]
+    assert [r for r in got["left"] if r[2] is None] == [r for r in got["left"] if not int(r[0][1:]) % 10]
+
+
+def test_split_state_follows_groups_not_customers(spark, tmp_path):
+    """Many customers of one hour are a call for each group: a list entry of either role and a timer with its index."""
+    before = spark.conf.get(stateful.STATE_STORE)
+    spark.conf.set(stateful.STATE_STORE, stateful.ROCKSDB)
+    start = datetime(2024, 1, 1, 6)
+    rows = [(f"t{i}", f"c{i // 2}", start + timedelta(hours=24 * (i % 2), seconds=i), i) for i in range(600)]
+    rows.append(("last", "end", start + timedelta(days=4), 1))
+    df = spark.createDataFrame(rows, "transaction_id string, customer_id string, transaction_timestamp timestamp, cents int").select(
+        "transaction_id", "customer_id", "transaction_timestamp", (F.col("cents") / 100).cast("decimal(18,2)").alias("amount_eur")
+    )
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = messages.file_stream(spark, str(tmp_path / "in"), df.schema)
+    query = sinks.append_stream(split.split_velocity(stream, groups=4), str(tmp_path / "table"), str(tmp_path / "checkpoint"))
+    try:
+        sinks.finish(query)
+    finally:
+        spark.conf.set(stateful.STATE_STORE, before)
+    # A customer's second row comes a day and a second after the first, which has just left its frame.
+    got = {r.transaction_id: (int(r.rolling_24h_amount * 100), r.rolling_24h_count) for r in spark.read.parquet(str(tmp_path / "table")).collect()}
+    assert got == {f"t{i}": (i, 1) for i in range(600)}
+    held = [s.numRowsTotal for p in query.recentProgress for s in p.stateOperators if s.operatorName.startswith("transformWithState")]
+    assert 0 < max(held) < 100

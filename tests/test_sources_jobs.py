@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -12,6 +12,7 @@ from ledgerwatch.config import JobConfig, QualityConfig, RuleConfigA
 from ledgerwatch.operators import rules
 from ledgerwatch.plans import alerting, jobs
 from ledgerwatch.plans.catalog import rules as rule_queries
+from ledgerwatch.plans.catalog import storage
 from ledgerwatch.plans.catalog.inputs import Inputs
 from ledgerwatch.schemas import get_schema
 from ledgerwatch.sources import jdbc, maintenance, tables
@@ -197,3 +198,17 @@ def test_compact_refuses_row_conditions(spark, tmp_path):
         maintenance.compact(spark, path, ["id"], 1, ("part",), only={"id": [6]})
     maintenance.compact(spark, path, ["id"], 1, ("part",), only={"part": [1]})
     assert spark.read.parquet(path).count() == 10
+
+
+def test_message_slices_are_dealt_by_rows(spark, monkeypatch):
+    """A burst is written and read by many tasks, slices follow in time, and none without a time is lost."""
+    monkeypatch.setattr(storage, "ROWS_PER_FILE", 50)
+    start = datetime(2024, 1, 1)
+    times = [start + timedelta(days=3, seconds=i) for i in range(480)] + [start, start + timedelta(days=4)] + [None] * 30
+    messages = spark.createDataFrame([(str(i), t) for i, t in enumerate(times)], "value string, timestamp timestamp")
+    parts = storage._slices(messages, 4)
+    rows = [[(r.value, r.timestamp) for r in part.collect()] for part in parts]
+    assert [len(r) for r in rows] == [1, 0, 0, 511] and {v for r in rows for v, _ in r} == {str(i) for i in range(512)}
+    assert parts[3].rdd.getNumPartitions() == 11
+    nothing = storage._slices(messages.filter("timestamp IS NULL"), 4)
+    assert sum(part.count() for part in nothing) == 30

@@ -28,6 +28,22 @@ def unique_transactions(
     return marked.dropDuplicatesWithinWatermark(["transaction_id"])
 
 
+def hourly_totals(
+    df: DataFrame,
+    lateness: str = LATENESS,
+    ts: str = "transaction_timestamp",
+    amount: str = "amount_eur",
+    keys: tuple[str, ...] = ("customer_id",),
+) -> DataFrame:
+    """hour_time, keys, hour_amount and hour_count of every hour with rows, once the watermark has passed its end."""
+    return (
+        df.withWatermark(ts, lateness)
+        .groupBy(F.window(ts, "1 hour").alias("hour"), *keys)
+        .agg(F.sum(amount).alias("hour_amount"), F.count("*").alias("hour_count"))
+        .select(F.window_time("hour").alias("hour_time"), *keys, "hour_amount", "hour_count")
+    )
+
+
 def sliding_totals(
     df: DataFrame,
     lateness: str = LATENESS,
@@ -46,12 +62,7 @@ def sliding_totals(
     ``active_hours`` adds a column of that name: a bit for every hour with rows, at the
     hour's number modulo 24. An hour is added to a window once, so the sum of bits is their union.
     """
-    hours = (
-        df.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, "1 hour").alias("hour"), *keys)
-        .agg(F.sum(amount).alias("hour_amount"), F.count("*").alias("hour_count"))
-        .select(F.window_time("hour").alias("hour_time"), *keys, "hour_amount", "hour_count")
-    )
+    hours = hourly_totals(df, lateness, ts, amount, keys)
     sums = [F.sum("hour_amount").alias("rolling_24h_amount"), F.sum("hour_count").alias("rolling_24h_count")]
     if active_hours:
         bit = F.expr("shiftleft(1L, CAST(pmod(floor(unix_micros(hour_time) / 3600000000), 24) AS INT))")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -312,3 +313,44 @@ def test_split_state_follows_groups_not_customers(spark, tmp_path):
     assert got == {f"t{i}": (i, 1) for i in range(600)}
     held = [s.numRowsTotal for p in query.recentProgress for s in p.stateOperators if s.operatorName.startswith("transformWithState")]
     assert 0 < max(held) < 100
+
+
+def test_split_state_adds_active_hours_not_windows(spark, tmp_path):
+    """An hour is in no more state than its own and its group's, not in 24 windows; sums may exceed a long of cents."""
+    before = spark.conf.get(stateful.STATE_STORE)
+    spark.conf.set(stateful.STATE_STORE, stateful.ROCKSDB)
+    start = datetime(2024, 1, 1)
+    most = 10**18 - 1
+    rows = [(f"s{i}", f"c{i % 90}", 61 * i, 7 * i - 500) for i in range(180)]  # over eight days
+    rows += [(f"r{i}", "rich", 60 * i + i % 2, most) for i in range(110)]
+    rows += [(f"n{i}", None, 30 + 200 * i, None if i % 3 else i) for i in range(40)]
+    rows += [("a", "tie", 90, 1), ("b", "tie", 1530, 2), ("c", "tie", 1530, 3), ("d", "tie", 1531, 4)]
+    schema = "transaction_id string, customer_id string, minute int, cents long"
+    df = spark.createDataFrame([*rows, ("last", "end", 20000, 1)], schema).select(
+        "transaction_id",
+        "customer_id",
+        F.timestamp_add("MINUTE", F.col("minute"), F.lit(start)).alias("transaction_timestamp"),
+        (F.col("cents").cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)").alias("amount_eur"),
+    )
+    middle = F.col("transaction_timestamp") < F.lit(start + timedelta(hours=50))
+    got, held = {}, {}
+    for name, parts in {"at once": [F.lit(True)], "in two": [middle, ~middle]}.items():
+        for part in parts:
+            df.filter(part).coalesce(1).write.mode("append").parquet(str(tmp_path / name / "in"))
+        stream = messages.file_stream(spark, str(tmp_path / name / "in"), df.schema, max_files_per_trigger=1)
+        velocity = split.split_velocity(stream, groups=5)
+        query = sinks.append_stream(velocity, str(tmp_path / name / "table"), str(tmp_path / name / "checkpoint"))
+        sinks.finish(query)
+        found = spark.read.schema(velocity.schema).parquet(str(tmp_path / name / "table")).collect()
+        got[name] = sorted((r[1], r[0], r[2], int(r[3] * 100), r[4]) for r in found)
+        progress = [s for p in query.recentProgress for s in p.stateOperators]
+        held[name] = sum(s.numRowsUpdated for s in progress)
+        assert all(s.numRowsTotal < 60 for s in query.lastProgress.stateOperators)
+    spark.conf.set(stateful.STATE_STORE, before)
+    want = []
+    for t, c, m, _ in rows:
+        frame = [a or 0 for _, other, at, a in rows if other == c and m - 1440 <= at <= m]
+        want.append((t, c, start + timedelta(minutes=m), sum(frame), len(frame)))
+    assert got["at once"] == got["in two"] == sorted(want, key=lambda r: r[0]) and max(r[3] for r in want) > 2**63
+    # A window for each hour and row would be about 24 times the rows.
+    assert max(held.values()) < 8 * len(rows)

@@ -14,7 +14,7 @@ from ...config import RuleConfigA
 from ...operators import ingest as ingest_ops
 from ...session import run_dir
 from ...sources.messages import file_stream
-from ...streaming import late, medallion, sinks, split, stateful, windows
+from ...streaming import late, medallion, sinks, split, windows
 from .. import alerting
 from . import ingest, rules
 from .base import Entry
@@ -191,12 +191,15 @@ WINDOW w AS (PARTITION BY customer_id ORDER BY transaction_timestamp
 
 def stream_velocity_split(x: Inputs) -> DataFrame:
     """The same frame from state that is split by customer and hour, once the watermark has closed the hour."""
-    before = x.spark.conf.get(stateful.STATE_STORE)
-    x.spark.conf.set(stateful.STATE_STORE, stateful.ROCKSDB)
+    settings = split.state_settings(x.spark)
+    before = {key: x.spark.conf.get(key) for key in settings}
     try:
+        for key, value in settings.items():
+            x.spark.conf.set(key, value)
         rows = _collected(x, split.split_velocity(_typed(x)), "velocity-split")
     finally:
-        x.spark.conf.set(stateful.STATE_STORE, before)
+        for key, value in before.items():
+            x.spark.conf.set(key, value)
     return rows.select("transaction_id", "customer_id", "rolling_24h_amount", "rolling_24h_count")
 
 

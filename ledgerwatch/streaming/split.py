@@ -27,10 +27,11 @@ from decimal import Decimal
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
+from .stateful import ROCKSDB, STATE_STORE
 from .windows import LATENESS, hourly_totals
 
 FRAME_HOURS = 24
@@ -45,6 +46,21 @@ FRAMES = "group int, window_time timestamp, totals binary"
 ANSWERS = "customer_id string, transaction_id string, at bigint, high bigint, low bigint, count bigint"
 
 
+def state_settings(spark: SparkSession) -> dict[str, str]:
+    """Settings to start the stream with; its checkpoint keeps them.
+
+    Every partition of every state opens a store of its own, with 4 MB on disk whatever
+    it holds. So partitions follow the cores, and the join has one store of a partition, not four.
+    """
+    partitions = "spark.sql.shuffle.partitions"
+    most = 2 * spark.sparkContext.defaultParallelism
+    return {
+        STATE_STORE: ROCKSDB,
+        "spark.sql.streaming.join.stateFormatVersion": "3",
+        partitions: str(min(int(spark.conf.get(partitions)), most)),
+    }
+
+
 def _steps(frame_hours: int, span_hours: int, part_rows: int):
     """The two keyed steps, and the function that answers what their join has brought together."""
     hour_us, hour_ms = 3_600_000_000, 3_600_000

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 from ledgerwatch.config import RuleConfigA
 from ledgerwatch.operators import ingest, rules, velocity
 from ledgerwatch.plans import alerting
+from ledgerwatch.plans.catalog import streams
 from ledgerwatch.plans.catalog.inputs import Inputs
+from ledgerwatch.session import shared_dir
 from ledgerwatch.sources import messages
 from ledgerwatch.streaming import late, medallion, sinks, split, stateful, windows
 from ledgerwatch.streaming.progress import ProgressLog
@@ -354,3 +357,20 @@ def test_split_state_adds_active_hours_not_windows(spark, tmp_path):
     assert got["at once"] == got["in two"] == sorted(want, key=lambda r: r[0]) and max(r[3] for r in want) > 2**63
     # A window for each hour and row would be about 24 times the rows.
     assert max(held.values()) < 8 * len(rows)
+
+
+def test_split_query_opens_few_stores(spark, x):
+    """State partitions follow the cores, and the join has one store of a partition; the settings are put back."""
+    settings = {key: spark.conf.get(key) for key in split.state_settings(spark)}
+    root = Path(shared_dir(spark).removeprefix("file://"))
+    known = set(root.glob("velocity-split-*"))
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        rows = streams.stream_velocity_split(x).count()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "20"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", settings["spark.sql.shuffle.partitions"])
+    assert settings == {key: spark.conf.get(key) for key in settings}
+    (run,) = set(root.glob("velocity-split-*")) - known
+    stores = {file.parent for file in (run / "checkpoint/state").rglob("*.zip")}
+    assert rows > 0 and len(stores) <= 4 * 2 * spark.sparkContext.defaultParallelism
